@@ -51,33 +51,42 @@ def trailing_sums(
             return exact
         return isinstance(df.schema[source].dataType, (IntegralType, DecimalType))
 
-    by_difference = sorted({s.source for s in sums if running(s.source)})
+    exact_sources = sorted({s.source for s in sums if running(s.source)})
+    nullable = {source for source in exact_sources if df.schema[source].nullable}
     to_current = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first: dict[str, Column] = dict(extra or {})
-    for source in by_difference:
+    for source in exact_sources:
         first[f"__sum_{source}"] = F.sum(F.coalesce(F.col(source), F.lit(0))).over(to_current)
-        if df.schema[source].nullable:
+        if source in nullable:
             first[f"__cnt_{source}"] = F.count(source).over(to_current)
     for s in sums:
-        if s.source not in by_difference:
+        if s.source not in exact_sources:
             first[s.name] = F.sum(s.source).over(spec.rowsBetween(-s.start, -s.end))
-    staged = df.withColumns(first)
-
-    def at(name: str, offset: int) -> Column:
-        return F.lag(name, offset).over(spec) if offset else F.col(name)
 
+    # each running value is read back once per distinct offset; SQL text, as building
+    # hundreds of columns call by call takes longer than the work on a small table
+    keys = ", ".join(f"`{c}`" for c in partition)
+    over = f"OVER (PARTITION BY {keys} ORDER BY `{order}`)"
     second: dict[str, Column] = {}
+
+    def at(value: str, offset: int) -> str:
+        if not offset:
+            return f"`{value}`"
+        name = f"{value}_{offset}"
+        if name not in second:
+            second[name] = F.expr(f"lag(`{value}`, {offset}) {over}")
+        return f"`{name}`"
+
+    def difference(value: str, s: TrailingSum) -> str:
+        return f"{at(value, s.end)} - coalesce({at(value, s.start + 1)}, 0)"
+
+    results: list[Column] = []
     for s in sums:
-        if s.source not in by_difference:
+        if s.source not in exact_sources:
+            results.append(F.col(s.name))
             continue
-        total = f"__sum_{s.source}"
-        value = at(total, s.end) - F.coalesce(at(total, s.start + 1), F.lit(0))
-        if df.schema[s.source].nullable:
-            seen = f"__cnt_{s.source}"
-            count = at(seen, s.end) - F.coalesce(at(seen, s.start + 1), F.lit(0))
-            value = F.when(count > 0, value)
-        second[s.name] = value
-    wide = staged.withColumns(second) if second else staged
-    return wide.select(
-        *df.columns, *(extra or {}), *(s.name for s in sums)
-    )
+        text = difference(f"__sum_{s.source}", s)
+        if s.source in nullable:
+            text = f"CASE WHEN {difference(f'__cnt_{s.source}', s)} > 0 THEN {text} END"
+        results.append(F.expr(text).alias(s.name))
+    return df.withColumns(first).withColumns(second).select(*df.columns, *(extra or {}), *results)

@@ -53,13 +53,17 @@ def _predicted(samples: DataFrame, keys: Sequence[str], horizon: int) -> DataFra
             F.col("target")[F.col("position")].alias("label"),
         )
     )
-    # read by the fit and by the prediction
-    rows = staged(rows)
     train = rows.filter(~F.col("is_score") & F.col("complete") & F.col("label").isNotNull())
     if train.isEmpty():
         raise ValueError("no complete window to train on")
+    # features share one scale already; the plain penalty keeps the system solvable where
+    # a feature is constant, such as the weekday at a fixed place in six-day weeks
     fitted = LinearRegression(
-        featuresCol="features", labelCol="label", regParam=REGULARISATION, solver="normal"
+        featuresCol="features",
+        labelCol="label",
+        regParam=REGULARISATION,
+        standardization=False,
+        solver="normal",
     ).fit(train.select(array_to_vector("values").alias("features"), "label"))
     weights = F.array(*(F.lit(float(w)) for w in fitted.coefficients))
     score = F.aggregate(
@@ -83,6 +87,9 @@ def sequence_forecast(day: DataFrame, week: DataFrame, *, keys: Sequence[str]) -
     )
     forecasts = []
     for kind, table, order, features, windows, horizon in plans:
+        # a row per series and day: the fit, the statistics and the prediction start
+        # from here and not from the deliveries
+        table = staged(table)
         scaled = minmax_scale(table, list(features), keys=keys)
         samples = latest_window(
             windows(scaled, keys=keys, order=order, features=features, target=TARGET), keys=keys

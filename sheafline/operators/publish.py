@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sheafline.functions.dates import as_date
 
@@ -30,19 +30,32 @@ def publish_forecast(
     if day.weekday() != RUN_WEEKDAY:
         raise ValueError(f"forecasts are published on a Thursday, {day} is none")
     monday = day + dt.timedelta(days=FIRST_DAY_OFFSET)
+    # the weekly value meets the Monday in a grouping; a join on a constant position
+    # would be planned as a nested loop
+    missing = F.lit(None).cast("bigint")
+    parts = daily.select(
+        *keys, F.col("position").cast("int").alias("position"), F.lit(1).alias("days"),
+        F.coalesce(F.col("pred"), F.lit(0)).cast("bigint").alias("pred2"), missing.alias("pred1"),
+    ).unionByName(
+        weekly.select(
+            *keys, F.lit(0).alias("position"), F.lit(0).alias("days"),
+            missing.alias("pred2"), F.col("pred").cast("bigint").alias("pred1"),
+        )
+    )
+    rows = parts.groupBy(*keys, "position").agg(
+        F.sum("days").alias("days"), F.max("pred2").alias("pred2"), F.max("pred1").alias("pred1")
+    )
     # six rows per series
-    rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    value: Column = F.greatest(F.coalesce(F.col("pred"), F.lit(0)), F.lit(0))
-    checked = F.when(rows == FORECAST_DAYS, value).otherwise(
+    series = Window.partitionBy(*keys)
+    complete = (F.sum("days").over(series) == FORECAST_DAYS) & (F.count("pred2").over(series) == FORECAST_DAYS)
+    checked = F.when(complete, F.greatest(F.col("pred2"), F.lit(0))).otherwise(
         F.raise_error(F.lit(f"a forecast needs {FORECAST_DAYS} days"))
     )
-    on_monday = weekly.select(*keys, F.lit(0).alias("position"), F.col("pred").alias("pred1"))
-    days = daily.select(*keys, "position", checked.alias("pred2"))
-    return days.join(on_monday, [*keys, "position"], "left").select(
+    return rows.select(
         *keys,
-        F.date_add(F.lit(monday), F.col("position").cast("int")).alias("jour"),
-        F.col("pred2").cast("bigint").alias("pred2"),
-        F.col("pred1").cast("bigint").alias("pred1"),
+        F.date_add(F.lit(monday), F.col("position")).alias("jour"),
+        checked.alias("pred2"),
+        "pred1",
     )
 
 

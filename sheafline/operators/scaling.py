@@ -42,9 +42,9 @@ def _with_bounds(
     if keys:
         joined = df.join(stats.select(*keys, *names), list(keys), "left")
         return joined, {c: (F.col(f"min_{c}"), F.col(f"max_{c}")) for c in columns}
-    # a single row of statistics enters as one scalar subquery
-    row = stats.select(F.struct(*names)).scalar()
-    return df, {c: (row.getField(f"min_{c}"), row.getField(f"max_{c}")) for c in columns}
+    # a single row of statistics enters as one scalar subquery, not as a join
+    wide = df.withColumn("__stats", stats.select(F.struct(*names)).scalar())
+    return wide, {c: (F.col(f"__stats.min_{c}"), F.col(f"__stats.max_{c}")) for c in columns}
 
 
 def minmax_apply(

@@ -89,16 +89,19 @@ def sowing_unpivot(plantings: DataFrame, *, years: Iterable[int] = PLANTING_YEAR
     )
 
 
+def with_planting_season(sowing: DataFrame) -> DataFrame:
+    """Plantings with their planting season."""
+    return sowing.withColumn("saison", planting_season(F.col("date_plantation")))
+
+
 def sowing_season(sowing: DataFrame) -> DataFrame:
     """Planted quantity per grower and planting season."""
-    season = planting_season(F.col("date_plantation")).alias("saison")
-    return sowing.groupBy("code_adherent", season).agg(F.sum("qte_semis").alias("qte_semis"))
+    return sowing.groupBy("code_adherent", "saison").agg(F.sum("qte_semis").alias("qte_semis"))
 
 
 def sowing_season_totals(sowing: DataFrame) -> DataFrame:
     """Expected harvests per planting season."""
-    season = planting_season(F.col("date_plantation")).alias("saison")
-    totals = sowing.groupBy(season).agg(F.sum(F.col("qte_semis") * HARVESTS_PER_PLANT).alias("qte_semis"))
+    totals = sowing.groupBy("saison").agg(F.sum(F.col("qte_semis") * HARVESTS_PER_PLANT).alias("qte_semis"))
     return totals.select("saison", as_long(totals, "qte_semis"))
 
 
@@ -257,7 +260,7 @@ def _feature_rows(
     last: Column,
 ) -> DataFrame:
     """The 43 feature columns of the harvest days between two days (inclusive)."""
-    sowing = sowing_unpivot(plantings)
+    sowing = with_planting_season(sowing_unpivot(plantings))
     intake = intake_with_sowing(harvest_season_by_grower(deliveries), sowing_season(sowing))
     days = repeat_by_weekly_rows(intake, sowing_season_totals(sowing))
     days = days.filter(F.col("date_recolte").between(first, last))

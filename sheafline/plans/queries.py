@@ -27,6 +27,7 @@ from sheafline.operators import (
     weekly,
 )
 from sheafline.sources import TestTables
+from sheafline.sources.staging import shared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,7 +114,8 @@ def flux_day_until(t: TestTables) -> DataFrame:
 
 @_query
 def flux_week_until_next(t: TestTables) -> DataFrame:
-    return intake.flux_week_until_next(flux_week(t), as_of=AS_OF)
+    weeks = intake.flux_week_sites(*_intake_tables(t), sites=[SITE])
+    return intake.flux_week_until_next(weeks, as_of=AS_OF).drop("code_insee")
 
 
 # weekly reports
@@ -213,14 +215,18 @@ def sowing_unpivot(t: TestTables) -> DataFrame:
     return season.sowing_unpivot(t.plantings())
 
 
+def _sowing(t: TestTables) -> DataFrame:
+    return season.with_planting_season(season.sowing_unpivot(t.plantings()))
+
+
 @_query
 def sowing_season(t: TestTables) -> DataFrame:
-    return season.sowing_season(season.sowing_unpivot(t.plantings()))
+    return season.sowing_season(_sowing(t))
 
 
 @_query
 def sowing_season_totals(t: TestTables) -> DataFrame:
-    return season.sowing_season_totals(season.sowing_unpivot(t.plantings()))
+    return season.sowing_season_totals(_sowing(t))
 
 
 @_query
@@ -252,17 +258,24 @@ def remaining_plants(t: TestTables) -> DataFrame:
     return season.remaining_plants(_daily(t), sowing_season_totals(t))
 
 
-@_query
-def weekly_features_to_day(t: TestTables) -> DataFrame:
-    daily = _daily(t)
+def _weekly_to_day(daily: DataFrame, totals: DataFrame) -> DataFrame:
     return season.weekly_features_to_day(
-        daily, season.midweek_ratio_lags(daily), season.remaining_plants(daily, sowing_season_totals(t))
+        daily, season.midweek_ratio_lags(daily), season.remaining_plants(daily, totals)
     )
 
 
+@_query
+def weekly_features_to_day(t: TestTables) -> DataFrame:
+    # one row per day, read by three branches
+    return _weekly_to_day(shared(_daily(t)), sowing_season_totals(t))
+
+
 @_query
 def season_day(t: TestTables) -> DataFrame:
-    return season.season_days(intake_with_sowing(t), weekly_features_to_day(t))
+    # one row per day: the joined table and the weekly branches come from one scan
+    days = shared(intake_with_sowing(t))
+    daily = days.select("date_recolte", "quantite_recolte")
+    return season.season_days(days, _weekly_to_day(daily, sowing_season_totals(t)))
 
 
 @_query

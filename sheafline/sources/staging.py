@@ -1,12 +1,23 @@
-"""Cutting the lineage of a frame that several jobs read."""
+"""Frames that several jobs, or several branches of one plan, read."""
 
 from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """``df`` kept in memory, spilling to disk, for the branches of one plan.
+
+    For calendar-sized frames only. Branches that prune different columns do not share
+    an exchange, so each would read the fact table again. A lost executor's part is
+    recomputed.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, so that later jobs do not recompute it.
 

@@ -34,9 +34,13 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark = spark
         self._dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        # the schema is looked up in the file once per table
+        if name not in self._frames:
+            self._frames[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._frames[name]
 
     @staticmethod
     def _day(stored: str) -> Column:
@@ -241,5 +245,5 @@ class TestTables:
 
     def duplicated_weather(self) -> DataFrame:
         """Weather with its very wet rows repeated, for the duplicate check."""
-        weather = self.weather()
-        return weather.unionByName(weather.filter(F.col("rr10") > 15))
+        copies = F.when(F.col("rr10") > 15, F.lit(2)).otherwise(F.lit(1))
+        return self.weather().withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
