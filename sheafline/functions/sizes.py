@@ -1,0 +1,18 @@
+"""The planner's size estimate, for choosing between two shapes of a plan."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's estimate lets ``df`` be broadcast in a join.
+
+    This asks what Spark itself will do and forces nothing: it is the optimizer's
+    statistic against the session's threshold, so a table that grows past the threshold
+    gets the other plan.
+    """
+    session = df.sparkSession._jsparkSession
+    threshold = int(session.sessionState().conf().autoBroadcastJoinThreshold())
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return 0 <= estimate <= threshold

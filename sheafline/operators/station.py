@@ -1,7 +1,9 @@
 """Station features: deliveries, sowings and weather brought to packing stations.
 
-Deliveries reach the grower table one row per (grower, day), sowings one row per
-(grower, year): a grower with very many deliveries is reduced before any join.
+A grower may hold a large part of all deliveries. While the grower table is small enough
+for the planner to broadcast it, deliveries are joined in place and summed up per commune
+map-side. Beyond that they are first reduced to one row per (grower, day), so that the
+shuffle to the growers has no hot key.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheafline.functions import TrailingSum, as_int, as_long, date_literal, trailing_sums
+from sheafline.functions import TrailingSum, as_int, as_long, date_literal, fits_broadcast, trailing_sums
 
 # fixed values: bounds of the short training set, of its weather and of the prediction set
 RECENT_DELIVERIES = dt.date(2019, 1, 1)
@@ -140,12 +142,13 @@ def bro_station_features(
     station.
     """
     chosen = select_grower_deliveries(deliveries, deliveries_pred, mode=mode, start=start)
-    per_day = chosen.groupBy("prdcode", "liv_date").agg(F.sum("liv_qty").alias("liv_qty"))
+    if not fits_broadcast(growers):
+        chosen = chosen.groupBy("prdcode", "liv_date").agg(F.sum("liv_qty").alias("liv_qty"))
     full = start == FULL_START
     sowing = bro_sowing_by_commune(sowings, growers, since_year=None if full else RECENT_SOWING_YEAR)
     windows = bro_weather_windows(weather, since=None if full else RECENT_WEATHER)
     # one sowing row per (commune, year), so the rows stay unique per (commune, day)
-    intake = bro_intake_sowing(bro_grower_intake(per_day, growers), sowing)
+    intake = bro_intake_sowing(bro_grower_intake(chosen, growers), sowing)
     rows = bro_station_lookup(bro_weather_join(intake, windows, unique=True), growers)
     stations = rows.groupBy("numero_station", "date_recolte").agg(
         *(F.avg(c).alias(c) for c in AVERAGED),

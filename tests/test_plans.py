@@ -59,6 +59,18 @@ def test_the_delivery_table_is_read_once(spark, sf_dir, name):
     assert count(r"FileScan parquet \[[^\]]*l_", plan_of(QUERIES[name](spark, sf_dir))) == 1
 
 
+def test_a_large_grower_table_is_met_by_reduced_deliveries(spark, sf_dir):
+    small = QUERIES["bro_station_features"](spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        large = QUERIES["bro_station_features"](spark, sf_dir)
+        assert "BroadcastExchange" not in plan_of(large)
+        assert plan_of(large).count("HashAggregate") == plan_of(small).count("HashAggregate") + 2
+        assert large.exceptAll(small).count() == 0 and large.count() == small.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_branches_of_the_season_days_share_one_scan(spark, sf_dir):
     plan = plan_of(QUERIES["season_day"](spark, sf_dir))
     cached = count(r"InMemoryTableScan", plan)
@@ -74,7 +86,7 @@ def test_one_scan_for_all_surfaces_and_models(spark, sf_dir):
 
 @pytest.mark.parametrize(
     "name, bound",
-    [("weekly_profile", "1997-01-01"), ("season_features_predict", "2000-01-01"), ("model_comparison_weekly", "2000-01-01")],
+    [("weekly_profile", "1997-01-01"), ("season_features_predict", "2000-01-02"), ("model_comparison_weekly", "2000-01-02")],
 )
 def test_day_bounds_reach_the_scan(spark, sf_dir, name, bound):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().explainString(
