@@ -655,6 +655,11 @@ _BODIES: dict[str, str] = {
     "minmax_scale_one_series": "select date_recolte, "
     + ", ".join(f"{rounded(_scaled(c, ''))} as {c}" for c in DAY_FEATURES)
     + f" from day_features where code_insee = {SITE}",
+    "minmax_fit": "select code_insee, "
+    + ", ".join(
+        f"{rounded(f'{side}(cast({c} as double))')} as {side}_{c}" for c in DAY_FEATURES for side in ("min", "max")
+    )
+    + " from day_features group by 1",
     "minmax_inverse": "select code_insee, date_recolte, "
     + ", ".join(
         f"cast(trunc((({_scaled(c, 'partition by code_insee')}) / 2 + 1) / 2 "

@@ -22,7 +22,6 @@ from sheafline.operators.sequences import (
     sequence_windows_day,
     sequence_windows_week,
 )
-from sheafline.sources.staging import staged
 
 REGULARISATION = 0.01
 
@@ -54,8 +53,6 @@ def _predicted(samples: DataFrame, keys: Sequence[str], horizon: int) -> DataFra
         )
     )
     train = rows.filter(~F.col("is_score") & F.col("complete") & F.col("label").isNotNull())
-    if train.isEmpty():
-        raise ValueError("no complete window to train on")
     # features share one scale already; the plain penalty keeps the system solvable where
     # a feature is constant, such as the weekday at a fixed place in six-day weeks
     fitted = LinearRegression(
@@ -79,7 +76,8 @@ def sequence_forecast(day: DataFrame, week: DataFrame, *, keys: Sequence[str]) -
 
     ``day`` and ``week`` are the calendar feature tables. Features are scaled per series
     to [-1, 1], windows cut, the last window of each series predicted and brought back
-    to quantities, cut toward zero.
+    to quantities, cut toward zero. The tables are read by the fit, for the statistics
+    and for the prediction; pass staged ones.
     """
     plans = (
         ("day", day, "date_recolte", DAY_FEATURES, sequence_windows_day, DAY_FUTURE),
@@ -87,9 +85,6 @@ def sequence_forecast(day: DataFrame, week: DataFrame, *, keys: Sequence[str]) -
     )
     forecasts = []
     for kind, table, order, features, windows, horizon in plans:
-        # a row per series and day: the fit, the statistics and the prediction start
-        # from here and not from the deliveries
-        table = staged(table)
         scaled = minmax_scale(table, list(features), keys=keys)
         samples = latest_window(
             windows(scaled, keys=keys, order=order, features=features, target=TARGET), keys=keys

@@ -72,14 +72,19 @@ def weather_trailing(weather: DataFrame, *, sites: Sequence[int] | None = None)
     return trailing_sums(base, ["code_insee"], "date_reelle", WEATHER_SUMS)
 
 
-def _site_days(
+def site_days(
     archive: DataFrame,
     live: DataFrame,
     calendar: DataFrame,
     weather: DataFrame,
+    *,
     sites: Sequence[int],
 ) -> DataFrame:
-    """Calendar days x sites with shared intake and the site's weather."""
+    """Calendar days x sites with shared intake and the site's weather.
+
+    The common base of the daily and the weekly feature table. A run that needs both
+    can build it once, keep it, and read the deliveries once.
+    """
     intake = calendar_spine(calendar, daily_intake(deliveries_union(archive, live)))
     site = F.explode(F.array(*(F.lit(s).cast("bigint") for s in sites)))
     spine = intake.withColumn("code_insee", site)
@@ -87,17 +92,8 @@ def _site_days(
     return spine.join(observed, ["code_insee", "date_recolte"], "left")
 
 
-def flux_day_sites(
-    archive: DataFrame,
-    live: DataFrame,
-    calendar: DataFrame,
-    weather: DataFrame,
-    *,
-    sites: Sequence[int],
-    start: dt.date | str = DAY_START,
-) -> DataFrame:
-    """Daily feature table of several sites, keyed (code_insee, jour); not sorted."""
-    days = _site_days(archive, live, calendar, weather, sites)
+def day_table(days: DataFrame, *, start: dt.date | str = DAY_START) -> DataFrame:
+    """Daily feature table from ``site_days``, keyed (code_insee, jour); not sorted."""
     return days.filter(F.col("date_recolte") > date_literal(start)).select(
         "code_insee",
         F.col("date_recolte").alias("jour"),
@@ -110,36 +106,40 @@ def flux_day_sites(
     )
 
 
-def flux_day(
+def flux_day_sites(
     archive: DataFrame,
     live: DataFrame,
     calendar: DataFrame,
     weather: DataFrame,
     *,
-    site: int,
+    sites: Sequence[int],
     start: dt.date | str = DAY_START,
 ) -> DataFrame:
-    """Daily feature table of one site, in day order."""
-    days = flux_day_sites(archive, live, calendar, weather, sites=[site], start=start)
-    return days.drop("code_insee").orderBy("jour")
+    """Daily feature table of several sites; not sorted."""
+    return day_table(site_days(archive, live, calendar, weather, sites=sites), start=start)
 
 
-def flux_week_sites(
+def flux_day(
     archive: DataFrame,
     live: DataFrame,
     calendar: DataFrame,
     weather: DataFrame,
     *,
-    sites: Sequence[int],
-    start: dt.date | str = WEEK_START,
+    site: int,
+    start: dt.date | str = DAY_START,
 ) -> DataFrame:
-    """Weekly feature table of several sites; not sorted.
+    """Daily feature table of one site, in day order."""
+    days = flux_day_sites(archive, live, calendar, weather, sites=[site], start=start)
+    return days.drop("code_insee").orderBy("jour")
+
+
+def week_table(days: DataFrame, *, start: dt.date | str = WEEK_START) -> DataFrame:
+    """Weekly feature table from ``site_days``, keyed (code_insee, id); not sorted.
 
     Daily measures are rounded before the weekly sum, trailing sums after it. Weeks are
     numbered per site before weeks without weather are dropped, so numbers can have
     gaps.
     """
-    days = _site_days(archive, live, calendar, weather, sites)
     days = days.filter(F.col("date_recolte") >= date_literal(start))
     rounded = days.select(
         "code_insee",
@@ -168,6 +168,19 @@ def flux_week_sites(
     )
 
 
+def flux_week_sites(
+    archive: DataFrame,
+    live: DataFrame,
+    calendar: DataFrame,
+    weather: DataFrame,
+    *,
+    sites: Sequence[int],
+    start: dt.date | str = WEEK_START,
+) -> DataFrame:
+    """Weekly feature table of several sites; not sorted."""
+    return week_table(site_days(archive, live, calendar, weather, sites=sites), start=start)
+
+
 def flux_week(
     archive: DataFrame,
     live: DataFrame,

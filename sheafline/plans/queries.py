@@ -26,8 +26,8 @@ from sheafline.operators import (
     weather,
     weekly,
 )
-from sheafline.sources import TestTables
-from sheafline.sources.staging import shared
+from sheafline.plans.testdata import TestTables
+from sheafline.sources import shared, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -437,6 +437,11 @@ def minmax_scale_one_series(t: TestTables) -> DataFrame:
     return _rounded(scaling.minmax_scale(features, list(calendar.DAY_FEATURES)))
 
 
+@_query
+def minmax_fit(t: TestTables) -> DataFrame:
+    return _rounded(scaling.minmax_fit(_day_features(t), list(calendar.DAY_FEATURES), keys=SERIES))
+
+
 @_query
 def minmax_inverse(t: TestTables) -> DataFrame:
     columns = ["qte", "tmax", "tmin", "ctmin", "ctmax", "cpluie"]
@@ -495,7 +500,13 @@ def latest_window(t: TestTables) -> DataFrame:
 
 @_query
 def sequence_forecast(t: TestTables) -> DataFrame:
-    return forecast.sequence_forecast(_day_features(t), _week_features(t), keys=SERIES)
+    # a row per site and calendar day: both models start from one pass over the facts
+    days = staged(intake.site_days(*_intake_tables(t), sites=SITES))
+    day = intake.flux_day_until(intake.day_table(days), as_of=AS_OF)
+    week = intake.flux_week_until_next(intake.week_table(days), as_of=AS_OF)
+    return forecast.sequence_forecast(
+        calendar.calendar_features_day(day), calendar.calendar_features_week(week), keys=SERIES
+    )
 
 
 @_query

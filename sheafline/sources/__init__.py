@@ -1,7 +1,7 @@
-"""Readers, writers and the input tables derived from the test data."""
+"""Schemas, readers and writers of the source tables."""
 
 from sheafline.sources.sinks import append_rows, write_new
+from sheafline.sources.staging import shared, staged
 from sheafline.sources.tables import SCHEMAS, read_table
-from sheafline.sources.testdata import TestTables
 
-__all__ = ["SCHEMAS", "TestTables", "append_rows", "read_table", "write_new"]
+__all__ = ["SCHEMAS", "append_rows", "read_table", "shared", "staged", "write_new"]

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from sheafline.operators import intake, season, weather
 from sheafline.plans import QUERIES
 from sheafline.plans.queries import SITE
-from sheafline.sources import SCHEMAS, TestTables, append_rows, read_table, write_new
+from sheafline.plans.testdata import TestTables
+from sheafline.sources import SCHEMAS, append_rows, read_table, write_new
 
 
 def plan_of(df):
