@@ -67,20 +67,24 @@ INT_CUMULS = (
 WEEKLY_LAGS = tuple(f"{name}_{k}" for name in ("mi_recolte", "ratio") for k in range(1, 6))
 
 
-def sowing_unpivot(plantings: DataFrame, *, years: Iterable[int] = PLANTING_YEARS) -> DataFrame:
+def sowing_unpivot(
+    plantings: DataFrame, *, years: Iterable[int] = PLANTING_YEARS, text_grower: bool = True
+) -> DataFrame:
     """One row per planting whose surface column matches its planting year.
 
     A planting keeps the surface of its own year only, so the wide columns are picked
     from by year: one row in, at most one row out, where a general unpivot would first
-    make a row per year.
+    make a row per year. ``text_grower`` gives the grower as text; plans that go on to
+    join on it leave it as it is.
     """
+    grower = F.col("code_adherent")
     year = F.year("date_plantation")
     surface = F.coalesce(*(F.when(year == y, F.col(f"surface_{y}")) for y in years))
     return (
         plantings.withColumn("surface", surface)
         .filter(F.col("surface").isNotNull())
         .select(
-            F.col("code_adherent").cast("string").alias("code_adherent"),
+            (grower.cast("string") if text_grower else grower).alias("code_adherent"),
             "variete_norm",
             "date_plantation",
             (F.col("surface") * PLANTS_PER_SURFACE).alias("qte_semis"),
@@ -106,22 +110,34 @@ def sowing_season_totals(sowing: DataFrame) -> DataFrame:
 
 
 def harvest_season_by_grower(deliveries: DataFrame) -> DataFrame:
-    """Delivered quantity per day, harvest season and grower."""
-    season = harvest_season(F.col("date_recolte")).alias("saison")
-    return deliveries.groupBy("date_recolte", season, "code_adherent").agg(
+    """Delivered quantity per day, harvest season and grower.
+
+    The season follows from the day, so it is no grouping key.
+    """
+    daily = deliveries.groupBy("date_recolte", "code_adherent").agg(
         F.sum("quantite_recolte").alias("quantite_recolte")
     )
+    return daily.select(
+        "date_recolte",
+        harvest_season(F.col("date_recolte")).alias("saison"),
+        "code_adherent",
+        "quantite_recolte",
+    )
 
 
 def intake_with_sowing(harvest: DataFrame, sowing: DataFrame) -> DataFrame:
     """Intake per day beside the season's planting of the growers who delivered.
 
     A grower's planting counts again on each of the grower's days. Both sides of the
-    join are aggregated, so a grower has at most one row per day.
+    join are aggregated, so a grower has at most one row per day. Growers are compared
+    as text only if the two sides differ in type.
     """
-    harvest = harvest.withColumn("code_adherent", F.col("code_adherent").cast("string"))
+    grower = "code_adherent"
+    if harvest.schema[grower].dataType != sowing.schema[grower].dataType:
+        harvest = harvest.withColumn(grower, F.col(grower).cast("string"))
+        sowing = sowing.withColumn(grower, F.col(grower).cast("string"))
     return (
-        harvest.join(sowing, ["saison", "code_adherent"], "left")
+        harvest.join(sowing, ["saison", grower], "left")
         .groupBy("date_recolte")
         .agg(F.sum("qte_semis").alias("qte_semis"), F.sum("quantite_recolte").alias("quantite_recolte"))
     )
@@ -260,7 +276,7 @@ def _feature_rows(
     last: Column,
 ) -> DataFrame:
     """The 43 feature columns of the harvest days between two days (inclusive)."""
-    sowing = with_planting_season(sowing_unpivot(plantings))
+    sowing = with_planting_season(sowing_unpivot(plantings, text_grower=False))
     intake = intake_with_sowing(harvest_season_by_grower(deliveries), sowing_season(sowing))
     days = repeat_by_weekly_rows(intake, sowing_season_totals(sowing))
     days = days.filter(F.col("date_recolte").between(first, last))

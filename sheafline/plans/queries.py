@@ -241,7 +241,9 @@ def harvest_season_by_grower_predict(t: TestTables) -> DataFrame:
 
 @_query
 def intake_with_sowing(t: TestTables) -> DataFrame:
-    return season.intake_with_sowing(harvest_season_by_grower(t), sowing_season(t))
+    plantings = season.sowing_unpivot(t.plantings(), text_grower=False)
+    planted = season.sowing_season(season.with_planting_season(plantings))
+    return season.intake_with_sowing(harvest_season_by_grower(t), planted)
 
 
 def _daily(t: TestTables) -> DataFrame:

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import intake, season, weather
+from sheafline.operators import intake, season, station, weather
 from sheafline.plans import QUERIES
 from sheafline.plans.queries import SITE
 from sheafline.plans.testdata import TestTables
@@ -72,6 +72,35 @@ def test_a_large_grower_table_is_met_by_reduced_deliveries(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_grower_is_split_in_the_row_level_join(spark):
+    deliveries = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("prdcode"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 700).cast("int")).alias("liv_date"),
+        (F.col("id") % 41).alias("liv_qty"),
+    )
+    growers = spark.range(5000).select(
+        F.col("id").alias("code_adherent"), (F.col("id") % 9).alias("code_insee"), F.lit(1).alias("numero_station")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = station.bro_grower_intake(deliveries, growers)
+        rows = joined.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+        assert len(rows) == 300_000
+        assert sum(r["quantite_recolte"] for r in rows) == sum(i % 41 for i in range(300_000))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_branches_of_the_season_days_share_one_scan(spark, sf_dir):
     plan = plan_of(QUERIES["season_day"](spark, sf_dir))
     cached = count(r"InMemoryTableScan", plan)
