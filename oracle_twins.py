@@ -692,8 +692,9 @@ _BODIES: dict[str, str] = {
                    union all
                    select jour + 7, -dt from forecast_daily
                    where jour >= {AS_OF} - 10 and jour < {AS_OF} - 3),
-             d as (select jour + 7 as jour, sum(v) as pred from t where isodow(jour) < 7 group by 1)
-        select jour, cast(greatest(pred, 0) as bigint) as pred2,
+             d as (select {AS_OF} + 4 + cast(p as int) as jour, sum(v) as pred
+                   from (select unnest(range(6)) as p) left join t on isodow(jour) = p + 1 group by 1)
+        select jour, cast(greatest(coalesce(pred, 0), 0) as bigint) as pred2,
                cast(case when isodow(jour) = 1 then (select sum(pred) from d) end as bigint) as pred1
         from d
         union all

@@ -3,7 +3,7 @@
 The daily model predicts each of the six days from the flattened past, that day's
 exogenous features and the day's place in the week; the weekly model predicts the week
 from the flattened past and the week's exogenous features. Both are regularised linear
-regressions over all series, solved by Spark in one pass over the samples.
+regressions over all series, solved by Spark from sums over the samples.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from sheafline.operators.sequences import (
     sequence_windows_day,
     sequence_windows_week,
 )
+from sheafline.sources import shared
 
 REGULARISATION = 0.01
 
@@ -52,16 +53,27 @@ def _predicted(samples: DataFrame, keys: Sequence[str], horizon: int) -> DataFra
             F.col("target")[F.col("position")].alias("label"),
         )
     )
-    train = rows.filter(~F.col("is_score") & F.col("complete") & F.col("label").isNotNull())
+    train = shared(
+        rows.filter(~F.col("is_score") & F.col("complete") & F.col("label").isNotNull()).select(
+            array_to_vector("values").alias("features"), "label"
+        )
+    )
     # features share one scale already; the plain penalty keeps the system solvable where
     # a feature is constant, such as the weekday at a fixed place in six-day weeks
-    fitted = LinearRegression(
+    regression = LinearRegression(
         featuresCol="features",
         labelCol="label",
         regParam=REGULARISATION,
         standardization=False,
         solver="normal",
-    ).fit(train.select(array_to_vector("values").alias("features"), "label"))
+    )
+    # the fit passes over its input more than once: its width, its sums, its summary
+    try:
+        if train.isEmpty():
+            raise ValueError("no complete window to train on")
+        fitted = regression.fit(train)
+    finally:
+        train.unpersist()
     weights = F.array(*(F.lit(float(w)) for w in fitted.coefficients))
     score = F.aggregate(
         F.zip_with("values", weights, lambda v, w: v * w),

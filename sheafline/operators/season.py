@@ -26,7 +26,6 @@ from sheafline.functions import (
 )
 from sheafline.functions.dates import as_date
 from sheafline.functions.seasons import LAST_WEEKLY_SEASON
-from sheafline.operators.intake import daily_intake
 from sheafline.operators.weather import weather_cumuls, weather_day_flags
 from sheafline.sources.tables import PLANTING_YEARS
 

@@ -522,15 +522,15 @@ def publish_forecast(t: TestTables) -> DataFrame:
     """A trend forecast published over the forecasts already stored."""
     monday = AS_OF + dt.timedelta(days=4)
     recent = t.forecast_daily(since=monday - dt.timedelta(days=14), until=monday)
-    position = F.datediff(F.col("jour"), F.lit(monday)) % 7
-    weight = F.when(F.col("jour") >= F.lit(monday - dt.timedelta(days=7)), F.lit(2)).otherwise(F.lit(-1))
-    trend = (
-        recent.select(((position + 7) % 7).alias("position"), (F.col("dt") * weight).alias("v"))
-        .filter(F.col("position") < 6)
-        .groupBy("position")
-        .agg(F.sum("v").alias("pred"))
+    # twice the last week's value less the one before, a NULL where a day has neither
+    last_week = F.col("jour") >= F.lit(monday - dt.timedelta(days=7))
+    value = F.col("dt") * F.when(last_week, F.lit(2)).otherwise(F.lit(-1))
+    weekday = F.weekday("jour")
+    sums = recent.agg(*(F.sum(F.when(weekday == p, value)).alias(f"d{p}") for p in range(6)))
+    trend = sums.select(
+        F.inline(F.array(*(F.struct(F.lit(p).alias("position"), F.col(f"d{p}").alias("pred")) for p in range(6))))
     )
-    week = trend.agg(F.sum("pred").alias("pred"))
+    week = recent.agg(F.sum(F.when(weekday < 6, value)).alias("pred"))
     stored = t.forecast_daily(until=monday + dt.timedelta(days=2)).select(
         "jour", F.col("dt").alias("pred2"), F.when(F.dayofweek("jour") == 2, F.col("dt") * 6).alias("pred1")
     )

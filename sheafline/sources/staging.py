@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """``df`` kept in memory, spilling to disk, for the branches of one plan.
+    """``df`` kept by the executors, spilling to disk, for several branches or passes.
 
-    For calendar-sized frames only. Branches that prune different columns do not share
-    an exchange, so each would read the fact table again. A lost executor's part is
-    recomputed.
+    Branches that prune different columns do not share an exchange, so each would read
+    the fact table again. A lost executor's part is recomputed. Frames that stay must be
+    calendar-sized; larger ones are for the caller to unpersist.
     """
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 

@@ -57,7 +57,7 @@ SCHEMAS: dict[str, StructType] = {
         pred_cleder_fd_knn=_LONG, pred_vg_fd_xgb=_LONG, pred_cleder_fd_xgb=_LONG,
         pred_vg_fd_keras=_LONG, pred_cleder_fd_keras=_LONG,
     ),
-    "published_forecasts": _struct(jour=_DATE, pred2=_INT, pred1=_INT),
+    "published_forecasts": _struct(jour=_DATE, pred2=_LONG, pred1=_LONG),
     "run_logs": _struct(timest=_LONG, ml=_TEXT, info=_TEXT, log=_TEXT, page=_TEXT),
 }
 

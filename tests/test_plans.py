@@ -1,12 +1,13 @@
 """Properties of results and plans that must hold at any scale."""
 
+import datetime as dt
 import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import intake, season, station, weather
+from sheafline.operators import intake, publish, season, station, weather
 from sheafline.plans import QUERIES
 from sheafline.plans.queries import SITE
 from sheafline.plans.testdata import TestTables
@@ -168,6 +169,21 @@ def test_tables_are_written_once_and_appended_to(spark, tmp_path):
         write_new(rows, path)
 
 
+def test_a_published_week_replaces_stored_days_in_a_new_table(spark, tmp_path):
+    root = str(tmp_path)
+    stored = spark.createDataFrame(
+        [(dt.date(2021, 6, 12), 4, None), (dt.date(2021, 6, 14), 5, 30)], SCHEMAS["published_forecasts"]
+    )
+    write_new(stored, f"{root}/published_forecasts")
+    daily = spark.createDataFrame([(p, 10 + p) for p in range(6)], "position int, pred long")
+    week = spark.createDataFrame([(75,)], "pred long")
+    new = publish.publish_forecast(daily, week, as_of="2021-06-10")
+    table = publish.upsert_forecast(read_table(spark, root, "published_forecasts"), new)
+    write_new(table, f"{root}/next/published_forecasts")
+    rows = {r["jour"].day: (r["pred2"], r["pred1"]) for r in read_table(spark, f"{root}/next", "published_forecasts").collect()}
+    assert rows == {12: (4, None), 14: (10, 75), 15: (11, None), 16: (12, None), 17: (13, None), 18: (14, None), 19: (15, None)}
+
+
 def test_entry_runs():
     import __spark_entry__ as driver
 

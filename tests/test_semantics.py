@@ -372,6 +372,61 @@ def test_least_squares_uses_two_weeks_before(spark):
     assert (row["n"], row["slope"], row["intercept"]) == (4, pytest.approx(2.0), pytest.approx(1.0))
 
 
+def _model_table(spark, order, features, n, target):
+    """Two series whose quantity follows tmax of the same row."""
+    rng = random.Random(3)
+    rows = []
+    for series in (1, 2):
+        for i in range(n):
+            values = {f: rng.uniform(-1, 1) for f in features}
+            values["tmax"] = float(rng.randrange(0, 30))
+            values["qte"] = target(values["tmax"])
+            rows.append((series, i, *(values[f] for f in features)))
+    return spark.createDataFrame(rows, f"code_insee int, {order} int, " + ", ".join(f"{f} double" for f in features))
+
+
+def test_forecast_recovers_a_linear_relation(spark):
+    def quantity(tmax):
+        return 500.0 + 20.0 * tmax
+
+    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 1800, quantity)
+    week = _model_table(spark, "id", calendar.WEEK_FEATURES, 600, quantity)
+    rows = forecast.sequence_forecast(day, week, keys=["code_insee"]).collect()
+    got = {(r["code_insee"], r["kind"], r["position"]): r["pred"] for r in rows}
+    assert len(got) == 2 * (6 + 1)
+
+    def actual(table, order, offset):
+        last = {r["code_insee"]: r[1] for r in table.groupBy("code_insee").agg(F.max(order)).collect()}
+        known = {(r["code_insee"], r[order]): r["qte"] for r in table.select("code_insee", order, "qte").collect()}
+        return {s: known[(s, last[s] - offset)] for s in last}
+
+    # the anchor of the last full day window: 12 + 6k with 8 rows after it
+    anchor = max(i for i in range(12, 1800, 6) if i + 8 <= 1799)
+    for position in range(6):
+        expected = actual(day, "date_recolte", 1799 - (anchor + 3 + position))
+        for series, value in expected.items():
+            assert got[(series, "day", position)] == pytest.approx(value, rel=0.06)
+    for series, value in actual(week, "id", 0).items():
+        assert got[(series, "week", 0)] == pytest.approx(value, rel=0.06)
+
+
+def test_a_last_window_with_a_gap_is_not_predicted(spark):
+    week = _model_table(spark, "id", calendar.WEEK_FEATURES, 400, lambda t: 10 * t)
+    gap = (F.col("code_insee") == 2) & (F.col("id") == 399)
+    week = week.withColumn("tmax", F.when(~gap, F.col("tmax")))
+    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 1800, lambda t: 10 * t)
+    rows = forecast.sequence_forecast(day, week, keys=["code_insee"]).filter("kind = 'week'").collect()
+    assert {r["code_insee"]: r["pred"] is None for r in rows} == {1: False, 2: True}
+
+
+def test_nothing_to_train_on_is_an_error(spark):
+    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 40, lambda t: t)
+    day = day.withColumn("tmin", F.lit(None).cast("double"))
+    week = _model_table(spark, "id", calendar.WEEK_FEATURES, 40, lambda t: t)
+    with pytest.raises(ValueError, match="no complete window"):
+        forecast.sequence_forecast(day, week, keys=["code_insee"])
+
+
 def _daily(spark, values):
     return spark.createDataFrame(list(enumerate(values)), "position int, pred long")
 
