@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
+from sheafline.llm.words import blocks
+
 #: Distinct pieces whose ids a task keeps; beyond it the table starts anew.
 REMEMBERED = 500_000
 #: Bytes beyond which a piece has an inverted index of its own.
@@ -201,7 +203,8 @@ def encode(text: Column | str, *, ranks: str, pattern: str, remembered: int = RE
         split = regex.compile(pattern).findall
         replay = MergeReplay(table, remembered)
         for texts in batches:
-            yield replay.encode((t.as_py() for t in texts), split)
+            parts = [replay.encode((t.as_py() for t in block), split) for block in blocks(texts)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return ids(text)
 
@@ -214,10 +217,10 @@ def decode(ids: Column | str, *, ranks: str) -> Column:
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = {rank: value for value, rank in table.items()}
         for lists in batches:
-            numbers = lists.values.to_numpy(zero_copy_only=False).tolist()
+            numbers = lists.values.to_numpy(zero_copy_only=False)
             ends = lists.offsets.to_numpy().tolist()
             yield pa.array(
-                [b"".join([token[i] for i in numbers[a:b]]) for a, b in zip(ends, ends[1:], strict=False)],
+                [b"".join([token[i] for i in numbers[a:b].tolist()]) for a, b in zip(ends, ends[1:], strict=False)],
                 pa.binary(),
             )
 

@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from sheafline.llm.words import blocks
+
 #: Distinct pieces (and pairs of tokens) whose counts a task keeps.
 REMEMBERED = 500_000
 NEVER = 1 << 62
@@ -318,7 +320,9 @@ def token_counts(text: Column | str, *, vocabulary: str, pattern: str, budget: i
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count = Counter(content, pattern, remembered)
         for texts in batches:
-            found = [(c.total, c.longest_within(budget)) for c in count(t.as_py() for t in texts)]
+            found = [
+                (c.total, c.longest_within(budget)) for block in blocks(texts) for c in count(t.as_py() for t in block)
+            ]
             columns = [pa.array([row[k] for row in found], pa.int64()) for k in range(2)]
             yield pa.StructArray.from_arrays(columns, names=COUNTS.names)
 
@@ -333,7 +337,11 @@ def prefix_counts(text: Column | str, *, vocabulary: str, pattern: str, remember
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count = Counter(content, pattern, remembered)
         for texts in batches:
-            rows = [[c.at(n) for n in range(len(c.text) + 1)] for c in count(t.as_py() for t in texts)]
+            rows = [
+                [c.at(n) for n in range(len(c.text) + 1)]
+                for block in blocks(texts)
+                for c in count(t.as_py() for t in block)
+            ]
             yield pa.array(rows, pa.list_(pa.int32()))
 
     return counted(text)

@@ -7,6 +7,7 @@ windows and counts are array operations instead of loops over words.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -121,3 +122,13 @@ def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` over each text's words."""
     sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
     return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
+def blocks(texts: pa.Array, size: int = 4_000_000) -> Iterator[pa.Array]:
+    """Slices of about ``size`` bytes, so that memory does not follow the batch."""
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))])
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + size, side="right")) - 1)
+        yield texts.slice(begin, end - begin)
+        begin = end
