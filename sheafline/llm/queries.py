@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheafline.llm import bpe, counts, quality
+from sheafline.llm import bpe, counts, langid, quality, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +51,56 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
+    vectors = embeddings.filter(usable).select("vec_id", scaled.alias("vector"))
+    queries = vectors.filter(F.col("vec_id") % 50 == 0)
+    found = topk.exact_top_k(vectors, queries, k=5)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+#: Rules on hosts and paths.
+RULES = (
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+)
+#: Names whose hosts, with all hosts below them, are listed.
+LISTED_NAMES = ("spam-farm", "cheap-pills", "casino-win", "click-bait")
+
+
+@_query
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = pages.select(urls.host_and_path("url")[0].alias("key")).distinct()
+    listed = hosts.filter(F.arrays_overlap(F.split("key", r"\."), F.array(*map(F.lit, LISTED_NAMES))))
+    filters = urls.cascade(listed, hosts)
+    return urls.url_verdicts(pages, rules=RULES, filters=filters)
+
+
+def _held_out(remainder: int, modulus: int) -> Column:
+    """By a checksum of the id; a row without an id is never held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+@_query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(documents.filter(~_held_out(2, 4)))
+    found = documents.select("doc_id", _held_out(2, 4).alias("held_out"), langid.predict("text", model).alias("found"))
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("found.lang_pred").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.col("found.rejected").alias("rejected"),
+    )
+
+
 @_query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
