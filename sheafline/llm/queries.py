@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheafline.llm import bpe, counts, langid, quality, topk, urls
+from sheafline.llm import bpe, counts, langid, quality, substrings, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,7 +70,7 @@ RULES = (
     urls.Rule("allow", "org", "/fr/"),
 )
 #: Names whose hosts, with all hosts below them, are listed.
-LISTED_NAMES = ("spam-farm", "cheap-pills", "casino-win", "click-bait")
+LISTED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
 @_query
@@ -115,3 +115,31 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("found.n_tokens") > TOKEN_LIMIT).alias("over_limit"),
         F.col("found.prefix_chars").alias("prefix_chars"),
     )
+
+
+@_query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substrings.remove_repeated(documents)
+    words = F.trim(F.regexp_replace("kept_text", r"[\x20\x09-\x0D]+", " "))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
+ORACLES["op10_substring_dedup"] = r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents
+), windows as (
+  select doc_id, unnest(range(1, len(w) - 11)) p, w from words
+), keyed as (
+  select doc_id, p, md5(array_to_string(w[p : p + 12], ' ')) k from windows
+), firsts as (
+  select k, min(doc_id) first from keyed group by k
+), removed as (
+  select distinct doc_id, unnest(range(p, p + 13)) p from keyed join firsts using (k) where doc_id > first
+), gone as (
+  select doc_id, list(p) ps from removed group by doc_id
+)
+select doc_id, len(w)::bigint n_words, coalesce(len(ps), 0)::bigint n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: not list_contains(coalesce(ps, []), i)), ' ')) kept_sha256
+from words left join gone using (doc_id)
+"""

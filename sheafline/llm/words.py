@@ -132,3 +132,31 @@ def blocks(texts: pa.Array, size: int = 4_000_000) -> Iterator[pa.Array]:
         end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + size, side="right")) - 1)
         yield texts.slice(begin, end - begin)
         begin = end
+
+
+def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of texts from ``whole_texts``, and where each text begins and the last ends."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return raw, offsets - offsets[0]
+
+
+def without_words(texts: pa.Array, removed: np.ndarray) -> pa.Array:
+    """Texts without the words marked in ``removed``, one flag per word of all texts.
+
+    A word goes together with the white space after it. Other characters stay as they are.
+    """
+    raw, offsets = raw_bytes(texts)
+    word = ~SPACE[raw]
+    first = word.copy()
+    first[1:] &= SPACE[raw[:-1]]
+    first[offsets[:-1][offsets[:-1] < len(raw)]] = word[offsets[:-1][offsets[:-1] < len(raw)]]
+    number = np.cumsum(first)
+    # white space before a text's first word belongs to no word
+    owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    before = np.concatenate([[0], number])[offsets[:-1]]
+    keep = np.concatenate([[False], removed])[np.where(number > before[owner], number, 0)] == 0
+    ends = np.concatenate([[0], np.cumsum(keep)])[offsets].astype(np.int64)
+    return pa.Array.from_buffers(
+        pa.large_string(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw[keep]))]
+    )
