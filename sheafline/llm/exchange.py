@@ -21,9 +21,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 CHUNK = 2048
 #: Keys of a chunk, sorted and distinct, with a number for each.
 Asked = tuple[np.ndarray, np.ndarray]
+#: Answers in the order of the asked keys, and totals of the part.
+Reply = tuple[np.ndarray, list[int]]
 
 REQUEST = "part long, chunk long, keys binary, values binary"
-ANSWER = "chunk long, part long, answer binary"
+ANSWER = "chunk long, part long, answer binary, totals array<long>"
 
 
 def squeezed(numbers: np.ndarray) -> bytes:
@@ -73,11 +75,12 @@ def part_bounds(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, parts), [len(keys)]])
 
 
-def answers(asked: DataFrame, reply: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+def answers(asked: DataFrame, reply: Callable[[np.ndarray, np.ndarray, np.ndarray], Reply]) -> DataFrame:
     """Rows of ``ANSWER``, a number for each key that was asked.
 
-    ``reply`` gets the distinct keys' positions, as an index into them for each asked key,
-    their values, and where each chunk's keys begin.
+    ``reply`` gets the place of each asked key among the part's distinct keys, the values
+    sent with the keys, and where each chunk's keys begin. It returns the answers, and
+    totals of the part, which one of its rows carries.
     """
 
     def replied(rows: pa.Table) -> pa.Table:
@@ -85,9 +88,16 @@ def answers(asked: DataFrame, reply: Callable[[np.ndarray, np.ndarray, np.ndarra
         values = np.concatenate([unsqueezed(v.as_py()) for v in rows["values"]])
         begins = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
         index = np.unique(np.concatenate(keys), return_inverse=True)[1]
-        found = reply(index, values, begins)
+        found, totals = reply(index, values, begins)
         packed = [squeezed(found[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
-        return pa.table({"chunk": rows["chunk"], "part": rows["part"], "answer": pa.array(packed, pa.binary())})
+        return pa.table(
+            {
+                "chunk": rows["chunk"],
+                "part": rows["part"],
+                "answer": pa.array(packed, pa.binary()),
+                "totals": pa.array([totals] + [None] * (len(packed) - 1), pa.list_(pa.int64())),
+            }
+        )
 
     return asked.groupBy("part").applyInArrow(replied, ANSWER)
 

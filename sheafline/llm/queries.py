@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheafline.llm import bpe, counts, langid, quality, substrings, topk, urls
+from sheafline.llm import bpe, counts, jaccard, langid, lm, quality, substrings, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(remainder: int, modulus: int) -> Column:
+    """By a checksum of the id; a row without an id is never held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
 @_query
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,6 +56,12 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score_documents(documents, held_out=_held_out(0, 10))
+
+
 @_query
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -82,9 +93,42 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(pages, rules=RULES, filters=filters)
 
 
-def _held_out(remainder: int, modulus: int) -> Column:
-    """By a checksum of the id; a row without an id is never held out."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+@_query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(documents, n=3, percent=90)
+
+
+ORACLES["op7_jaccard_join"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+  ) w from documents
+), shingles as (
+  select distinct doc_id, s from (
+    select doc_id, unnest(
+      case when len(w) = 0 then [] when len(w) < 3 then [md5(array_to_string(w, ' '))]
+      else list_transform(range(1, len(w) - 1), lambda p: md5(array_to_string(w[p : p + 2], ' '))) end
+    ) s from words
+  )
+), sizes as (
+  select doc_id, count(*) n from shingles group by doc_id
+), shared as (
+  select x.doc_id a, y.doc_id b, count(*) common from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id
+  group by all
+), links as (
+  select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+  where 100 * common >= 90 * (p.n + q.n - common)
+), both_ways as (
+  select a, b from links union all select b, a from links
+), reached as (
+  select doc_id, doc_id node from documents
+  union
+  select r.doc_id, e.b from reached r join both_ways e on r.node = e.a
+)
+select d.doc_id, coalesce(n, 0)::bigint n_shingles, min(node) component_id
+from documents d left join sizes using (doc_id) join reached r on r.doc_id = d.doc_id group by all
+"""
 
 
 @_query

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from sheafline.llm.exchange import CHUNK, answers, chunked, in_order, requests
+from sheafline.llm.exchange import CHUNK, Reply, answers, chunked, in_order, requests
 from sheafline.llm.words import covered, per_text, whole_texts, window_hashes, without_words, word_block
 
 WINDOW = 13
@@ -91,12 +91,12 @@ def _windows(rows: pa.Table, id: str, text: str, window: int):
     return keys, smallest, index, starts, ids, block
 
 
-def _smaller_id(index: np.ndarray, values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+def _smaller_id(index: np.ndarray, values: np.ndarray, begins: np.ndarray) -> Reply:
     """For each asked key the smallest id of all chunks, if it is smaller than the chunk's own; else -1 as none."""
     smallest = np.full(int(index.max()) + 1 if len(index) else 0, LAST)
     np.minimum.at(smallest, index, values)
     found = smallest[index]
-    return np.where(found < values, found, NONE)
+    return np.where(found < values, found, NONE), []
 
 
 #: No smaller id: a number that no id has in practice, and that is skipped before it is used as one.

@@ -7,9 +7,8 @@ first level that does not know a key decides it: an even number of levels passed
 unlisted, an odd number listed. As the universe holds every key of the corpus, no answer
 is wrong and no join with the list is needed.
 
-All work is expressions: keys are hashed with ``xxhash64``, levels are built with the
-bitmap aggregates and read as scalar subqueries. A level holds ``BITS_PER_KEY`` bits for
-each key it encodes. Levels shrink geometrically, so the cascade grows with the list of
+All work is expressions (see ``bloom``). A level has twelve bits for each key it encodes.
+Levels shrink geometrically, so the cascade grows with the list of
 keys, which is refused beyond ``most_keys``, and not with the pages.
 """
 
@@ -20,11 +19,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BITS_PER_KEY = 12
-HASHES = 4
-#: Bits that one bitmap of Spark's aggregate holds (fixed value).
-BITMAP = 32768
-#: Keys that a cascade encodes at most in a level: 12 MB of bits.
+from sheafline.llm.bloom import Filter, build, kept
+
+#: Keys that a level encodes at most, in 12 MB of bits.
 MOST_KEYS = 8_000_000
 
 
@@ -68,53 +65,9 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-def _positions(key: Column, level: int, bits: int) -> list[Column]:
-    """Places of a key's bits, from 1. Levels hash differently."""
-    seeds = (F.lit(level * HASHES + n) for n in range(HASHES))
-    return [F.pmod(F.xxhash64(seed, key), F.lit(bits)) + 1 for seed in seeds]
-
-
-@dataclass(frozen=True)
-class Level:
-    """One Bloom filter: a row with an array of bitmaps, in a table of its own."""
-
-    number: int
-    bits: int
-    bitmaps: DataFrame
-
-    def knows(self, key: Column) -> Column:
-        bitmaps = self.bitmaps.scalar()
-        checks = [_bit(bitmaps, position) for position in _positions(key, self.number, self.bits)]
-        out = checks[0]
-        for check in checks[1:]:
-            out = out & check
-        return out
-
-
-def _bit(bitmaps: Column, position: Column) -> Column:
-    offset = F.bitmap_bit_position(position)
-    bitmap = F.element_at(bitmaps, F.bitmap_bucket_number(position).cast("int"))
-    byte = F.conv(F.hex(F.substring(bitmap, (offset / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, (offset % 8).cast("int")) % 2 == 1
-
-
-def _level(keys: DataFrame, number: int, count: int) -> Level:
-    buckets = max(1, -(-count * BITS_PER_KEY // BITMAP))
-    bits = buckets * BITMAP
-    set_bits = keys.select(F.explode(F.array(*_positions(F.col("key"), number, bits))).alias("bit"))
-    # a null bit keeps the place of a bucket that no key falls into
-    empty = keys.sparkSession.range(1, buckets + 1).select(
-        F.col("id").alias("bucket"), F.lit(None).cast("long").alias("offset")
-    )
-    placed = set_bits.select(F.bitmap_bucket_number("bit").alias("bucket"), F.bitmap_bit_position("bit").alias("offset"))
-    bitmaps = placed.unionByName(empty).groupBy("bucket").agg(F.bitmap_construct_agg("offset").alias("bitmap"))
-    ordered = bitmaps.agg(F.array_sort(F.collect_list(F.struct("bucket", "bitmap"))).alias("all"))
-    return Level(number, bits, ordered.select(F.col("all.bitmap").alias("bitmaps")))
-
-
 @dataclass(frozen=True)
 class Cascade:
-    levels: list[Level]
+    levels: list[Filter]
 
     def lists(self, key: Column) -> Column:
         """Whether a key of the universe is listed. A null key is not."""
@@ -135,14 +88,13 @@ def cascade(listed: DataFrame, universe: DataFrame, *, most_keys: int = MOST_KEY
     # within the universe: other keys are never asked for
     inside = wanted.join(everything, "key", "left_semi")
     outside = everything.join(wanted, "key", "left_anti")
-    levels: list[Level] = []
+    levels: list[Filter] = []
     encoded, others = inside, outside
     while (count := encoded.count()) > 0:
         if count > most_keys:
             raise ValueError(f"a level of {count} keys; {most_keys} are allowed")
-        level = _level(encoded, len(levels), count)
-        # the bits are read by every later level and by the answer: keep them
-        level = Level(level.number, level.bits, level.bitmaps.persist())
+        # the bits are read by every later level and by the answer
+        level = kept(build(encoded, count, len(levels)))
         levels.append(level)
         encoded, others = others.filter(level.knows(F.col("key"))), encoded
     return Cascade(levels)
