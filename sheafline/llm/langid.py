@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, StringType, StructField, StructType
 
-from sheafline.llm.words import GOLDEN, blocks, whole_texts
+from sheafline.llm.words import GOLDEN, blocks, raw_bytes, whole_texts
 
 #: The answer for a text without a letter.
 UNDETERMINED = "und"
@@ -57,11 +57,10 @@ class Model:
 def frequencies(texts: pa.Array, dimensions: int, lengths: tuple[int, ...]) -> np.ndarray:
     """Counts of hashed n-grams, a row per text. Runs of spaces count as one space."""
     texts = whole_texts(texts)
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    raw, offsets = raw_bytes(texts)
     # a space before each text keeps n-grams from spanning two of them
     sizes = np.diff(offsets)
-    folded = np.insert(FOLD[raw], offsets[:-1] - offsets[0], 0x20)
+    folded = np.insert(FOLD[raw], offsets[:-1], 0x20)
     owner = np.repeat(np.arange(len(texts)), sizes + 1)
     keep = np.ones(len(folded), dtype=bool)
     keep[1:] = (folded[1:] != 0x20) | (folded[:-1] != 0x20) | (owner[1:] != owner[:-1])

@@ -52,8 +52,14 @@ def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 
 def whole_texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """Texts with 64-bit offsets, a null as the empty text."""
-    return as_array(pc.fill_null(as_array(column).cast(pa.large_string()), ""))
+    """Texts with 64-bit offsets, a null as the empty text, in buffers of their own.
+
+    Kernels of Arrow that change text can misread a slice of a larger array.
+    """
+    texts = as_array(pc.fill_null(as_array(column).cast(pa.large_string()), ""))
+    raw, offsets = raw_bytes(texts)
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(np.ascontiguousarray(raw))]
+    return pa.Array.from_buffers(pa.large_string(), len(texts), buffers)
 
 
 def word_block(column: pa.Array | pa.ChunkedArray, *, lower: bool = False) -> Block:
@@ -136,6 +142,8 @@ def blocks(texts: pa.Array, size: int = 4_000_000) -> Iterator[pa.Array]:
 
 def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of texts from ``whole_texts``, and where each text begins and the last ends."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     return raw, offsets - offsets[0]
