@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheafline.llm import bpe, counts, jaccard, langid, lm, quality, substrings, topk, urls
+from sheafline.llm import bpe, counts, jaccard, langid, lm, mixing, quality, substrings, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,6 +56,25 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Share of all tokens that the mixture takes, epochs of a source at most, and weights of nodes.
+MIX_SHARE = 0.9
+MIX_EPOCHS = 2
+MIX_WEIGHTS = {("common",): 1.0, ("curated",): 2.0, ("curated", "en"): 2.0, ("curated", "de"): 3.0}
+
+
+@_query
+def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    domain = F.when(F.col("source") == "src0", "common").otherwise("curated")
+    tokens = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    levels = {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+    mixed = mixing.mix(
+        documents.withColumn("n_words", tokens.cast("long")).drop("text"),
+        levels=levels, tokens=F.col("n_words"), share=MIX_SHARE, weights=MIX_WEIGHTS, epochs=MIX_EPOCHS, seed=7,
+    )
+    return mixed.select("doc_id", domain.alias("domain"), "lang", "source", F.col("mix_epoch").alias("epoch"), "n_words")
+
+
 @_query
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
