@@ -8,12 +8,15 @@ too much, the positional filter those whose remaining n-grams cannot suffice, an
 suffix filter those whose n-grams fall too differently into fixed ranges of their hashes.
 The rest is verified by counting shared n-grams exactly.
 
-Equal sets form one class, of which only the smallest id is compared. Groups of near
-copies would still give all pairs within a group. As components are wanted, stars come
-first: each document is compared with two leaders of each of its prefix n-grams, chosen by
-hash. Only pairs of documents that these links leave in different components are compared
-at the end, all of them. So no link between components is lost, and a group costs a few
-comparisons for each of its members.
+Equal sets form one class, of which only the smallest id is compared. A group of near
+copies would still give all pairs within it. As components are wanted, stars come first:
+each document is compared with one leader of each of its prefix n-grams, the one of the
+most frequent n-grams on average, and the first similar leader becomes its center. Of two documents with one
+center, all that is known of one is its overlap with the center and its rest, the n-grams
+that the center lacks. Their overlap is at most the smaller overlap with the center plus
+what their rests share. So pairs in a group are compared only if their rests share an
+n-gram, or if the overlaps with the center would suffice; and only if links found so far
+leave them in different components. No link between components is lost by this.
 
 Frequencies are counted for all documents, in ``BUCKETS`` buckets of hashes, and kept as
 one byte each: the order is what matters, any order is right, and the table that tasks
@@ -35,14 +38,14 @@ from sheafline.llm.words import blocks, mixed, per_text, sequence_hashes, window
 
 #: Shared buckets of n-gram frequencies: a table of as many bytes goes to every task.
 BUCKETS = 1 << 17
-#: Rounds of stars before all pairs between components are compared.
-ROUNDS = 2
+#: A center may be less similar than a link by this many percent.
+LOOSER = 30
 #: Keys for which the filter of documents to be verified has bits (3 MB), at any size.
 FILTER_KEYS = 2_000_000
 #: Ranges of hashes of the suffix filter.
 RANGES = 16
 
-PROFILE = "id long, size long, class_a long, class_b long, prefix array<long>, ranges array<int>"
+PROFILE = "id long, size long, class_a long, class_b long, leading long, prefix array<long>, ranges array<int>"
 
 
 def gram_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,12 +118,16 @@ def _profiles(ids: pa.Array, texts: pa.Array, n: int, percent: int, levels: np.n
     length = np.where(sizes > 0, prefix_length(sizes, percent), 0)
     first = place < length[owner]
     halves = [per_set(mixed(grams, np.full(len(grams), seed, np.uint64)), begins) for seed in (1, 2)]
+    # the smallest number leads: texts of frequent n-grams first, as a copy's edits are rare
+    typical = np.bincount(owner, weights=levels[bucket_of(grams, len(levels))], minlength=len(sizes)) / np.maximum(sizes, 1)
+    leading = ((1 << 14) - (typical * 32).astype(np.int64) << 40) | (halves[0] >> np.uint64(24)).astype(np.int64)
     within = np.bincount(owner * RANGES + (grams >> np.uint64(60)).astype(np.int64), minlength=len(sizes) * RANGES)
     return pa.RecordBatch.from_arrays(
         [
             ids,
             pa.array(sizes),
             *(pa.array(half.view(np.int64)) for half in halves),
+            pa.array(leading),
             pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)),
                 pa.array(grams[rank][first].view(np.int64)),
@@ -129,7 +136,7 @@ def _profiles(ids: pa.Array, texts: pa.Array, n: int, percent: int, levels: np.n
                 pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * RANGES), pa.array(within.astype(np.int32))
             ),
         ],
-        names=["id", "size", "class_a", "class_b", "prefix", "ranges"],
+        names=["id", "size", "class_a", "class_b", "leading", "prefix", "ranges"],
     )
 
 
@@ -143,73 +150,88 @@ def needed(left: Column, right: Column, percent: int) -> Column:
     return F.ceil((left + right) * F.lit(percent) / F.lit(100 + percent))
 
 
-def _possible(a: str, b: str, percent: int) -> Column:
+def _possible(x: str, y: str, percent: int) -> Column:
     """Length and positional filters of two entries with the same n-gram."""
-    size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
-    place_a, place_b = F.col(f"{a}.place"), F.col(f"{b}.place")
-    long_enough = F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent
+    size_x, size_y = F.col(f"{x}.size"), F.col(f"{y}.size")
+    place_x, place_y = F.col(f"{x}.place"), F.col(f"{y}.place")
+    long_enough = F.least(size_x, size_y) * 100 >= F.greatest(size_x, size_y) * percent
     # shared n-grams before this one, this one, and those after it
-    most = F.least(place_a, place_b) + 1 + F.least(size_a - place_a - 1, size_b - place_b - 1)
-    return long_enough & (most >= needed(size_a, size_b, percent))
+    most = F.least(place_x, place_y) + 1 + F.least(size_x - place_x - 1, size_y - place_y - 1)
+    return long_enough & (most >= needed(size_x, size_y, percent))
 
 
-def _pairs(joined: DataFrame, percent: int) -> DataFrame:
-    """Distinct candidate pairs of entries ``x`` and ``y`` that the filters leave."""
-    kept = joined.filter((F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
-    return kept.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-
+def _stars(entries: DataFrame, bucket: list[str], percent: int) -> DataFrame:
+    """Distinct pairs of a document and the leader of one of its buckets, columns ``a`` and ``b``.
 
-def _star_pairs(entries: DataFrame, round: int, percent: int) -> DataFrame:
-    """Each entry with two leaders of its n-gram, where an n-gram has several components."""
+    Only buckets with several components have a leader.
+    """
     own = F.struct("id", "size", "place", "component")
-    by_hash = F.struct(F.xxhash64(F.lit(round), "id").alias("order"), own.alias("entry"))
-    leaders = entries.groupBy("gram").agg(
-        F.min(by_hash)["entry"].alias("first"),
-        F.max(by_hash)["entry"].alias("second"),
+    leaders = entries.groupBy(*bucket).agg(
+        F.min(F.struct("leading", own.alias("entry")))["entry"].alias("y"),
         F.min("component").alias("low"),
         F.max("component").alias("high"),
     )
-    met = entries.select("gram", own.alias("x")).join(leaders.filter(F.col("low") < F.col("high")), "gram")
-    return _pairs(met.select("x", F.explode(F.array("first", "second")).alias("y")), percent)
+    met = entries.select(*bucket, own.alias("x")).join(leaders.filter(F.col("low") < F.col("high")), bucket)
+    met = met.filter((F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
-def _other_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All entries with the same n-gram and different components."""
-    mixed_grams = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed_grams = mixed_grams.filter(F.col("low") < F.col("high")).select("gram")
-    left = entries.join(mixed_grams, "gram").select("gram", F.struct("id", "size", "place", "component").alias("x"))
+def _all_pairs(entries: DataFrame, bucket: list[str], allowed: Column, percent: int) -> DataFrame:
+    """Distinct pairs of entries ``x`` and ``y`` of a bucket, of different components, if ``allowed``."""
+    several = entries.groupBy(*bucket).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = several.filter(F.col("low") < F.col("high")).select(*bucket)
+    own = F.struct("id", "size", "place", "component", "center", "both")
+    left = entries.join(several, bucket).select(*bucket, own.alias("x"))
     right = left.withColumnRenamed("x", "y")
-    return _pairs(left.join(right, "gram").filter(F.col("x.component") < F.col("y.component")), percent)
+    kept = left.join(right, bucket).filter(
+        (F.col("x.component") < F.col("y.component")) & allowed & _possible("x", "y", percent)
+    )
+    return kept.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
 
+COMPARED = "a long, b long, both long, linked boolean, rest array<long>"
 
-def verified(pairs: DataFrame, documents: DataFrame, ranges: DataFrame, *, n: int, percent: int) -> DataFrame:
-    """The pairs that reach the threshold. ``documents`` and ``ranges`` have a row per id."""
+
+def compared(
+    pairs: DataFrame, documents: DataFrame, ranges: DataFrame, *, n: int, percent: int, similar: int
+) -> DataFrame:
+    """Rows of ``COMPARED`` for the pairs that can be similar by ``similar`` percent.
+
+    ``both`` is the size of the overlap, ``rest`` what ``a`` has and ``b`` lacks. ``documents``
+    and ``ranges`` have a row per id.
+    """
     for side in ("a", "b"):
-        sized = ranges.select(F.col("id").alias(side), F.col("size").alias(f"size_{side}"), F.col("ranges").alias(f"ranges_{side}"))
+        sized = ranges.select(
+            F.col("id").alias(side), F.col("size").alias(f"size_{side}"), F.col("ranges").alias(f"ranges_{side}")
+        )
         pairs = pairs.join(sized, side)
+    # the suffix filter: no more can be shared than the ranges of hashes allow
     common = F.aggregate(
         F.zip_with("ranges_a", "ranges_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
     )
-    pairs = cut_lineage(pairs.filter(common >= needed(F.col("size_a"), F.col("size_b"), percent)).select("a", "b"))
+    pairs = cut_lineage(pairs.filter(common >= needed(F.col("size_a"), F.col("size_b"), similar)).select("a", "b"))
     ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     # most documents are in no pair: leave them out before their texts are shuffled
     wanted = documents.filter(build(ids, FILTER_KEYS).knows(F.col("id")))
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
-                linked = jaccard_reaches(part.column("text_a"), part.column("text_b"), n, percent)
-                yield part.select(["a", "b"]).filter(pa.array(linked))
+                both, linked, rest = overlaps(part.column("text_a"), part.column("text_b"), n, percent)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), pa.array(both), pa.array(linked), rest],
+                    names=["a", "b", "both", "linked", "rest"],
+                )
 
     for side in ("a", "b"):
         texts = wanted.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = pairs.join(texts, side)
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(shared, "a long, b long")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(counted, COMPARED)
 
 
-def jaccard_reaches(left: pa.Array, right: pa.Array, n: int, percent: int) -> np.ndarray:
-    """Whether each pair of texts has 100 * intersection >= percent * union."""
+def overlaps(left: pa.Array, right: pa.Array, n: int, percent: int) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """Per pair of texts: overlap, whether 100 * overlap >= percent * union, and n-grams of the left alone."""
     grams, owners, sizes = [], [], []
     for texts in (left, right):
         own, begins = gram_sets(texts, n)
@@ -217,11 +239,47 @@ def jaccard_reaches(left: pa.Array, right: pa.Array, n: int, percent: int) -> np
         sizes.append(np.diff(begins))
         owners.append(np.repeat(np.arange(len(texts)), sizes[-1]))
     gram, owner = np.concatenate(grams), np.concatenate(owners)
+    # stable: of two equal n-grams of a pair the left one comes first
     order = np.lexsort((gram, owner))
-    gram, owner = gram[order], owner[order]
-    twice = np.flatnonzero((gram[1:] == gram[:-1]) & (owner[1:] == owner[:-1]))
+    gram, owner, of_left = gram[order], owner[order], order < len(grams[0])
+    twice = np.zeros(len(gram), dtype=bool)
+    twice[:-1] = (gram[1:] == gram[:-1]) & (owner[1:] == owner[:-1])
     both = np.bincount(owner[twice], minlength=len(left))
-    return (100 * both >= percent * (sizes[0] + sizes[1] - both)) & (both > 0)
+    alone = of_left & ~twice
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner[alone], minlength=len(left)))]).astype(np.int32)
+    rest = pa.ListArray.from_arrays(pa.array(ends), pa.array(gram[alone].view(np.int64)))
+    return both, (100 * both >= percent * (sizes[0] + sizes[1] - both)) & (both > 0), rest
+
+
+def _centers(stars: DataFrame, ranges: DataFrame, similar: int) -> DataFrame:
+    """Per document of a star its center: the first in order of itself and its similar leaders.
+
+    With its overlap ``both`` with the center, and the ``rest`` that the center lacks.
+    """
+    sizes = ranges.select("id", "size", "leading")
+    led_by = sizes.select(F.col("id").alias("b"), F.col("size").alias("size_b"), "leading")
+    sized = stars.join(led_by, "b").join(sizes.select(F.col("id").alias("a"), "size"), "a")
+    near = sized.filter(F.col("both") * 100 >= F.greatest("size", "size_b") * similar)
+    led = near.select(F.col("a").alias("id"), "size", F.col("b").alias("center"), "leading", "both", "rest")
+    ids = led.select("id").unionByName(led.select(F.col("center").alias("id"))).distinct()
+    own = ids.join(sizes, "id").select(
+        "id", "size", F.col("id").alias("center"), "leading", F.col("size").alias("both"), F.array().cast("array<bigint>").alias("rest")
+    )
+    best = F.min(F.struct("leading", "center", "both", "rest", "size"))
+    return led.unionByName(own).groupBy("id").agg(best.alias("best")).select(
+        "id", "best.size", "best.center", "best.both", "best.rest"
+    )
+
+
+def _with_component(rows: DataFrame, component: DataFrame) -> DataFrame:
+    named = rows.join(component.withColumnRenamed("node", "id"), "id", "left")
+    return named.withColumn("component", F.coalesce("component", "id"))
+
+
+def _several_centers(entries: DataFrame) -> DataFrame:
+    """Entries of the n-grams that documents of different centers have."""
+    several = entries.groupBy("gram").agg(F.min("center").alias("low"), F.max("center").alias("high"))
+    return entries.join(several.filter(F.col("low") < F.col("high")).select("gram"), "gram")
 
 
 def near_duplicates(
@@ -231,7 +289,7 @@ def near_duplicates(
     text: str = "text",
     n: int = 5,
     percent: int = 80,
-    rounds: int = ROUNDS,
+    looser: int = LOOSER,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Per document: its id, ``n_shingles`` (size of its set) and ``component_id``.
@@ -251,25 +309,51 @@ def near_duplicates(
     members = cut_lineage(filled.select("id", *key).join(classes, key).select("id", "size", "class"))
     heads = classes.select(F.col("class").alias("id"), *key)
     head = cut_lineage(filled.join(heads, ["id", *key]).dropDuplicates(["id"]))
-    ranges = head.select("id", "size", "ranges")
-    entries = head.select("id", "size", F.posexplode("prefix").alias("place", "gram"))
+    ranges = head.select("id", "size", "leading", "ranges")
+    entries = head.select("id", "size", "leading", F.posexplode("prefix").alias("place", "gram"))
     # an n-gram in one prefix only leads to no pair
     common = entries.groupBy("gram").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     common = common.filter(F.col("low") < F.col("high")).select("gram")
     entries = cut_lineage(entries.join(common, "gram"))
-    found, tried = None, None
-    component: DataFrame | None = None
-    for round in range(rounds + 1):
-        labelled = entries.withColumn("component", F.col("id"))
-        if component is not None:
-            labelled = entries.join(component.withColumnRenamed("node", "id"), "id", "left")
-            labelled = labelled.withColumn("component", F.coalesce("component", "id"))
-        pairs = _star_pairs(labelled, round, percent) if round < rounds else _other_pairs(labelled, percent)
-        pairs = cut_lineage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = cut_lineage(verified(pairs, plain, ranges, n=n, percent=percent))
-        found = links if found is None else found.unionByName(links)
-        component = components(found)
+    similar = max(1, percent - looser)
+    limits = {"n": n, "percent": percent, "similar": similar}
+    alone = entries.withColumn("component", F.col("id"))
+    stars = cut_lineage(compared(_stars(alone, ["gram"], similar), plain, ranges, **limits))
+    center = _centers(stars, ranges, similar)
+    # a center that has one itself: compare with that, so that a group shares one center
+    up = center.select(F.col("id").alias("center"), F.col("center").alias("upper"))
+    further = center.filter(F.col("id") != F.col("center")).join(up, "center").filter(F.col("center") != F.col("upper"))
+    further = further.select(F.col("id").alias("a"), F.col("upper").alias("b")).join(stars, ["a", "b"], "left_anti")
+    stars = stars.unionByName(cut_lineage(compared(further, plain, ranges, **limits)))
+    center = cut_lineage(_centers(stars, ranges, similar))
+    links = stars.filter("linked").select("a", "b")
+    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # groups within a group: leaders of the n-grams that the center lacks
+    rests = center.select("id", "size", "center", "both", F.explode("rest").alias("gram")).withColumn("place", F.lit(0))
+    rests = rests.join(ranges.select("id", "leading"), "id")
+    rests = _with_component(rests, components(links))
+    inner = cut_lineage(compared(_stars(rests, ["center", "gram"], percent), plain, ranges, **limits | {"similar": percent}))
+    links = links.unionByName(inner.filter("linked").select("a", "b"))
+    tried = tried.unionByName(inner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    # all that is left, between components only
+    component = components(links)
+    rests = _with_component(rests.drop("component"), component)
+    centered = entries.join(center.select("id", "center", "both"), "id", "left").withColumns(
+        {"center": F.coalesce("center", "id"), "both": F.coalesce("both", "size")}
+    )
+    centered = cut_lineage(_with_component(centered, component))
+    shortest = centered.groupBy("center").agg(F.min("size").alias("shortest"))
+    enough = centered.join(shortest, "center").filter(F.col("both") >= needed(F.col("size"), F.col("shortest"), percent))
+    same_center = F.least("x.both", "y.both") >= needed(F.col("x.size"), F.col("y.size"), percent)
+    pairs = (
+        _all_pairs(rests, ["center", "gram"], F.lit(True), percent)
+        .unionByName(_all_pairs(enough.drop("shortest"), ["center", "gram"], same_center, percent))
+        .unionByName(_all_pairs(_several_centers(centered), ["gram"], F.col("x.center") != F.col("y.center"), percent))
+        .distinct()
+        .join(tried, ["a", "b"], "left_anti")
+    )
+    last = compared(cut_lineage(pairs), plain, ranges, **limits | {"similar": percent})
+    component = components(links.unionByName(cut_lineage(last.filter("linked").select("a", "b"))))
     own = F.coalesce("component", "class", "id")
     reached = members.join(component.withColumnRenamed("node", "class"), "class", "left")
     reached = reached.select("id", "size", own.alias("component_id"))
