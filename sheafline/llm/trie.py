@@ -78,22 +78,16 @@ class Level:
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Entries of words after contexts, -1 where the trie has none.
 
-        The search stays among the successors of the context, between two pointers. A
-        context of -1 has no successors.
+        A successor is sought relative to its context: the sequence rises by contexts first,
+        and what is found counts only between the context's two pointers. A context of -1 has
+        no successors.
         """
         pointers, successors = self.pointers.decode(), self.successors.decode()
-        low, high = pointers[np.maximum(context, 0)], pointers[np.maximum(context, 0) + 1]
-        high = np.where(context < 0, low, high)
         wanted = context * self.words + word
-        end = high
-        while (open_ := low < high).any():
-            middle = np.where(open_, (low + high) // 2, 0)
-            less = open_ & (successors[middle] < wanted)
-            low = np.where(less, middle + 1, low)
-            high = np.where(open_ & ~less, middle, high)
-        found = low < end
-        found[found] = successors[low[found]] == wanted[found]
-        return np.where(found, low, -1)
+        at = np.searchsorted(successors, wanted)
+        inside = (context >= 0) & (at < pointers[np.maximum(context, 0) + 1])
+        inside[inside] = successors[at[inside]] == wanted[inside]
+        return np.where(inside, at, -1)
 
     def bytes(self) -> int:
         return self.successors.bytes() + self.pointers.bytes() + self.scores.nbytes + self.backoffs.nbytes
