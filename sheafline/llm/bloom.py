@@ -10,6 +10,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sheafline.llm.staging import cut_lineage
+
 BITS_PER_KEY = 12
 HASHES = 4
 #: Bits that one bitmap of Spark's aggregate holds (fixed value).
@@ -62,5 +64,5 @@ def build(keys: DataFrame, count: int, number: int = 0) -> Filter:
 
 
 def kept(one: Filter) -> Filter:
-    """The filter with its bits kept by the executors, for several readers."""
-    return replace(one, bitmaps=one.bitmaps.persist())
+    """The filter with its bits in the checkpoint folder: each question reads them there."""
+    return replace(one, bitmaps=cut_lineage(one.bitmaps))

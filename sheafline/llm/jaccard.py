@@ -10,8 +10,9 @@ The rest is verified by counting shared n-grams exactly.
 
 Equal sets form one class, of which only the smallest id is compared. A group of near
 copies would still give all pairs within it. As components are wanted, stars come first:
-each document is compared with one leader of each of its prefix n-grams, the one of the
-most frequent n-grams on average, and the first similar leader becomes its center. Of two documents with one
+each prefix n-gram has a leader, the document of the most frequent n-grams on average;
+each document is compared with the first leader of its n-grams, and if that is similar,
+it becomes its center. Of two documents with one
 center, all that is known of one is its overlap with the center and its rest, the n-grams
 that the center lacks. Their overlap is at most the smaller overlap with the center plus
 what their rests share. So pairs in a group are compared only if their rests share an
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sheafline.llm.bloom import build
+from sheafline.llm.bloom import build, kept
 from sheafline.llm.components import components
 from sheafline.llm.staging import cut_lineage
 from sheafline.llm.words import blocks, mixed, per_text, sequence_hashes, window_hashes, word_block
@@ -161,19 +162,21 @@ def _possible(x: str, y: str, percent: int) -> Column:
 
 
 def _stars(entries: DataFrame, bucket: list[str], percent: int) -> DataFrame:
-    """Distinct pairs of a document and the leader of one of its buckets, columns ``a`` and ``b``.
+    """Each document with the first in order of its buckets' leaders, columns ``a`` and ``b``.
 
     Only buckets with several components have a leader.
     """
     own = F.struct("id", "size", "place", "component")
     leaders = entries.groupBy(*bucket).agg(
-        F.min(F.struct("leading", own.alias("entry")))["entry"].alias("y"),
+        F.min(F.struct("leading", own.alias("entry"))).alias("first"),
         F.min("component").alias("low"),
         F.max("component").alias("high"),
     )
     met = entries.select(*bucket, own.alias("x")).join(leaders.filter(F.col("low") < F.col("high")), bucket)
+    met = met.withColumn("y", F.col("first.entry"))
     met = met.filter((F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
-    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    best = F.min(F.struct("first.leading", F.col("y.id").alias("id")))["id"]
+    return met.groupBy(F.col("x.id").alias("a")).agg(best.alias("b"))
 
 
 def _all_pairs(entries: DataFrame, bucket: list[str], allowed: Column, percent: int) -> DataFrame:
@@ -212,7 +215,7 @@ def compared(
     pairs = cut_lineage(pairs.filter(common >= needed(F.col("size_a"), F.col("size_b"), similar)).select("a", "b"))
     ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     # most documents are in no pair: leave them out before their texts are shuffled
-    wanted = documents.filter(build(ids, FILTER_KEYS).knows(F.col("id")))
+    wanted = documents.filter(kept(build(ids, FILTER_KEYS)).knows(F.col("id")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,11 +313,11 @@ def near_duplicates(
     heads = classes.select(F.col("class").alias("id"), *key)
     head = cut_lineage(filled.join(heads, ["id", *key]).dropDuplicates(["id"]))
     ranges = head.select("id", "size", "leading", "ranges")
-    entries = head.select("id", "size", "leading", F.posexplode("prefix").alias("place", "gram"))
+    entries = head.select("id", "size", F.posexplode("prefix").alias("place", "gram"))
     # an n-gram in one prefix only leads to no pair
     common = entries.groupBy("gram").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     common = common.filter(F.col("low") < F.col("high")).select("gram")
-    entries = cut_lineage(entries.join(common, "gram"))
+    entries = cut_lineage(entries.join(common, "gram").join(ranges.select("id", "leading"), "id"))
     similar = max(1, percent - looser)
     limits = {"n": n, "percent": percent, "similar": similar}
     alone = entries.withColumn("component", F.col("id"))

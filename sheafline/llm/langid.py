@@ -25,8 +25,8 @@ from sheafline.llm.words import GOLDEN, blocks, raw_bytes, whole_texts
 #: The answer for a text without a letter.
 UNDETERMINED = "und"
 #: Vectors per language in the sample, and in the whole sample, that the driver fits on.
-PER_LANGUAGE = 400
-SAMPLE = 4000
+PER_LANGUAGE = 250
+SAMPLE = 2500
 #: Hashed dimensions, lengths of n-grams in bytes, centroids per language.
 DIMENSIONS = 2048
 LENGTHS = (1, 2, 3)
@@ -130,7 +130,7 @@ def fit(
     )
     table = chosen.select("lang", vectors("text").alias("counts")).toArrow()
     names = np.array(table["lang"].to_pylist(), dtype=object)
-    counts = np.array(table["counts"].combine_chunks().flatten(), dtype=np.float64).reshape(len(names), dimensions)
+    counts = np.array(table["counts"].combine_chunks().flatten(), dtype=np.float32).reshape(len(names), dimensions)
     return fit_vectors(names, counts, centroids, margin)
 
 
