@@ -41,7 +41,9 @@ from sheafline.llm.words import blocks, mixed, per_text, sequence_hashes, window
 BUCKETS = 1 << 17
 #: A center may be less similar than a link by this many percent.
 LOOSER = 30
-#: Keys for which the filter of documents to be verified has bits (3 MB), at any size.
+#: Documents with one prefix n-gram from which stars come before all pairs.
+CROWD = 12
+#: Keys for which filters of n-grams and of documents have bits (3 MB), at any size.
 FILTER_KEYS = 2_000_000
 #: Ranges of hashes of the suffix filter.
 RANGES = 16
@@ -49,23 +51,33 @@ RANGES = 16
 PROFILE = "id long, size long, class_a long, class_b long, leading long, prefix array<long>, ranges array<int>"
 
 
-def gram_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-gram hashes of each text, sorted, and where each text's begin.
-
-    A text with fewer than ``n`` words has its whole sequence as its only n-gram.
-    """
+def _all_grams(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """N-gram hashes of each text in order of texts, repeated ones too, and where each text's begin."""
     block = word_block(texts, lower=True)
     hashes = block.hashes()
     grams, starts = window_hashes(block, hashes, n)
     owner = block.owner()[starts]
     short = np.flatnonzero((block.sizes > 0) & (block.sizes < n))
-    grams = np.concatenate([grams, sequence_hashes(block, hashes)[short]])
-    owner = np.concatenate([owner, short])
-    order = np.lexsort((grams, owner))
-    grams, owner = grams[order], owner[order]
+    if len(short):
+        grams = np.concatenate([grams, sequence_hashes(block, hashes)[short]])
+        owner = np.concatenate([owner, short])
+        order = np.argsort(owner, kind="stable")
+        grams, owner = grams[order], owner[order]
+    return grams, np.searchsorted(owner, np.arange(len(block.sizes) + 1))
+
+
+def gram_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-gram hashes of each text, sorted, and where each text's begin.
+
+    A text with fewer than ``n`` words has its whole sequence as its only n-gram.
+    """
+    grams, begins = _all_grams(texts, n)
+    for begin, end in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+        grams[begin:end].sort()
     new = np.ones(len(grams), dtype=bool)
-    new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
-    return grams[new], np.searchsorted(owner[new], np.arange(len(block.sizes) + 1))
+    new[1:] = grams[1:] != grams[:-1]
+    new[begins[:-1][begins[:-1] < len(grams)]] = True
+    return grams[new], np.concatenate([[0], np.cumsum(new)])[begins]
 
 
 def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
@@ -73,13 +85,13 @@ def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def frequency_levels(documents: DataFrame, *, text: str, n: int, buckets: int) -> np.ndarray:
-    """How often n-grams of each bucket occur in documents, as an eighth of log2."""
+    """How often n-grams of each bucket occur, as quarters of log2."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
             for block in blocks(batch.column(0), 8_000_000):
-                counts += np.bincount(bucket_of(gram_sets(block, n)[0], buckets), minlength=buckets)
+                counts += np.bincount(bucket_of(_all_grams(block, n)[0], buckets), minlength=buckets)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["bucket", "count"])
 
@@ -114,13 +126,14 @@ def _profiles(ids: pa.Array, texts: pa.Array, n: int, percent: int, levels: np.n
     grams, begins = gram_sets(texts, n)
     sizes = np.diff(begins)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    rank = np.lexsort((grams, levels[bucket_of(grams, len(levels))], owner))
+    level = levels[bucket_of(grams, len(levels))].astype(np.int64)
+    rank = np.argsort((owner << 8) | level, kind="stable")
     place = np.arange(len(grams)) - begins[owner]
     length = np.where(sizes > 0, prefix_length(sizes, percent), 0)
     first = place < length[owner]
     halves = [per_set(mixed(grams, np.full(len(grams), seed, np.uint64)), begins) for seed in (1, 2)]
     # the smallest number leads: texts of frequent n-grams first, as a copy's edits are rare
-    typical = np.bincount(owner, weights=levels[bucket_of(grams, len(levels))], minlength=len(sizes)) / np.maximum(sizes, 1)
+    typical = np.bincount(owner, weights=level, minlength=len(sizes)) / np.maximum(sizes, 1)
     leading = ((1 << 14) - (typical * 32).astype(np.int64) << 40) | (halves[0] >> np.uint64(24)).astype(np.int64)
     within = np.bincount(owner * RANGES + (grams >> np.uint64(60)).astype(np.int64), minlength=len(sizes) * RANGES)
     return pa.RecordBatch.from_arrays(
@@ -164,15 +177,17 @@ def _possible(x: str, y: str, percent: int) -> Column:
 def _stars(entries: DataFrame, bucket: list[str], percent: int) -> DataFrame:
     """Each document with the first in order of its buckets' leaders, columns ``a`` and ``b``.
 
-    Only buckets with several components have a leader.
+    Only buckets of a crowd with several components have a leader.
     """
     own = F.struct("id", "size", "place", "component")
     leaders = entries.groupBy(*bucket).agg(
         F.min(F.struct("leading", own.alias("entry"))).alias("first"),
         F.min("component").alias("low"),
         F.max("component").alias("high"),
+        F.count(F.lit(1)).alias("crowd"),
     )
-    met = entries.select(*bucket, own.alias("x")).join(leaders.filter(F.col("low") < F.col("high")), bucket)
+    crowded = leaders.filter((F.col("low") < F.col("high")) & (F.col("crowd") >= CROWD))
+    met = entries.select(*bucket, own.alias("x")).join(crowded, bucket)
     met = met.withColumn("y", F.col("first.entry"))
     met = met.filter((F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
     best = F.min(F.struct("first.leading", F.col("y.id").alias("id")))["id"]
@@ -195,24 +210,24 @@ def _all_pairs(entries: DataFrame, bucket: list[str], allowed: Column, percent:
 COMPARED = "a long, b long, both long, linked boolean, rest array<long>"
 
 
-def compared(
-    pairs: DataFrame, documents: DataFrame, ranges: DataFrame, *, n: int, percent: int, similar: int
-) -> DataFrame:
-    """Rows of ``COMPARED`` for the pairs that can be similar by ``similar`` percent.
-
-    ``both`` is the size of the overlap, ``rest`` what ``a`` has and ``b`` lacks. ``documents``
-    and ``ranges`` have a row per id.
-    """
+def suffix_filtered(pairs: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose n-grams fall alike enough into ranges of hashes to reach ``percent``."""
     for side in ("a", "b"):
         sized = ranges.select(
             F.col("id").alias(side), F.col("size").alias(f"size_{side}"), F.col("ranges").alias(f"ranges_{side}")
         )
         pairs = pairs.join(sized, side)
-    # the suffix filter: no more can be shared than the ranges of hashes allow
     common = F.aggregate(
         F.zip_with("ranges_a", "ranges_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
     )
-    pairs = cut_lineage(pairs.filter(common >= needed(F.col("size_a"), F.col("size_b"), similar)).select("a", "b"))
+    return cut_lineage(pairs.filter(common >= needed(F.col("size_a"), F.col("size_b"), percent)).select("a", "b"))
+
+
+def compared(pairs: DataFrame, documents: DataFrame, *, n: int, percent: int) -> DataFrame:
+    """Rows of ``COMPARED`` for pairs of ids; ``documents`` have a row per id.
+
+    ``both`` is the size of the overlap, ``rest`` what ``a`` has and ``b`` lacks.
+    """
     ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     # most documents are in no pair: leave them out before their texts are shuffled
     wanted = documents.filter(kept(build(ids, FILTER_KEYS)).knows(F.col("id")))
@@ -230,7 +245,7 @@ def compared(
     for side in ("a", "b"):
         texts = wanted.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = pairs.join(texts, side)
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(counted, COMPARED)
+    return cut_lineage(pairs.select("a", "b", "text_a", "text_b").mapInArrow(counted, COMPARED))
 
 
 def overlaps(left: pa.Array, right: pa.Array, n: int, percent: int) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
@@ -315,19 +330,18 @@ def near_duplicates(
     ranges = head.select("id", "size", "leading", "ranges")
     entries = head.select("id", "size", F.posexplode("prefix").alias("place", "gram"))
     # an n-gram in one prefix only leads to no pair
-    common = entries.groupBy("gram").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    common = common.filter(F.col("low") < F.col("high")).select("gram")
-    entries = cut_lineage(entries.join(common, "gram").join(ranges.select("id", "leading"), "id"))
+    common = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("gram")
+    common = cut_lineage(common)
+    known = kept(build(common.withColumnRenamed("gram", "key"), FILTER_KEYS)).knows(F.col("gram"))
+    entries = entries.filter(known).join(common, "gram").join(ranges.select("id", "leading"), "id")
+    entries = cut_lineage(entries)
     similar = max(1, percent - looser)
-    limits = {"n": n, "percent": percent, "similar": similar}
+    limits = {"n": n, "percent": percent}
     alone = entries.withColumn("component", F.col("id"))
-    stars = cut_lineage(compared(_stars(alone, ["gram"], similar), plain, ranges, **limits))
-    center = _centers(stars, ranges, similar)
-    # a center that has one itself: compare with that, so that a group shares one center
-    up = center.select(F.col("id").alias("center"), F.col("center").alias("upper"))
-    further = center.filter(F.col("id") != F.col("center")).join(up, "center").filter(F.col("center") != F.col("upper"))
-    further = further.select(F.col("id").alias("a"), F.col("upper").alias("b")).join(stars, ["a", "b"], "left_anti")
-    stars = stars.unionByName(cut_lineage(compared(further, plain, ranges, **limits)))
+    near = suffix_filtered(_stars(alone, ["gram"], similar), ranges, similar)
+    # the leader's own leader as well, so that a group shares one center
+    hops = near.join(near.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b"))
+    stars = compared(near.unionByName(hops.filter(F.col("a") != F.col("b"))).distinct(), plain, **limits)
     center = cut_lineage(_centers(stars, ranges, similar))
     links = stars.filter("linked").select("a", "b")
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -335,7 +349,8 @@ def near_duplicates(
     rests = center.select("id", "size", "center", "both", F.explode("rest").alias("gram")).withColumn("place", F.lit(0))
     rests = rests.join(ranges.select("id", "leading"), "id")
     rests = _with_component(rests, components(links))
-    inner = cut_lineage(compared(_stars(rests, ["center", "gram"], percent), plain, ranges, **limits | {"similar": percent}))
+    inner = suffix_filtered(_stars(rests, ["center", "gram"], percent), ranges, percent)
+    inner = compared(inner, plain, **limits)
     links = links.unionByName(inner.filter("linked").select("a", "b"))
     tried = tried.unionByName(inner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     # all that is left, between components only
@@ -355,8 +370,8 @@ def near_duplicates(
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    last = compared(cut_lineage(pairs), plain, ranges, **limits | {"similar": percent})
-    component = components(links.unionByName(cut_lineage(last.filter("linked").select("a", "b"))))
+    last = compared(suffix_filtered(pairs, ranges, percent), plain, **limits)
+    component = components(links.unionByName(last.filter("linked").select("a", "b")))
     own = F.coalesce("component", "class", "id")
     reached = members.join(component.withColumnRenamed("node", "class"), "class", "left")
     reached = reached.select("id", "size", own.alias("component_id"))
