@@ -69,7 +69,7 @@ def _shared(children: DataFrame, parent: list[str]) -> DataFrame:
     Children that fill first come first. Up to the first that does not fill, capacities are
     taken whole; the rest is shared by weight. A child without weight takes nothing.
     """
-    fill = F.when(F.col("weight") > 0, F.col("capacity") / F.col("weight"))
+    fill = F.when(F.col("weight") > 0, F.try_divide("capacity", "weight"))
     order = [F.col("fill").asc_nulls_last(), F.xxhash64("capacity", "weight")]
     before = Window.partitionBy(*parent).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*parent).orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -80,7 +80,7 @@ def _shared(children: DataFrame, parent: list[str]) -> DataFrame:
         }
     )
     # how high every open child could be filled if all before it are full
-    level = F.greatest((F.col("given") - F.col("taken")) / F.col("open"), F.lit(0.0))
+    level = F.greatest(F.try_divide(F.col("given") - F.col("taken"), F.col("open")), F.lit(0.0))
     leveled = seen.withColumn("level", F.when(F.col("open") > 0, level).otherwise(0.0))
     # the first child that the level does not fill fixes it for all after it
     fixed = F.first(F.when(F.col("fill") > F.col("level"), F.col("level")), ignorenulls=True)
@@ -121,7 +121,7 @@ def mix(
     # whole epochs, and what is left for the last one
     budgets = budgets.select(
         *names,
-        F.coalesce(F.least(F.floor(F.col("budget") / F.col("tokens")), F.lit(epochs)), F.lit(0)).alias("whole"),
+        F.least(F.coalesce(F.floor(F.try_divide("budget", "tokens")), F.lit(0)), F.lit(epochs)).alias("whole"),
         "tokens",
         "budget",
         F.greatest(F.ceil(F.col("docs") / RANGE), F.lit(1)).alias("ranges"),
