@@ -699,7 +699,7 @@ _BODIES: dict[str, str] = {
         from d
         union all
         select jour, dt, case when isodow(jour) = 1 then dt * 6 end
-        from forecast_daily where jour < {AS_OF} + 4""",
+        from forecast_daily where jour not between {AS_OF} + 4 and {AS_OF} + 9""",
     "forecast_metrics": f"""
         select annee, count(*) as n,
                {rounded("sqrt(avg(cast(pred - reel as double) * (pred - reel)))", 6)} as rmse,

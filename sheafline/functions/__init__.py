@@ -10,7 +10,6 @@ from sheafline.functions.dates import (
 )
 from sheafline.functions.numeric import as_int, as_long, percent_error, ratio
 from sheafline.functions.seasons import harvest_season, planting_season, season_day
-from sheafline.functions.sizes import fits_broadcast
 from sheafline.functions.trailing import TrailingSum, trailing_sums
 
 __all__ = [
@@ -20,7 +19,6 @@ __all__ = [
     "calendar_year",
     "cyclic",
     "date_literal",
-    "fits_broadcast",
     "harvest_season",
     "iso_week",
     "monday_weekday",

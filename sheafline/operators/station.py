@@ -12,7 +12,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheafline.functions import TrailingSum, as_int, as_long, date_literal, fits_broadcast, trailing_sums
+from sheafline.functions import TrailingSum, as_int, as_long, date_literal, trailing_sums
 
 # fixed values: bounds of the short training set, of its weather and of the prediction set
 RECENT_DELIVERIES = dt.date(2019, 1, 1)
@@ -142,8 +142,8 @@ def bro_station_features(
     station.
     """
     chosen = select_grower_deliveries(deliveries, deliveries_pred, mode=mode, start=start)
-    if not fits_broadcast(growers):
-        chosen = chosen.groupBy("prdcode", "liv_date").agg(F.sum("liv_qty").alias("liv_qty"))
+    # one row per grower and day meets the grower table, so no grower's deliveries gather in one task
+    chosen = chosen.groupBy("prdcode", "liv_date").agg(F.sum("liv_qty").alias("liv_qty"))
     full = start == FULL_START
     sowing = bro_sowing_by_commune(sowings, growers, since_year=None if full else RECENT_SOWING_YEAR)
     windows = bro_weather_windows(weather, since=None if full else RECENT_WEATHER)

@@ -287,17 +287,15 @@ def season_features(t: TestTables) -> DataFrame:
 
 @_query
 def season_features_predict(t: TestTables) -> DataFrame:
-    deliveries = t.deliveries_pred(since=f"{AS_OF.year}-01-01", until=f"{AS_OF.year + 1}-01-01")
     return season.season_features(
-        deliveries, t.plantings(), t.weather(), site=SITE, mode="predict", jour=AS_OF
+        t.deliveries_pred(), t.plantings(), t.weather(), site=SITE, mode="predict", jour=AS_OF
     )
 
 
 @_query
 def season_features_backtest(t: TestTables) -> DataFrame:
-    deliveries = t.deliveries_all(until=MAX_DATE)
     return season.season_features_backtest(
-        deliveries, t.plantings(), t.weather(), site=SITE, max_date=MAX_DATE
+        t.deliveries_all(), t.plantings(), t.weather(), site=SITE, max_date=MAX_DATE
     )
 
 
@@ -531,7 +529,7 @@ def publish_forecast(t: TestTables) -> DataFrame:
         F.inline(F.array(*(F.struct(F.lit(p).alias("position"), F.col(f"d{p}").alias("pred")) for p in range(6))))
     )
     week = recent.agg(F.sum(F.when(weekday < 6, value)).alias("pred"))
-    stored = t.forecast_daily(until=monday + dt.timedelta(days=2)).select(
+    stored = t.forecast_daily().select(
         "jour", F.col("dt").alias("pred2"), F.when(F.dayofweek("jour") == 2, F.col("dt") * 6).alias("pred1")
     )
     new = publish.publish_forecast(trend, week, as_of=AS_OF)

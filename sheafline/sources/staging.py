@@ -21,16 +21,14 @@ def shared(df: DataFrame) -> DataFrame:
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, so that later jobs do not recompute it.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; files there
-    outlive an executor. Only a local session without one gets a temporary folder. On a
-    cluster without one the frame is returned as it is, and is recomputed.
+    The folder is the one the session names in ``spark.checkpoint.dir``; files there
+    outlive an executor. A session without one must be local, as in tests, and gets a
+    temporary folder; on a cluster it fails, as a folder of one machine would not do.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="sheafline-")
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
+        if folder is None and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sheafline-"))
     return df.checkpoint()
