@@ -230,7 +230,7 @@ def compared(pairs: DataFrame, documents: DataFrame, *, n: int, percent: int) ->
     """
     ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     # most documents are in no pair: leave them out before their texts are shuffled
-    wanted = documents.filter(kept(build(ids, FILTER_KEYS)).knows(F.col("id")))
+    wanted = documents.filter(kept(build(ids, FILTER_KEYS, hashes=1)).knows(F.col("id")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,7 +332,7 @@ def near_duplicates(
     # an n-gram in one prefix only leads to no pair
     common = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("gram")
     common = cut_lineage(common)
-    known = kept(build(common.withColumnRenamed("gram", "key"), FILTER_KEYS)).knows(F.col("gram"))
+    known = kept(build(common.withColumnRenamed("gram", "key"), FILTER_KEYS, hashes=1)).knows(F.col("gram"))
     entries = entries.filter(known).join(common, "gram").join(ranges.select("id", "leading"), "id")
     entries = cut_lineage(entries)
     similar = max(1, percent - looser)
