@@ -379,29 +379,32 @@ def _station_features(joined: str) -> str:
 for _suffix, _windows in (("", "windows"), ("_recent", "windows_recent"), ("_predict", "windows_recent")):
     VIEWS[f"joined{_suffix}"] = _weather_join(f"intake_commune{_suffix}", _windows)
 
-# suffixes of the trailing sums by measure
+# fixed values: suffixes of the trailing sums by measure
 CUMULS = {
-    "cumultmax": ("tmax", "2 3 4 5 7 9 13 18 22 29 38 60"),
-    "cumultmin": ("tmin", "2 3 4 5 8 12 19 25 29 35 60"),
-    "cumulrr10": ("rr10", "2 3 4 5 7 10 17 27 37 60"),
-    "cumuljourfroid": ("jourfroid", "4 7 13 18 28 35 60"),
-    "cumuljourchaud": ("jourchaud", "2 4 6 8 11 17 23 33 38 60"),
-    "cumuljourdoux": ("jourdoux", "4 9 13 15 26 38 60"),
-    "cumularrosage": ("arrosage", "7 17 27 37 60"),
-    "cumulgel": ("gel", "3 4 5 6 7 38 60"),
-    "cumuljtf": ("jourtresfroid", "3 4 5 6 7 38 60"),
-    "cumulpm": ("pluiemoderee", "3 4 5 6 7 38 60"),
-    "cumulpf": ("pluieforte", "3 4 5 6 7 38 60"),
-    "cumulfroid": ("froid", "3 4 5 6 7 38 60"),
+    "cumultmax": ("tmax", (2, 3, 4, 5, 7, 9, 13, 18, 22, 29, 38, 60)),
+    "cumultmin": ("tmin", (2, 3, 4, 5, 8, 12, 19, 25, 29, 35, 60)),
+    "cumulrr10": ("rr10", (2, 3, 4, 5, 7, 10, 17, 27, 37, 60)),
+    "cumuljourfroid": ("jourfroid", (4, 7, 13, 18, 28, 35, 60)),
+    "cumuljourchaud": ("jourchaud", (2, 4, 6, 8, 11, 17, 23, 33, 38, 60)),
+    "cumuljourdoux": ("jourdoux", (4, 9, 13, 15, 26, 38, 60)),
+    "cumularrosage": ("arrosage", (7, 17, 27, 37, 60)),
+    "cumulgel": ("gel", (3, 4, 5, 6, 7, 38, 60)),
+    "cumuljtf": ("jourtresfroid", (3, 4, 5, 6, 7, 38, 60)),
+    "cumulpm": ("pluiemoderee", (3, 4, 5, 6, 7, 38, 60)),
+    "cumulpf": ("pluieforte", (3, 4, 5, 6, 7, 38, 60)),
+    "cumulfroid": ("froid", (3, 4, 5, 6, 7, 38, 60)),
 }
 
-LAGS = "tmax 1 t1, tmax 2 t2, tmax 4 t4, rr10 1 p1, rr10 2 p2, rr10 4 p4, rr10 7 p7"
+# fixed values: measure, rows back, name
+LAGS = (
+    ("tmax", 1, "t1"), ("tmax", 2, "t2"), ("tmax", 4, "t4"),
+    ("rr10", 1, "p1"), ("rr10", 2, "p2"), ("rr10", 4, "p4"), ("rr10", 7, "p7"),
+)
 
 
 def _lags() -> str:
-    parts = (entry.split() for entry in LAGS.split(","))
     return ", ".join(
-        f"lag({src}, {k}) over (partition by code_insee order by date_reelle) as {name}" for src, k, name in parts
+        f"lag({src}, {k}) over (partition by code_insee order by date_reelle) as {name}" for src, k, name in LAGS
     )
 
 
@@ -410,29 +413,29 @@ VIEWS["cumuls"] = (
     + _lags()
     + ", "
     + ", ".join(
-        trailing(src, f"{prefix}{k}", int(k) + 1, "1 preceding")
+        trailing(src, f"{prefix}{k}", k + 1, "1 preceding")
         for prefix, (src, ks) in CUMULS.items()
-        for k in ks.split()
+        for k in ks
     )
     + " from flagged"
 )
 
+# fixed values: trailing sums shown as double and as int, by prefix of their names
 DOUBLES = {
-    "cumul_tmax": ("cumultmax", "7 38 60"), "cumul_tmin": ("cumultmin", "8 35 60"),
-    "cumul_jourfroid": ("cumuljourfroid", "7 35 60"), "cumul_jourchaud": ("cumuljourchaud", "8 38 60"),
-    "cumul_pluie": ("cumulrr10", "7 37 60"), "cumul_jourdoux": ("cumuljourdoux", "9 38 60"),
-    "cumul_jour_de_pluie": ("cumularrosage", "7 37 60"),
+    "cumul_tmax": ("cumultmax", (7, 38, 60)), "cumul_tmin": ("cumultmin", (8, 35, 60)),
+    "cumul_jourfroid": ("cumuljourfroid", (7, 35, 60)), "cumul_jourchaud": ("cumuljourchaud", (8, 38, 60)),
+    "cumul_pluie": ("cumulrr10", (7, 37, 60)), "cumul_jourdoux": ("cumuljourdoux", (9, 38, 60)),
+    "cumul_jour_de_pluie": ("cumularrosage", (7, 37, 60)),
 }
 INTS = {
-    "gel": ("cumulgel", "7 38 60"), "jtf": ("cumuljtf", "7 38 60"), "pm": ("cumulpm", "7 38 60"),
-    "pf": ("cumulpf", "7 38 60"), "fr": ("cumulfroid", "7 38 60"),
+    "gel": ("cumulgel", (7, 38, 60)), "jtf": ("cumuljtf", (7, 38, 60)), "pm": ("cumulpm", (7, 38, 60)),
+    "pf": ("cumulpf", (7, 38, 60)), "fr": ("cumulfroid", (7, 38)), "df": ("cumulfroid", (60,)),
 }
 
 
 def _season_features(where: str) -> str:
-    doubles = [f"cast({src}{k} as double) as {out}{k}" for out, (src, ks) in DOUBLES.items() for k in ks.split()]
-    ints = [f"cast({src}{k} as int) as {out}{k}" for out, (src, ks) in INTS.items() for k in ks.split()]
-    ints[-1] = ints[-1].replace("as fr60", "as df60")
+    doubles = [f"cast({src}{k} as double) as {out}{k}" for out, (src, ks) in DOUBLES.items() for k in ks]
+    ints = [f"cast({src}{k} as int) as {out}{k}" for out, (src, ks) in INTS.items() for k in ks]
     return f"""
         select d.date_recolte as liv_date, jour_saison as jr_saison, quantite_recolte as qte_recolte,
                cast(qte_semis as bigint) as quantite_initiale, cast(tmin as double) as t_min,
