@@ -4,7 +4,8 @@ A text becomes a TF-IDF vector of hashed letter n-grams of length one. Each lang
 several centroids, found by spherical k-means on a bounded sample of labelled rows; the
 nearest centroid by cosine names the language. A text farther from every centroid than
 any learning text of its length class (plus a margin) is rejected. Very short texts are
-never far.
+never far. A long text is the mean of its pieces of bounded size: as one vector it would
+fill all hashed cells, and drift from every centroid as it grows.
 
 Only the sample of vectors and the centroids pass through the driver; their sizes are
 parameters. Predicting is a projection of each row alone: nothing is shuffled.
@@ -35,6 +36,11 @@ CENTROIDS = 4
 MARGIN = 0.1
 #: A text with fewer n-grams says too little to be far from a language.
 EVIDENCE = 256
+#: Bytes of a piece at most, and pieces counted at once.
+PIECE = 4096
+PIECES_AT_ONCE = 512
+#: Learning texts from which a length class sets a limit that longer classes inherit.
+FILLED = 10
 
 # A-Z as a-z, other ASCII that is no letter as a space, all other bytes unchanged.
 FOLD = np.arange(256, dtype=np.uint8)
@@ -54,18 +60,17 @@ class Model:
     allowed: np.ndarray
 
 
-def frequencies(texts: pa.Array, dimensions: int, lengths: tuple[int, ...]) -> np.ndarray:
-    """Counts of hashed n-grams, a row per text. Runs of spaces count as one space."""
-    texts = whole_texts(texts)
-    raw, offsets = raw_bytes(texts)
+def frequencies(raw: np.ndarray, offsets: np.ndarray, dimensions: int, lengths: tuple[int, ...]) -> np.ndarray:
+    """Counts of hashed n-grams, a row per text or piece. Runs of spaces count as one space."""
     # a space before each text keeps n-grams from spanning two of them
+    rows = len(offsets) - 1
     sizes = np.diff(offsets)
     folded = np.insert(FOLD[raw], offsets[:-1], 0x20)
-    owner = np.repeat(np.arange(len(texts)), sizes + 1)
+    owner = np.repeat(np.arange(rows), sizes + 1)
     keep = np.ones(len(folded), dtype=bool)
     keep[1:] = (folded[1:] != 0x20) | (folded[:-1] != 0x20) | (owner[1:] != owner[:-1])
     folded, owner = folded[keep].astype(np.uint64), owner[keep]
-    counts = np.zeros(len(texts) * dimensions, dtype=np.float64)
+    counts = np.zeros(rows * dimensions, dtype=np.float64)
     for length in lengths:
         count = max(0, len(folded) - length + 1)
         code = np.full(count, length, dtype=np.uint64)
@@ -74,15 +79,36 @@ def frequencies(texts: pa.Array, dimensions: int, lengths: tuple[int, ...]) -> n
         cell = ((code * GOLDEN) >> np.uint64(40)).astype(np.int64) % dimensions
         inside = (owner[:count] == owner[length - 1 : length - 1 + count]) & (code != ((length << 8) | 0x20))
         counts += np.bincount((owner[:count] * dimensions + cell)[inside], minlength=len(counts))
-    return counts.reshape(len(texts), dimensions)
+    return counts.reshape(rows, dimensions)
 
 
-def length_class(counts: np.ndarray) -> np.ndarray:
-    return np.log2(counts.sum(axis=1) + 1).astype(np.int64)
-
-
-def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    vectors = np.log1p(counts) * idf
+def features(texts: pa.Array, dimensions: int, lengths: tuple[int, ...]) -> np.ndarray:
+    """A row per text: the mean over its equal pieces of log(1 + counts), then its number of n-grams."""
+    raw, offsets = raw_bytes(whole_texts(texts))
+    sizes = np.diff(offsets)
+    pieces = np.maximum(1, -(-sizes // PIECE))
+    owner = np.repeat(np.arange(len(texts)), pieces)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    bounds = np.append(offsets[owner] + place * sizes[owner] // pieces[owner], len(raw))
+    out = np.zeros((len(texts), dimensions + 1))
+    for begin in range(0, len(owner), PIECES_AT_ONCE):
+        own = owner[begin : begin + PIECES_AT_ONCE]
+        edges = bounds[begin : begin + len(own) + 1]
+        counts = frequencies(raw[edges[0] : edges[-1]], edges - edges[0], dimensions, lengths)
+        # pieces of a text stand side by side
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        out[own[first], :-1] += np.add.reduceat(np.log1p(counts), first)
+        out[own[first], -1] += np.add.reduceat(counts.sum(axis=1), first)
+    out[:, :-1] /= pieces[:, None]
+    return out
+
+
+def length_class(totals: np.ndarray) -> np.ndarray:
+    return np.log2(totals + 1).astype(np.int64)
+
+
+def weighted(logs: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    vectors = logs * idf
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
@@ -121,24 +147,25 @@ def fit(
     @F.arrow_udf(ArrayType(FloatType()))
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            flat = [frequencies(block, dimensions, lengths).ravel() for block in blocks(texts)]
+            flat = [features(block, dimensions, lengths).ravel() for block in blocks(texts)]
             values = pa.array(np.concatenate([np.zeros(0), *flat]).astype(np.float32))
-            yield pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * dimensions), values)
+            ends = np.arange(len(texts) + 1, dtype=np.int32) * (dimensions + 1)
+            yield pa.ListArray.from_arrays(pa.array(ends), values)
 
     chosen = learning_sample(
         rows, text=text, lang=lang, key=F.col(key), per_language=per_language, sample=sample
     )
-    table = chosen.select("lang", vectors("text").alias("counts")).toArrow()
+    table = chosen.select("lang", vectors("text").alias("features")).toArrow()
     names = np.array(table["lang"].to_pylist(), dtype=object)
-    counts = np.array(table["counts"].combine_chunks().flatten(), dtype=np.float32).reshape(len(names), dimensions)
-    return fit_vectors(names, counts, centroids, margin)
+    found = np.array(table["features"].combine_chunks().flatten(), dtype=np.float32).reshape(len(names), dimensions + 1)
+    return fit_vectors(names, found[:, :-1], found[:, -1], centroids, margin)
 
 
-def fit_vectors(names: np.ndarray, counts: np.ndarray, centroids: int, margin: float) -> Model:
-    idf = np.log((1 + len(names)) / (1 + (counts > 0).sum(axis=0))) + 1
-    vectors = weighted(counts, idf)
+def fit_vectors(names: np.ndarray, logs: np.ndarray, totals: np.ndarray, centroids: int, margin: float) -> Model:
+    idf = np.log((1 + len(names)) / (1 + (logs > 0).sum(axis=0))) + 1
+    vectors = weighted(logs, idf)
     languages = sorted(set(names))
-    rows, owner = [np.zeros((0, counts.shape[1]))], []
+    rows, owner = [np.zeros((0, logs.shape[1]))], []
     for number, language in enumerate(languages):
         found = spherical_means(vectors[names == language], centroids)
         rows.append(found)
@@ -146,11 +173,16 @@ def fit_vectors(names: np.ndarray, counts: np.ndarray, centroids: int, margin: f
     centers = np.concatenate(rows)
     allowed = np.full(64, 1.0)
     if len(names):
-        distance, kinds = 1 - (vectors @ centers.T).max(axis=1), length_class(counts)
+        distance, kinds = 1 - (vectors @ centers.T).max(axis=1), length_class(totals)
         # a longer text is never farther than a shorter one may be: classes inherit from longer ones
-        largest = np.zeros(64)
+        largest, filled = np.zeros(64), np.bincount(kinds, minlength=64)
         np.maximum.at(largest, kinds, distance)
-        allowed = np.maximum.accumulate(largest[::-1])[::-1] + margin
+        largest = np.maximum.accumulate(largest[::-1])[::-1]
+        # a class with few learning texts, or none, allows what the next shorter filled class does
+        enough = filled >= min(FILLED, filled.max())
+        nearest = np.maximum.accumulate(np.where(enough, np.arange(64), 0))
+        largest = np.maximum(largest, np.where(enough[nearest], largest[nearest], 0.0))
+        allowed = largest + margin
         allowed[: int(np.log2(EVIDENCE))] = 1.0
     return Model(languages, centers, np.array(owner, dtype=np.int64), idf, allowed)
 
@@ -210,10 +242,10 @@ _ARROW = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejec
 
 
 def _nearest(texts: pa.Array, model: Model, centers: np.ndarray, dimensions: int, lengths: tuple[int, ...]) -> pa.Array:
-    counts = frequencies(texts, dimensions, lengths)
-    cosines = weighted(counts, model.idf) @ centers
+    found = features(texts, dimensions, lengths)
+    cosines = weighted(found[:, :-1], model.idf) @ centers
     best = cosines.argmax(axis=1)
     score = np.clip(cosines[np.arange(len(best)), best], 0.0, 1.0)
     names = pa.array(model.languages, pa.string()).take(pa.array(model.owner[best]))
-    rejected = 1 - score > model.allowed[length_class(counts)]
+    rejected = 1 - score > model.allowed[length_class(found[:, -1])]
     return pa.StructArray.from_arrays([names, pa.array(score), pa.array(rejected)], fields=list(_ARROW))

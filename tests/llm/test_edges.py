@@ -152,6 +152,19 @@ def test_language(edges, nothing):
     assert all(0 <= p["score"] <= 1 for p in found.values())
 
 
+def test_language_of_texts_longer_than_any_learned(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("length(text) < 10000")
+    model = langid.fit(docs)
+    joined = docs.groupBy("lang").agg(F.array_join(F.sort_array(F.collect_list("text")), " ").alias("text"))
+    cut = joined.select("lang", F.explode(F.array(*(F.substring("text", 1, n) for n in (50_000, 150_000, 300_000)))).alias("text"))
+    found = cut.select("lang", langid.predict("text", model).alias("p")).collect()
+    assert len(found) == 12
+    assert [(r["lang"], r["p"]["score"]) for r in found if r["p"]["rejected"] or r["p"]["lang_pred"] != r["lang"]] == []
+    # a long text in no language known is still far
+    noise = spark.range(1).select(F.repeat(F.lit("qxz vvk 9 wqj zzx kkq jxw "), 10_000).alias("text"))
+    assert noise.select(langid.predict("text", model).alias("p")).first()["p"]["rejected"]
+
+
 def test_substrings(edges, nothing):
     assert substrings.remove_repeated(nothing).collect() == []
     rows = substrings.remove_repeated(edges).collect()
