@@ -21,13 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, StringType, StructField, StructType
 
+from sheafline.llm.staging import cut_lineage
 from sheafline.llm.words import GOLDEN, blocks, raw_bytes, whole_texts
 
 #: The answer for a text without a letter.
 UNDETERMINED = "und"
-#: Vectors per language in the sample, and in the whole sample, that the driver fits on.
+#: Vectors per language in the sample, and in the whole sample, that the driver fits on; with
+#: many languages each gives fewer, but about this many at least.
 PER_LANGUAGE = 250
 SAMPLE = 2500
+SOME = 20
 #: Hashed dimensions, lengths of n-grams in bytes, centroids per language.
 DIMENSIONS = 2048
 LENGTHS = (1, 2, 3)
@@ -113,17 +116,25 @@ def weighted(logs: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def learning_sample(rows: DataFrame, *, text: str, lang: str, key: Column, per_language: int, sample: int) -> DataFrame:
-    """Labelled rows with a letter, about ``per_language`` of each language, ``sample`` at most.
+    """Labelled rows with a letter, about an equal number of each language and ``sample`` in all.
 
-    The rows with the smallest hashes of ``key``: the same rows in every run.
+    A language gives about ``per_language`` rows, or fewer where there are many languages, but
+    some of every language in any case; equal rows once. The rows with the smallest hashes of
+    ``key`` and text within their language: the same rows in every run.
     """
-    labelled = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("order"))
+    labelled = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key, text).alias("order"))
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    share = labelled.groupBy("lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("share"))
+    # a row per language, as the model has them
+    sizes = cut_lineage(
+        labelled.groupBy("lang").agg(F.approx_count_distinct("order", 0.02).alias("size"), F.min("order").alias("first"))
+    )
+    quota = min(per_language, max(SOME, sample // max(1, sizes.count())))
     # the hash is uniform over 64 bits, so a share of its range is a share of the rows
     place = F.col("order") / F.lit(2.0**64) + 0.5
-    chosen = labelled.join(share, "lang").filter(place < F.col("share"))
-    return chosen.select("lang", "text", "order").orderBy("order", "lang", "text").limit(sample)
+    # all rows of a language that has no more than its quota, whatever the error of its size
+    share = F.when(F.col("size") > 1.1 * quota, F.lit(float(quota)) / F.col("size")).otherwise(1.0)
+    chosen = labelled.join(F.broadcast(sizes), "lang").filter((place < share) | (F.col("order") == F.col("first")))
+    return chosen.dropDuplicates(["lang", "order"]).select("lang", "text", "order").orderBy("order", "lang", "text")
 
 
 def fit(

@@ -165,6 +165,22 @@ def test_language_of_texts_longer_than_any_learned(spark, sf_dir):
     assert noise.select(langid.predict("text", model).alias("p")).first()["p"]["rejected"]
 
 
+def test_every_language_is_learned_whatever_their_number(spark):
+    # 15 common languages would fill the sample of 2500 alone; the rare ones have 3 rows each
+    text = F.concat(F.lit("word "), F.col("id").cast("string"))
+    common = spark.range(15 * 400).select("id", F.concat(F.lit("c"), (F.col("id") % 15).cast("string")).alias("lang"), text.alias("text"))
+    rare = spark.range(60).select("id", F.concat(F.lit("r"), (F.col("id") % 20).cast("string")).alias("lang"), text.alias("text"))
+    copies = spark.range(900).select(F.lit(None).cast("long").alias("id"), F.lit("copied").alias("lang"), F.lit("one text").alias("text"))
+    rows = common.unionByName(rare).unionByName(copies)
+    chosen = langid.learning_sample(
+        rows, text="text", lang="lang", key=F.col("id"), per_language=langid.PER_LANGUAGE, sample=langid.SAMPLE
+    )
+    found = {r["lang"]: r["count"] for r in chosen.groupBy("lang").count().collect()}
+    assert len(found) == 36 and found["copied"] == 1
+    assert all(n == 3 for lang, n in found.items() if lang.startswith("r"))
+    assert all(20 <= n <= 140 for lang, n in found.items() if lang.startswith("c") and lang != "copied")
+
+
 def test_substrings(edges, nothing):
     assert substrings.remove_repeated(nothing).collect() == []
     rows = substrings.remove_repeated(edges).collect()
