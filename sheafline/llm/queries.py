@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheafline.llm import bpe, counts, jaccard, langid, lm, mixing, quality, substrings, topk, urls
+from sheafline.llm import bpe, counts, jaccard, langid, lm, mixing, quality, spelling, substrings, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -206,3 +206,15 @@ select doc_id, len(w)::bigint n_words, coalesce(len(ps), 0)::bigint n_removed,
   sha256(array_to_string(list_filter(w, lambda x, i: not list_contains(coalesce(ps, []), i)), ' ')) kept_sha256
 from words left join gone using (doc_id)
 """
+
+
+#: One of as many distinct runs of a document is misspelt, and words below the count are left out.
+NOISE = 31
+LEAST_COUNT = 2
+
+
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = spelling.run_counts(documents, least=7, noise=NOISE)
+    return spelling.variant_groups(words.filter(F.col("n") >= LEAST_COUNT), ratio=10)
