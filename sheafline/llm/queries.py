@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheafline.llm import bpe, counts, jaccard, langid, lm, mixing, quality, spelling, substrings, topk, urls
+from sheafline.llm import bpe, collocations, counts, jaccard, langid, lm, mixing, quality, spelling, substrings, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -218,3 +218,45 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     words = spelling.run_counts(documents, least=7, noise=NOISE)
     return spelling.variant_groups(words.filter(F.col("n") >= LEAST_COUNT), ratio=10)
+
+
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.collocations(documents, longest=5, least=100, percent=100, top=2000)
+
+
+ORACLES["op12_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+  )) piece from documents
+), words as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from pieces
+), grams as (
+  select lang, size, array_to_string(w[p : p + size - 1], ' ') phrase
+  from (select lang, w, size, unnest(range(1, len(w) - size + 2)) p from words, range(1, 6) sizes(size))
+), f as (
+  select lang, phrase, size, count(*) a from grams group by all
+), totals as (
+  select lang, sum(a)::bigint n from f where size = 1 group by lang
+), candidates as (
+  select lang, phrase, size, a, string_split(phrase, ' ') w from f where size > 1 and a >= 100
+), kept as (
+  select * from candidates c where not exists (
+    select 1 from candidates o where o.lang = c.lang and o.size > c.size and 100 * o.a >= 100 * c.a
+    and contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ')
+  )
+), cuts as (
+  select lang, phrase, w, a, unnest(range(1, len(w))) k from kept
+), scored as (
+  select c.lang, c.phrase, c.a, k, x.a l, y.a r, n, ((1000::hugeint * c.a * n) // (x.a::hugeint * y.a))::bigint score
+  from cuts c join f x on x.lang = c.lang and x.phrase = array_to_string(c.w[1 : k], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(c.w[k + 1 :], ' ') join totals t on t.lang = c.lang
+), lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+)
+select lang, rank, phrase, a, l, r, n, score from (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from lowest
+) where rank <= 2000
+"""
