@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheafline.llm import bpe, collocations, counts, jaccard, langid, lm, mixing, quality, spelling, substrings, topk, urls
+from sheafline.llm import bpe, collocations, counts, jaccard, langid, lm, minhash, mixing, quality, spelling, substrings, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -260,3 +260,9 @@ select lang, rank, phrase, a, l, r, n, score from (
   select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from lowest
 ) where rank <= 2000
 """
+
+
+@_query
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.fingerprints(documents).join(minhash.near_copies(documents), "doc_id", "left")

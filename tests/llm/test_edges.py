@@ -208,4 +208,5 @@ def test_stages_are_registered_last():
     assert set(QUERIES) == {
         "op1_bpe", "op2_line_quality", "op3_mixture", "op4_lm_score", "op5_exact_top_k", "op6_url_filters",
         "op7_jaccard_join", "op8_language", "op9_token_counts", "op10_substring_dedup", "op11_spelling_variants", "op12_collocations",
+        "op13_fingerprints",
     }
