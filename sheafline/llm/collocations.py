@@ -33,9 +33,9 @@ from sheafline.llm.words import as_array, blocks, hash_strings, mixed, raw_bytes
 #: Stands for a missing language.
 UNKNOWN = "und"
 #: Bytes of text that a task counts at once.
-BLOCK = 16_000_000
+BLOCK = 8_000_000
 #: Slices of a stripe: of the empty prefix, whose stripe holds all words, and of others.
-FIRST_SLICES, SLICES = 1024, 16
+FIRST_SLICES, SLICES = 1024, 8
 #: Bits of the bitmap for each frequent phrase, and in all (32 MB).
 BITS_PER_PHRASE = 16
 MOST_BITS = 1 << 28
@@ -65,19 +65,21 @@ def pieces(texts: pa.Array) -> Pieces:
     kind[list(BLANKS)], kind[list(PIECE_ENDS)] = 1, 2
     kinds = kind[raw]
     inside = kinds == 0
-    first = inside.copy()
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
-    begins = offsets[:-1][np.diff(offsets) > 0]
-    first[begins] = inside[begins]
+    last[:-1] &= ~inside[1:]
+    filled = np.diff(offsets) > 0
+    begins, ends = offsets[:-1][filled], offsets[1:][filled] - 1
+    first[begins], last[ends] = inside[begins], inside[ends]
     starts = np.flatnonzero(first)
-    letters = np.concatenate([np.cumsum(inside)[starts] - 1, [np.count_nonzero(inside)]]).astype(np.int64)
+    letters = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - starts)]).astype(np.int64)
     buffers = [None, pa.py_buffer(letters), pa.py_buffer(np.ascontiguousarray(raw[inside]))]
     coded = pc.dictionary_encode(pa.Array.from_buffers(pa.large_string(), len(starts), buffers))
     owner = np.searchsorted(offsets, starts, side="right") - 1
-    piece = np.cumsum(kinds == 2)[starts]
-    ends = np.ones(len(starts), dtype=bool)
-    ends[:-1] = (piece[1:] != piece[:-1]) | (owner[1:] != owner[:-1])
-    after = np.flatnonzero(ends) + 1
+    piece = np.searchsorted(np.flatnonzero(kinds == 2), starts)
+    closing = np.ones(len(starts), dtype=bool)
+    closing[:-1] = (piece[1:] != piece[:-1]) | (owner[1:] != owner[:-1])
+    after = np.flatnonzero(closing) + 1
     left = np.repeat(after, np.diff(np.concatenate([[0], after]))) - np.arange(len(starts))
     return Pieces(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), owner, left)
 
