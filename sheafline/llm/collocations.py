@@ -1,16 +1,17 @@
 """Phrase collocations by stripes: each prefix keys a counter of its next words.
 
 A task turns a block of texts into stripes: for each language and prefix an associative
-counter of the words that follow it. Stripes of one prefix are merged elementwise. What is
-asked for is then read from the merged stripes: their entries are the prefix's extensions,
-their sum is how often the prefix occurs, and their largest entry is what may subsume it.
-
-Prefixes grow by a word a pass. A phrase can only be frequent if the phrase without its last
-word and the phrase without its first word are, so a pass writes stripes of the prefixes
-that the pass before found frequent, and counts an extension whose last words were not
-frequent under the null word, as it does the end of a piece: sums stay whole. Which phrases
-were frequent is asked of a bitmap of hashes of at most ``MOST_BITS`` bits. It can say yes
-for a phrase that is not frequent, which then costs a count, but never no for one that is.
+counter of the words that follow it. Stripes of one prefix are merged elementwise. All that is
+asked for is then read from the merged stripes: their entries are the extensions of a prefix
+and how often each occurs, which is the total of the prefix one word longer; the stripe of
+the empty prefix sums to all words; the largest entry is what may subsume a prefix.
+
+Stripes are written for frequent phrases only. Which phrases can be frequent is counted
+first, by hashes: sums over a hash are never below the count of a phrase that has it, so a
+phrase that is left out is not frequent, and one let in by chance only costs a count. Words
+and pairs are counted in one pass, triples of frequent pairs in another, and a longer phrase
+is let in if all its triples are. The hashes of what is frequent travel as a bitmap with
+bits by their number, of at most ``MOST_BITS`` bits: beyond that it lets more pass.
 
 A stripe is cut into slices by a hash of the next word, and counted in a task's block before
 it is shuffled, so that neither a frequent prefix nor a frequent word makes a large group.
@@ -18,7 +19,7 @@ it is shuffled, so that neither a frequent prefix nor a frequent word makes a la
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import ceil, log2
 
@@ -36,9 +37,11 @@ UNKNOWN = "und"
 BLOCK = 8_000_000
 #: Slices of a stripe: of the empty prefix, whose stripe holds all words, and of others.
 FIRST_SLICES, SLICES = 1024, 8
-#: Bits of the bitmap for each frequent phrase, and in all (32 MB).
+#: Bits of a bitmap for each frequent phrase, and in all (128 MB).
 BITS_PER_PHRASE = 16
-MOST_BITS = 1 << 28
+MOST_BITS = 1 << 30
+#: Words of the longest phrases that are counted by hashes before.
+FILTERED = 3
 
 # bytes that end a piece, and bytes that end a word only (fixed values)
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -95,6 +98,9 @@ class Bitmap:
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+NOTHING = Bitmap(np.zeros(1024, np.uint64))
+
+
 def phrase_hashes(languages: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     """A hash of each language with the words at each place of its phrase, all given as hashes."""
     state = languages
@@ -103,55 +109,92 @@ def phrase_hashes(languages: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return state
 
 
-def _bitmap(frequent: DataFrame) -> Bitmap | None:
-    """The bitmap of columns ``lang`` and ``phrase``; nothing without phrases."""
+def _flags(found: Pieces, languages: np.ndarray, hashes: np.ndarray, size: int, bitmaps: dict[int, Bitmap]) -> list[np.ndarray]:
+    """For phrases of 1 to ``size`` words whether one that can be frequent begins at each word."""
+    flags = [np.ones(len(found.number), dtype=bool)]
+    for count in range(1, size + 1):
+        able = flags[-1] & (found.left >= count)
+        if count > 1:
+            able[:-1] &= flags[-1][1:]
+        if count in bitmaps:
+            at = np.flatnonzero(able)
+            able[at] = bitmaps[count].knows(phrase_hashes(languages[at], [hashes[at + k] for k in range(count)]))
+        flags.append(able)
+    return flags[1:]
+
+
+def _read(languages: pa.Array, texts: pa.Array) -> tuple[Pieces, pa.Array, np.ndarray]:
+    """Words of a block, names of its languages, and the language of each word."""
+    found = pieces(whole_texts(texts))
+    coded = pc.dictionary_encode(languages)
+    return found, as_array(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[found.owner]
+
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_block(documents: DataFrame, work: Callable[[pa.Array, pa.Array], list[pa.RecordBatch]], schema: str) -> DataFrame:
+    def worked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = pc.split_pattern(as_array(batch["phrase"]), " ")
-            words = hash_strings(lists.flatten()).reshape(batch.num_rows, -1)
-            found = phrase_hashes(hash_strings(as_array(batch["lang"])), list(words.T))
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
+            done = 0
+            for block in blocks(batch.column(1), BLOCK):
+                yield from work(batch.column(0).slice(done, len(block)), block)
+                done += len(block)
+
+    return documents.select("lang", "text").mapInArrow(worked, schema)
+
 
+def frequent_hashes(documents: DataFrame, sizes: list[int], bitmaps: dict[int, Bitmap], least: int) -> Bitmap | None:
+    """The bitmap of hashes that phrases of these sizes have ``least`` times or more together."""
+    shared = documents.sparkSession.sparkContext.broadcast(bitmaps)
+
+    def hashed(languages: pa.Array, texts: pa.Array) -> list[pa.RecordBatch]:
+        found, names, language = _read(languages, texts)
+        hashes, tongue = hash_strings(found.vocabulary)[found.number], hash_strings(names)[language]
+        flags = _flags(found, tongue, hashes, max(sizes), shared.value)
+        own = []
+        for size in sizes:
+            at = np.flatnonzero(flags[size - 1])
+            own.append(phrase_hashes(tongue[at], [hashes[at + k] for k in range(size)]))
+        keys, counts = np.unique(np.concatenate(own), return_counts=True)
+        return [pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["hash", "n"])]
+
+    counted = _by_block(documents, hashed, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    frequent = cut_lineage(counted.filter(F.col("n") >= least).select("hash"))
     count = frequent.count()
     if not count:
         return None
     bits = min(MOST_BITS, 1 << max(16, ceil(log2(count * BITS_PER_PHRASE))))
-    hashes = frequent.select("lang", "phrase").mapInArrow(hashed, "hash long")
     place = F.shiftrightunsigned("hash", 64 - bits.bit_length() + 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
-    rows = hashes.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    rows = frequent.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     words = np.zeros(bits // 64, np.uint64)
     words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return Bitmap(words)
 
 
-def block_stripes(languages: pa.Array, texts: pa.Array, length: int, frequent: Bitmap | None, slices: int) -> pa.RecordBatch:
-    """Rows of ``STRIPE`` for the prefixes of ``length`` words in a block of texts."""
-    found = pieces(texts)
-    number, left = found.number, found.left
-    coded = pc.dictionary_encode(languages)
-    names, language = as_array(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[found.owner]
-    at = np.flatnonzero(left >= max(1, length))
-    if length:
-        hashes, tongue = hash_strings(found.vocabulary)[number], hash_strings(names)[language]
-        known = np.zeros(len(number), dtype=bool)
-        known[at] = frequent.knows(phrase_hashes(tongue[at], [hashes[at + k] for k in range(length)]))
-        at = at[known[at]]
-        goes_on = left[at] > length
-        goes_on[goes_on] = known[at[goes_on] + 1]
-    else:
-        goes_on = np.ones(len(at), dtype=bool)
-    following = np.full(len(at), -1)
-    following[goes_on] = number[at[goes_on] + length]
-    size = len(found.vocabulary) + 1
-    prefix, example = language[at], np.zeros(0, np.int64)
+def block_stripes(languages: pa.Array, texts: pa.Array, longest: int, bitmaps: dict[int, Bitmap]) -> list[pa.RecordBatch]:
+    """Rows of ``STRIPE`` of a block of texts, for prefixes of no word to one word less than ``longest``.
+
+    The null word stands for all words that are not frequent, after the empty prefix.
+    """
+    found, names, language = _read(languages, texts)
+    word_hashes = hash_strings(found.vocabulary)
+    flags = _flags(found, hash_strings(names)[language], word_hashes[found.number], longest, bitmaps)
+    return [_stripes(found, names, language, length, flags[length], word_hashes) for length in range(longest)]
+
+
+def _stripes(
+    found: Pieces, names: pa.Array, language: np.ndarray, length: int, flagged: np.ndarray, word_hashes: np.ndarray
+) -> pa.RecordBatch:
+    number, size = found.number, len(found.vocabulary) + 1
+    at = np.flatnonzero(flagged) if length else np.arange(len(number))
+    following = np.where(flagged[at], number[np.minimum(at + length, len(number) - 1)], -1) if len(at) else at
+    prefix = language[at]
     for k in range(length):
         _, prefix = np.unique(prefix * size + number[at + k], return_inverse=True)
     _, example, prefix = np.unique(prefix, return_index=True, return_inverse=True)
     entry, counts = np.unique(prefix * size + following + 1, return_counts=True)
     prefix, following = entry // size, entry % size - 1
-    part = np.where(following < 0, 0, (hash_strings(found.vocabulary) % np.uint64(slices)).astype(np.int64)[following]) if size > 1 else following
+    slices = np.uint64(SLICES if length else FIRST_SLICES)
+    part = np.where(following < 0, 0, (word_hashes % slices).astype(np.int64)[following]) if size > 1 else following
     order = np.lexsort((part, prefix))
     prefix, following, part, counts = prefix[order], following[order], part[order], counts[order]
     new = np.ones(len(prefix), dtype=bool)
@@ -160,7 +203,7 @@ def block_stripes(languages: pa.Array, texts: pa.Array, length: int, frequent: B
     bounds = pa.array(np.concatenate([begins, [len(prefix)]]).astype(np.int32))
     shown = at[example][prefix[begins]]
     words = [found.vocabulary.take(pa.array(number[shown + k])) for k in range(length)]
-    text = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())) if length else pa.array([""] * len(begins))
+    text = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())) if length else pa.array([""] * len(begins), pa.string())
     nexts = found.vocabulary.take(pa.array(following, mask=following < 0))
     return pa.RecordBatch.from_arrays(
         [
@@ -174,26 +217,17 @@ def block_stripes(languages: pa.Array, texts: pa.Array, length: int, frequent: B
     )
 
 
-def merged_stripes(documents: DataFrame, length: int, frequent: Bitmap | None, least: int) -> DataFrame:
-    """Slices of merged stripes of prefixes of ``length`` words, of columns ``lang`` and ``text``.
+def merged_stripes(documents: DataFrame, longest: int, bitmaps: dict[int, Bitmap], least: int) -> DataFrame:
+    """Slices of merged stripes, of columns ``lang`` and ``text``.
 
     ``total`` sums all entries of a slice, ``extensions`` lists those of ``least`` and more.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(frequent)
-    slices = SLICES if length else FIRST_SLICES
-
-    def striped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = 0
-            for block in blocks(batch.column(1), BLOCK):
-                languages = batch.column(0).slice(done, len(block))
-                yield block_stripes(languages, whole_texts(block), length, shared.value, slices)
-                done += len(block)
-
+    shared = documents.sparkSession.sparkContext.broadcast(bitmaps)
     key = ["lang", "prefix", "slice"]
-    stripes = documents.select("lang", "text").mapInArrow(striped, STRIPE).repartition(*key)
+    stripes = _by_block(documents, lambda languages, texts: block_stripes(languages, texts, longest, shared.value), STRIPE)
     # one shuffle: entries of a slice lie where the slice lies
-    entries = stripes.select(*key, F.inline(F.arrays_zip("nexts", "counts"))).groupBy(*key, "nexts").agg(F.sum("counts").alias("n"))
+    entries = stripes.repartition(*key).select(*key, F.inline(F.arrays_zip("nexts", "counts")))
+    entries = entries.groupBy(*key, "nexts").agg(F.sum("counts").alias("n"))
     frequent_entry = F.when((F.col("n") >= least) & F.col("nexts").isNotNull(), F.struct(F.col("nexts").alias("next"), "n"))
     return entries.groupBy(*key).agg(F.sum("n").alias("total"), F.collect_list(frequent_entry).alias("extensions"))
 
@@ -222,22 +256,16 @@ def collocations(
     rows = documents.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("string").alias("text")
     )
-    frequent, levels, totals = None, [], []
-    for length in range(longest):
-        merged = cut_lineage(merged_stripes(rows, length, frequent, least))
-        totals.append(merged.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.sum("total").alias("total")))
-        extended = merged.select("lang", "prefix", F.inline("extensions"))
-        phrase = F.concat_ws(" ", "prefix", "next") if length else F.col("next")
-        levels.append(extended.select("lang", "prefix", phrase.alias("phrase"), F.col("n").alias("a")))
-        frequent = _bitmap(levels[-1]) if length + 1 < longest else None
-        if length + 1 < longest and frequent is None:
-            break
-    words = totals[0].select("lang", F.col("total").alias("n"))
-    candidates, parts = levels[0].limit(0), totals[0].limit(0)
-    for more in levels[1:]:
-        candidates = candidates.unionByName(more)
-    for more in totals[1:]:
-        parts = parts.unionByName(more.filter(F.col("total") >= least))
+    bitmaps: dict[int, Bitmap] = {}
+    for sizes in ([1, 2], *([size] for size in range(3, min(FILTERED, longest) + 1))):
+        found = frequent_hashes(rows, sizes, bitmaps, least)
+        bitmaps |= dict.fromkeys(sizes, found or NOTHING)
+    merged = cut_lineage(merged_stripes(rows, longest, bitmaps, least))
+    words = merged.filter(F.col("prefix") == "").groupBy("lang").agg(F.sum("total").alias("n"))
+    extended = merged.select("lang", "prefix", F.inline("extensions"))
+    phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
+    phrases = extended.select("lang", "prefix", phrase.alias("phrase"), F.col("n").alias("a"))
+    candidates, parts = phrases.filter(F.col("prefix") != ""), phrases
     listed = F.split("phrase", " ")
     inner = F.explode(F.array(F.col("prefix"), F.array_join(F.slice(listed, F.lit(2), F.size(listed) - 1), " ")))
     subsuming = candidates.select("lang", inner.alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
@@ -249,8 +277,8 @@ def collocations(
         F.array_join(F.slice("words", F.lit(1), F.col("k")), " ").alias("first"),
         F.array_join(F.slice("words", F.col("k") + 1, F.size("words") - F.col("k")), " ").alias("rest"),
     )
-    left = parts.select("lang", F.col("phrase").alias("first"), F.col("total").alias("l"))
-    right = parts.select("lang", F.col("phrase").alias("rest"), F.col("total").alias("r"))
+    left = parts.select("lang", F.col("phrase").alias("first"), F.col("a").alias("l"))
+    right = parts.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r"))
     cuts = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(words, "lang")
     # decimals of 38 digits: products of two counts and a thousand stay exact
     exact = {name: F.col(name).cast("decimal(19,0)") for name in ("a", "n", "l", "r")}
