@@ -13,8 +13,9 @@ and pairs are counted in one pass, triples of frequent pairs in another, and a l
 is let in if all its triples are. The hashes of what is frequent travel as a bitmap with
 bits by their number, of at most ``MOST_BITS`` bits: beyond that it lets more pass.
 
-A stripe is cut into slices by a hash of the next word, and counted in a task's block before
-it is shuffled, so that neither a frequent prefix nor a frequent word makes a large group.
+Stripes are counted in a task's block before they are shuffled. A block's stripe of more than
+``SLICE`` words is cut into about equal slices by a hash of the next word, and slices are merged
+before the stripes are, so that a frequent prefix makes no large group.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ from sheafline.llm.words import as_array, blocks, hash_strings, mixed, raw_bytes
 UNKNOWN = "und"
 #: Bytes of text that a task counts at once.
 BLOCK = 8_000_000
-#: Slices of a stripe: of the empty prefix, whose stripe holds all words, and of others.
-FIRST_SLICES, SLICES = 1024, 8
+#: Next words in a slice of a block's stripe, about.
+SLICE = 64
 #: Bits of a bitmap for each frequent phrase, and in all (128 MB).
 BITS_PER_PHRASE = 16
 MOST_BITS = 1 << 30
@@ -48,6 +49,7 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b"\x20\x09"
 
 STRIPE = "lang string, prefix string, slice int, nexts array<string>, counts array<long>"
+STRIPE_NAMES = ["lang", "prefix", "slice", "nexts", "counts"]
 
 
 @dataclass(frozen=True)
@@ -173,28 +175,40 @@ def frequent_hashes(documents: DataFrame, sizes: list[int], bitmaps: dict[int, B
 def block_stripes(languages: pa.Array, texts: pa.Array, longest: int, bitmaps: dict[int, Bitmap]) -> list[pa.RecordBatch]:
     """Rows of ``STRIPE`` of a block of texts, for prefixes of no word to one word less than ``longest``.
 
-    The null word stands for all words that are not frequent, after the empty prefix.
+    A row without a prefix counts all words of its language.
     """
     found, names, language = _read(languages, texts)
     word_hashes = hash_strings(found.vocabulary)
     flags = _flags(found, hash_strings(names)[language], word_hashes[found.number], longest, bitmaps)
-    return [_stripes(found, names, language, length, flags[length], word_hashes) for length in range(longest)]
+    counts = np.bincount(language, minlength=len(names))
+    ones = pa.array(np.arange(len(names) + 1, dtype=np.int32))
+    totals = pa.RecordBatch.from_arrays(
+        [
+            names.cast(pa.string()),
+            pa.nulls(len(names), pa.string()),
+            pa.array(np.zeros(len(names), np.int32)),
+            pa.ListArray.from_arrays(ones, pa.nulls(len(names), pa.string())),
+            pa.ListArray.from_arrays(ones, pa.array(counts.astype(np.int64))),
+        ],
+        names=STRIPE_NAMES,
+    )
+    return [totals, *(_stripes(found, names, language, length, flags[length], word_hashes) for length in range(longest))]
 
 
 def _stripes(
     found: Pieces, names: pa.Array, language: np.ndarray, length: int, flagged: np.ndarray, word_hashes: np.ndarray
 ) -> pa.RecordBatch:
-    number, size = found.number, len(found.vocabulary) + 1
-    at = np.flatnonzero(flagged) if length else np.arange(len(number))
-    following = np.where(flagged[at], number[np.minimum(at + length, len(number) - 1)], -1) if len(at) else at
+    number, size = found.number, max(1, len(found.vocabulary))
+    at = np.flatnonzero(flagged)
     prefix = language[at]
     for k in range(length):
         _, prefix = np.unique(prefix * size + number[at + k], return_inverse=True)
     _, example, prefix = np.unique(prefix, return_index=True, return_inverse=True)
-    entry, counts = np.unique(prefix * size + following + 1, return_counts=True)
-    prefix, following = entry // size, entry % size - 1
-    slices = np.uint64(SLICES if length else FIRST_SLICES)
-    part = np.where(following < 0, 0, (word_hashes % slices).astype(np.int64)[following]) if size > 1 else following
+    entry, counts = np.unique(prefix * size + number[at + length], return_counts=True)
+    prefix, following = entry // size, entry % size
+    # one slice, numbered 0, or as many as there are next words for; numbers of 4 slices are 4 to 7
+    slices = np.left_shift(1, np.ceil(np.log2(np.maximum(np.bincount(prefix) / SLICE, 1))).astype(np.int64))[prefix] if len(prefix) else prefix
+    part = np.where(slices > 1, slices + (word_hashes[following] % np.maximum(slices, 1).astype(np.uint64)).astype(np.int64), 0)
     order = np.lexsort((part, prefix))
     prefix, following, part, counts = prefix[order], following[order], part[order], counts[order]
     new = np.ones(len(prefix), dtype=bool)
@@ -204,7 +218,7 @@ def _stripes(
     shown = at[example][prefix[begins]]
     words = [found.vocabulary.take(pa.array(number[shown + k])) for k in range(length)]
     text = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())) if length else pa.array([""] * len(begins), pa.string())
-    nexts = found.vocabulary.take(pa.array(following, mask=following < 0))
+    nexts = found.vocabulary.take(pa.array(following))
     return pa.RecordBatch.from_arrays(
         [
             names.take(pa.array(language[shown])).cast(pa.string()),
@@ -213,23 +227,23 @@ def _stripes(
             pa.ListArray.from_arrays(bounds, nexts.cast(pa.string())),
             pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int64))),
         ],
-        names=["lang", "prefix", "slice", "nexts", "counts"],
+        names=STRIPE_NAMES,
     )
 
 
 def merged_stripes(documents: DataFrame, longest: int, bitmaps: dict[int, Bitmap], least: int) -> DataFrame:
-    """Slices of merged stripes, of columns ``lang`` and ``text``.
+    """Entries of merged stripes, of columns ``lang`` and ``text``: lang, prefix, next and ``n`` of ``least`` or more.
 
-    ``total`` sums all entries of a slice, ``extensions`` lists those of ``least`` and more.
+    The entry without a prefix is the number of all words.
     """
     shared = documents.sparkSession.sparkContext.broadcast(bitmaps)
     key = ["lang", "prefix", "slice"]
     stripes = _by_block(documents, lambda languages, texts: block_stripes(languages, texts, longest, shared.value), STRIPE)
-    # one shuffle: entries of a slice lie where the slice lies
+    # entries are merged where their slice lies, in the shuffle of slices; then slices of all numbers
     entries = stripes.repartition(*key).select(*key, F.inline(F.arrays_zip("nexts", "counts")))
-    entries = entries.groupBy(*key, "nexts").agg(F.sum("counts").alias("n"))
-    frequent_entry = F.when((F.col("n") >= least) & F.col("nexts").isNotNull(), F.struct(F.col("nexts").alias("next"), "n"))
-    return entries.groupBy(*key).agg(F.sum("n").alias("total"), F.collect_list(frequent_entry).alias("extensions"))
+    entries = entries.withColumnsRenamed({"nexts": "next", "counts": "n"}).groupBy(*key, "next").agg(F.sum("n").alias("n"))
+    merged = entries.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
+    return merged.filter(F.col("prefix").isNull() | (F.col("n") >= least))
 
 
 def collocations(
@@ -261,11 +275,10 @@ def collocations(
         found = frequent_hashes(rows, sizes, bitmaps, least)
         bitmaps |= dict.fromkeys(sizes, found or NOTHING)
     merged = cut_lineage(merged_stripes(rows, longest, bitmaps, least))
-    words = merged.filter(F.col("prefix") == "").groupBy("lang").agg(F.sum("total").alias("n"))
-    extended = merged.select("lang", "prefix", F.inline("extensions"))
+    words = merged.filter(F.col("prefix").isNull()).select("lang", "n")
     phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
-    phrases = extended.select("lang", "prefix", phrase.alias("phrase"), F.col("n").alias("a"))
-    candidates, parts = phrases.filter(F.col("prefix") != ""), phrases
+    parts = merged.filter(F.col("prefix").isNotNull()).select("lang", "prefix", phrase.alias("phrase"), F.col("n").alias("a"))
+    candidates = parts.filter(F.col("prefix") != "")
     listed = F.split("phrase", " ")
     inner = F.explode(F.array(F.col("prefix"), F.array_join(F.slice(listed, F.lit(2), F.size(listed) - 1), " ")))
     subsuming = candidates.select("lang", inner.alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
