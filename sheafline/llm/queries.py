@@ -265,4 +265,4 @@ select lang, rank, phrase, a, l, r, n, score from (
 @_query
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash.fingerprints(documents).join(minhash.near_copies(documents), "doc_id", "left")
+    return minhash.with_classes(minhash.fingerprints(documents), minhash.near_copies(documents))
