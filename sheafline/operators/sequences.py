@@ -33,13 +33,25 @@ def sequence_windows_day(
     features: Sequence[str],
     target: str,
     step: int = DAY_FUTURE,
+    anchored: str = "start",
 ) -> DataFrame:
     """Samples every ``step`` rows: 12 past rows, and 6 future rows after a gap of 3.
 
     ``past`` holds all features, ``future`` all but the target, ``target`` the future
-    target values. Samples whose future is cut by the end of the series are left out.
+    target values, ``days`` the future values of ``order``. Samples are counted from the
+    ``start`` of the series, or from its ``end``: then the last one's future ends at the
+    last row, whatever the number of rows. Samples whose future is cut by the end of the
+    series are left out.
     """
+    if anchored not in ("start", "end"):
+        raise ValueError(f"samples are anchored at the start or the end, not at {anchored!r}")
     numbered, spec = _numbered(df, keys, order)
+    if anchored == "start":
+        first = (F.col("sample") - DAY_PAST) % step == 0
+    else:
+        rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        numbered = numbered.withColumn("__left", rows - F.col("sample") - DAY_GAP - DAY_FUTURE)
+        first = F.col("__left") % step == 0
     exogenous = [f for f in features if f != target]
     before = spec.rowsBetween(-DAY_PAST, -1)
     after = spec.rowsBetween(DAY_GAP, DAY_GAP + DAY_FUTURE - 1)
@@ -51,9 +63,11 @@ def sequence_windows_day(
             F.collect_list(_row(exogenous)).over(after).alias("future"),
             # a list drops NULL values, but not rows that hold one
             F.flatten(F.collect_list(_row([target])).over(after)).alias("target"),
+            F.collect_list(order).over(after).alias("days"),
+            first.alias("__first"),
         )
-        .filter((F.col("sample") >= DAY_PAST) & ((F.col("sample") - DAY_PAST) % step == 0))
-        .filter(F.size("future") == DAY_FUTURE)
+        .filter((F.col("sample") >= DAY_PAST) & F.col("__first") & (F.size("future") == DAY_FUTURE))
+        .drop("__first")
     )
 
 
@@ -69,6 +83,7 @@ def sequence_windows_week(
         F.collect_list(_row(features)).over(spec.rowsBetween(-WEEK_FIRST, -WEEK_LAST)).alias("past"),
         F.array(_row(exogenous)).alias("future"),
         F.array(F.col(target).cast("double")).alias("target"),
+        F.array(order).alias("days"),
     ).filter(F.col("sample") >= WEEK_FIRST)
 
 

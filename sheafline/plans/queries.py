@@ -454,10 +454,10 @@ def minmax_inverse(t: TestTables) -> DataFrame:
     return scaling.minmax_inverse(halved, stats, columns, keys=SERIES)
 
 
-def _day_samples(t: TestTables, step: int) -> DataFrame:
+def _day_samples(t: TestTables, step: int, anchored: str = "start") -> DataFrame:
     return sequences.sequence_windows_day(
         _day_features(t), keys=SERIES, order="date_recolte",
-        features=calendar.DAY_FEATURES, target=calendar.TARGET, step=step,
+        features=calendar.DAY_FEATURES, target=calendar.TARGET, step=step, anchored=anchored,
     )
 
 
@@ -493,22 +493,58 @@ def latest_window(t: TestTables) -> DataFrame:
         return latest.select(
             F.lit(kind).alias("kind"), *SERIES, "sample", "is_score",
             F.size("past").alias("past_rows"), F.size("future").alias("future_rows"),
+            F.col("days")[0].cast("string").alias("first"), F.element_at("days", -1).cast("string").alias("last"),
         )
 
-    return marked("day", _day_samples(t, 6)).unionByName(marked("week", _week_samples(t)))
+    return marked("day", _day_samples(t, 6, "end")).unionByName(marked("week", _week_samples(t)))
 
 
-@_query
-def sequence_forecast(t: TestTables) -> DataFrame:
+def _target_rows(t: TestTables) -> DataFrame:
     # a row per site and calendar day: both models start from one pass over the facts
     days = staged(intake.site_days(*_intake_tables(t), sites=SITES))
     day = intake.flux_day_until(intake.day_table(days), as_of=AS_OF)
     week = intake.flux_week_until_next(intake.week_table(days), as_of=AS_OF)
-    return forecast.sequence_forecast(
-        calendar.calendar_features_day(day), calendar.calendar_features_week(week), keys=SERIES
+    return forecast.target_rows(
+        calendar.calendar_features_day(day), calendar.calendar_features_week(week), keys=SERIES, as_of=AS_OF
     )
 
 
+@_query
+def sequence_forecast(t: TestTables) -> DataFrame:
+    rows = _target_rows(t)
+    return forecast.predict(rows, forecast.fit_models(rows, keys=SERIES), keys=SERIES)
+
+
+@_query
+def forecast_quality(t: TestTables) -> DataFrame:
+    """How good the forecast would have been on every past run, by horizon."""
+    return _rounded(forecast.forecast_quality(_target_rows(t), keys=SERIES), places=4)
+
+
+@_query
+def forecast_run_log(t: TestTables) -> DataFrame:
+    """A log row for each kind of the evaluated forecast."""
+    quality = forecast.forecast_quality(_target_rows(t), keys=SERIES, by=["kind"])
+    message = F.concat(F.lit("rmse "), "kind", F.lit(" "), F.round("rmse", 2).cast("decimal(20,2)").cast("string"))
+    at = dt.datetime.combine(AS_OF, dt.time())
+    return publish.run_log(quality.select(message.alias("log")), at=at, info="métrique", page="run final day")
+
+
+#: Run dates of stored models; the last one lies after the run.
+VERSIONS = tuple(AS_OF + dt.timedelta(days=7 * k) for k in (-8, -4, -1, 1))
+
+
+@_query
+def stored_model_forecast(t: TestTables) -> DataFrame:
+    """The coming days as the newest model stored before the run predicts them."""
+    rows = _target_rows(t)
+    stored = forecast.model_versions(rows, keys=SERIES, run_dates=VERSIONS)
+    models = forecast.models_as_of(stored, keys=SERIES, as_of=AS_OF)
+    picked = models.select(*SERIES, "kind", "position", "version", "trained")
+    daily = rows.filter("kind = 'day'")
+    return forecast.predict(daily, models, keys=SERIES).join(picked, [*SERIES, "kind", "position"], "left")
+
+
 @_query
 def series_least_squares(t: TestTables) -> DataFrame:
     series = forecast.weekly_series(t.deliveries_all(), key="code_adherent")
@@ -525,10 +561,11 @@ def publish_forecast(t: TestTables) -> DataFrame:
     value = F.col("dt") * F.when(last_week, F.lit(2)).otherwise(F.lit(-1))
     weekday = F.weekday("jour")
     sums = recent.agg(*(F.sum(F.when(weekday == p, value)).alias(f"d{p}") for p in range(6)))
+    days = publish.forecast_days(AS_OF)
     trend = sums.select(
-        F.inline(F.array(*(F.struct(F.lit(p).alias("position"), F.col(f"d{p}").alias("pred")) for p in range(6))))
+        F.inline(F.array(*(F.struct(F.lit(day).alias("jour"), F.col(f"d{p}").alias("pred")) for p, day in enumerate(days))))
     )
-    week = recent.agg(F.sum(F.when(weekday < 6, value)).alias("pred"))
+    week = recent.agg(F.sum(F.when(weekday < 6, value)).alias("pred")).withColumn("jour", F.lit(monday))
     stored = t.forecast_daily().select(
         "jour", F.col("dt").alias("pred2"), F.when(F.dayofweek("jour") == 2, F.col("dt") * 6).alias("pred1")
     )

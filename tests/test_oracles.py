@@ -18,9 +18,6 @@ TYPES = {
     "boolean": "BOOLEAN",
 }
 
-ROWS_ONLY = {"sequence_forecast", "weekly_forecast_run"}
-
-
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     connection = duckdb.connect()
@@ -30,8 +27,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -49,10 +45,3 @@ def test_matches_twin(spark, duck, sf_dir, name):
     expected = Counter(tuple(row[i] for i in order) for row in expected_rows)
     assert got == expected
     assert got, "an empty result proves nothing"
-
-
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_forecasts_cover_all_sites(spark, sf_dir, name):
-    rows = QUERIES[name](spark, sf_dir).collect()
-    assert {row["code_insee"] for row in rows} == {0, 1, 2, 3}
-    assert len(rows) == {"sequence_forecast": 28, "weekly_forecast_run": 24}[name]

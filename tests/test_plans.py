@@ -2,6 +2,9 @@
 
 import datetime as dt
 import re
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -27,10 +30,7 @@ def nothing_cached(spark):
     spark.catalog.clearCache()
 
 
-EAGER = {"sequence_forecast", "weekly_forecast_run"}
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEval|InPandas", plan)
@@ -175,8 +175,8 @@ def test_a_published_week_replaces_stored_days_in_a_new_table(spark, tmp_path):
         [(dt.date(2021, 6, 12), 4, None), (dt.date(2021, 6, 14), 5, 30)], SCHEMAS["published_forecasts"]
     )
     write_new(stored, f"{root}/published_forecasts")
-    daily = spark.createDataFrame([(p, 10 + p) for p in range(6)], "position int, pred long")
-    week = spark.createDataFrame([(75,)], "pred long")
+    daily = spark.createDataFrame([(dt.date(2021, 6, 14 + p), 10 + p) for p in range(6)], "jour date, pred long")
+    week = spark.createDataFrame([(dt.date(2021, 6, 14), 75)], "jour date, pred long")
     new = publish.publish_forecast(daily, week, as_of="2021-06-10")
     table = publish.upsert_forecast(read_table(spark, root, "published_forecasts"), new)
     write_new(table, f"{root}/next/published_forecasts")
@@ -189,3 +189,28 @@ def test_entry_runs():
 
     assert set(driver.oracle_sql()) <= set(driver.queries())
     assert Path(driver.__file__).exists()
+
+
+@pytest.mark.parametrize("gone", ["llm", "pipeline", "both"])
+def test_queries_without_the_training_data_part(tmp_path, gone):
+    root = Path(__file__).resolve().parent.parent
+    skipped = {"llm": ("llm",), "pipeline": ("corpus_pipeline.py",), "both": ("llm", "corpus_pipeline.py")}[gone]
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "tests", "__pycache__", *skipped))
+    script = "import __spark_entry__ as d; print(*sorted(d.queries())); print(*sorted(d.oracle_sql()))"
+    run = subprocess.run([sys.executable, "-c", script], cwd=copy, capture_output=True, text=True, check=True, timeout=120)
+    names, twins = (line.split() for line in run.stdout.strip().splitlines()[-2:])
+    assert set(QUERIES) <= set(names) and set(QUERIES) <= set(twins)
+    if gone != "pipeline":
+        assert set(names) == set(QUERIES)
+
+
+def test_other_missing_modules_are_not_swallowed(monkeypatch):
+    import __spark_entry__ as driver
+
+    def broken(name):
+        raise ModuleNotFoundError("no numpy", name="numpy")
+
+    monkeypatch.setattr(driver, "import_module", broken)
+    with pytest.raises(ModuleNotFoundError):
+        driver.queries()

@@ -27,6 +27,7 @@ from sheafline.operators import (
     intake,
     publish,
     quality,
+    regression,
     scaling,
     season,
     sequences,
@@ -34,6 +35,7 @@ from sheafline.operators import (
     weather,
     weekly,
 )
+from sheafline.sources import write_new
 
 D = dt.date
 
@@ -365,75 +367,213 @@ def test_week_windows_skip_the_running_week(spark):
     assert [r["is_score"] for r in sequences.latest_window(spark.createDataFrame(out), keys=["k"]).orderBy("sample").collect()] == [False, True]
 
 
+def _mondays(quantities, first=D(2021, 1, 4), skip=()):
+    weeks = enumerate(quantities)
+    return [(1, first + dt.timedelta(days=7 * w), q) for w, q in weeks if w not in skip]
+
+
 def test_least_squares_uses_two_weeks_before(spark):
-    rows = [(1, 2021, w, q) for w, q in enumerate([1, 5, 3, 11, 7, 23], start=1)]
-    weekly_rows = spark.createDataFrame(rows, "g int, annee int, semaine int, qte long")
-    row = forecast.series_least_squares(weekly_rows, key="g").first()
+    rows = _mondays([1, 5, 3, 11, 7, 23])
+    row = forecast.series_least_squares(spark.createDataFrame(rows, "g int, lundi date, qte long"), key="g").first()
     assert (row["n"], row["slope"], row["intercept"]) == (4, pytest.approx(2.0), pytest.approx(1.0))
 
 
-def _model_table(spark, order, features, n, target):
-    """Two series whose quantity follows tmax of the same row."""
+def test_two_weeks_before_is_a_date_not_a_row(spark):
+    # the third week is missing: weeks 4 and 6 pair with 2 and 4, week 5 with nothing
+    rows = _mondays([1, 5, 0, 11, 7, 23], skip=(2,))
+    row = forecast.series_least_squares(spark.createDataFrame(rows, "g int, lundi date, qte long"), key="g").first()
+    assert (row["n"], row["slope"], row["intercept"]) == (2, pytest.approx(2.0), pytest.approx(1.0))
+
+
+def test_weeks_hold_together_over_the_turn_of_a_year(spark):
+    days = [(D(2020, 12, 28), 1, 10), (D(2021, 1, 2), 1, 5), (D(2021, 1, 11), 1, 40), (D(2021, 1, 12), 1, 2)]
+    deliveries = spark.createDataFrame(days, "date_recolte date, code_adherent long, quantite_recolte long")
+    weekly_rows = forecast.weekly_series(deliveries, key="code_adherent")
+    assert {(r["lundi"], r["qte"]) for r in weekly_rows.collect()} == {(D(2020, 12, 28), 15), (D(2021, 1, 11), 42)}
+    assert forecast.series_least_squares(weekly_rows, key="code_adherent").first()["n"] == 1
+
+
+def _model_table(spark, order, features, n, target, series=(1, 2)):
+    """Series whose quantity follows tmax of the same row; the last row is 2021-06-19 or week 24."""
     rng = random.Random(3)
+    end = D(2021, 6, 19)
+    days = [end - dt.timedelta(days=k) for k in range(2 * n)]
+    days = sorted(d for d in days if d.weekday() < 6)[-n:]
     rows = []
-    for series in (1, 2):
+    for one in series:
         for i in range(n):
             values = {f: rng.uniform(-1, 1) for f in features}
             values["tmax"] = float(rng.randrange(0, 30))
             values["qte"] = target(values["tmax"])
-            rows.append((series, i, *(values[f] for f in features)))
-    return spark.createDataFrame(rows, f"code_insee int, {order} int, " + ", ".join(f"{f} double" for f in features))
+            if "semaine" in values:
+                values["semaine"] = float((24 - n + i) % 52 + 1)
+            rows.append((one, days[i] if order == "date_recolte" else i, *(values[f] for f in features)))
+    kind = "date" if order == "date_recolte" else "int"
+    return spark.createDataFrame(rows, f"code_insee int, {order} {kind}, " + ", ".join(f"{f} double" for f in features))
+
+
+AS_OF = D(2021, 6, 10)
+COMING = [D(2021, 6, 14 + k) for k in range(6)]
 
 
-def test_forecast_recovers_a_linear_relation(spark):
+@pytest.mark.parametrize("model", ["moments", "windows"])
+def test_forecast_recovers_a_linear_relation(spark, model):
     def quantity(tmax):
         return 500.0 + 20.0 * tmax
 
-    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 1800, quantity)
+    n = 1800 if model == "windows" else 700
+    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, n, quantity)
     week = _model_table(spark, "id", calendar.WEEK_FEATURES, 600, quantity)
-    rows = forecast.sequence_forecast(day, week, keys=["code_insee"]).collect()
-    got = {(r["code_insee"], r["kind"], r["position"]): r["pred"] for r in rows}
-    assert len(got) == 2 * (6 + 1)
-
-    def actual(table, order, offset):
-        last = {r["code_insee"]: r[1] for r in table.groupBy("code_insee").agg(F.max(order)).collect()}
-        known = {(r["code_insee"], r[order]): r["qte"] for r in table.select("code_insee", order, "qte").collect()}
-        return {s: known[(s, last[s] - offset)] for s in last}
-
-    # the anchor of the last full day window: 12 + 6k with 8 rows after it
-    anchor = max(i for i in range(12, 1800, 6) if i + 8 <= 1799)
-    for position in range(6):
-        expected = actual(day, "date_recolte", 1799 - (anchor + 3 + position))
-        for series, value in expected.items():
-            assert got[(series, "day", position)] == pytest.approx(value, rel=0.06)
-    for series, value in actual(week, "id", 0).items():
-        assert got[(series, "week", 0)] == pytest.approx(value, rel=0.06)
-
-
-def test_a_last_window_with_a_gap_is_not_predicted(spark):
+    run = forecast.sequence_forecast if model == "moments" else forecast.window_regression_forecast
+    rows = run(day, week, keys=["code_insee"], as_of=AS_OF).collect()
+    got = {(r["code_insee"], r["kind"], r["jour"]): r["pred"] for r in rows}
+    assert set(got) == {(s, "day", d) for s in (1, 2) for d in COMING} | {(s, "week", COMING[0]) for s in (1, 2)}
+    assert all(r["position"] == (r["jour"].weekday() if r["kind"] == "day" else 0) for r in rows)
+    known = {(r["code_insee"], r["date_recolte"]): r["qte"] for r in day.collect()}
+    last = {r["code_insee"]: r["qte"] for r in week.filter("id = 599").collect()}
+    for (series, kind, jour), value in got.items():
+        assert value == pytest.approx(known[series, jour] if kind == "day" else last[series], rel=0.06)
+
+
+def test_moments_add_up_and_give_the_least_squares(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=90) * 50 + 300, rng.uniform(-1, 1, 90), np.full(90, 7.0)])
+    y = 40 + 3 * x[:, 0] - 90 * x[:, 1] + rng.normal(size=90)
+    rows = [(i % 3, *map(float, x[i]), float(y[i])) for i in range(90)] + [(0, None, 0.0, 7.0, 1e9), (1, 1.0, 0.0, 7.0, None)]
+    df = spark.createDataFrame(rows, "part int, a double, b double, c double, y double").withColumn("k", F.lit(1))
+    features = ["a", "b", "c"]
+    single = regression.moment_rows(df, features=features, target="y")
+    parts = regression.merged_moments(single, keys=["k", "part"], features=features)
+    for moments in (single, parts):
+        merged = regression.merged_moments(moments, keys=["k"], features=features)
+        model = regression.solved(merged, features=features, penalty=0.02).first()
+        centered = x[:, :2] - x[:, :2].mean(axis=0)
+        penalty = 0.02 * 90 * np.diag(((x[:, :2].max(axis=0) - x[:, :2].min(axis=0)) / 2) ** 2)
+        expected = np.linalg.solve(centered.T @ centered + penalty, centered.T @ (y - y.mean()))
+        assert model["trained"] == 90
+        assert model["coefficients"] == pytest.approx([*expected, 0.0], rel=1e-9)
+        assert model["mean"] == pytest.approx(y.mean())
+    assert regression.solved(parts.filter("part = 0"), features=features, least=31).collect() == []
+
+
+@pytest.mark.parametrize("model", ["moments", "windows"])
+@pytest.mark.parametrize("more", range(6))
+def test_scored_days_are_the_last_six_for_any_number_of_rows(spark, model, more):
+    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 600 + more, lambda t: 10 * t)
+    if model == "moments":
+        scored = forecast.day_rows(day, keys=["code_insee"]).filter("is_score")
+        assert {(r["code_insee"], r["position"], r["jour"]) for r in scored.collect()} == {
+            (s, k, d) for s in (1, 2) for k, d in enumerate(COMING)
+        }
+        assert {r["run_step"] for r in scored.select("run_step").collect()} == {(AS_OF - D(1970, 1, 1)).days}
+        return
+    samples = sequences.sequence_windows_day(
+        day, keys=["code_insee"], order="date_recolte", features=calendar.DAY_FEATURES, target="qte", anchored="end"
+    )
+    last = sequences.latest_window(samples, keys=["code_insee"]).filter("is_score").collect()
+    assert [r["days"] for r in last] == [COMING, COMING]
+
+
+def test_windows_are_anchored_at_the_start_or_the_end(spark):
+    with pytest.raises(ValueError, match="anchored"):
+        sequences.sequence_windows_day(_series(spark, 30), keys=["k"], order="o", features=["qte"], target="qte", anchored="top")
+
+
+def test_training_knows_nothing_of_the_run_day_and_later(spark):
+    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 700, lambda t: 500 + 20 * t)
+    week = _model_table(spark, "id", calendar.WEEK_FEATURES, 200, lambda t: 500 + 20 * t)
+    spoilt = F.when(F.col("date_recolte") >= F.lit(AS_OF), F.lit(1e6)).otherwise(F.col("qte"))
+    later = day.withColumn("qte", spoilt)
+    spoilt_weeks = week.withColumn("qte", F.when(F.col("id") >= 198, F.lit(1e6)).otherwise(F.col("qte")))
+    args = {"keys": ["code_insee"], "as_of": AS_OF}
+    before = forecast.sequence_forecast(day, week, **args).collect()
+    after = forecast.sequence_forecast(later, spoilt_weeks, **args).collect()
+    assert sorted(before) == sorted(after)
+
+
+def test_rolling_origin_equals_a_fit_per_run(spark):
+    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 160, lambda t: 500 + 20 * t + t * t, series=(1,))
+    rows = forecast.day_rows(day, keys=["code_insee"])
+    rolled = {(r["position"], r["step"]): r for r in forecast.rolling_origin(rows, keys=["code_insee"]).collect()}
+    table = rows.collect()
+    assert rolled
+    # each run alone: its own row to predict, and what lies before its run day
+    for row in (r for r in table if (r["position"], r["step"]) in rolled and r["step"] % 5 == 0):
+        run = spark.createDataFrame(
+            [
+                tuple(t[:6]) + (t["step"] == row["step"],) + tuple(t[7:])
+                for t in table
+                if t["position"] == row["position"] and (t["step"] < row["run_step"] or t["step"] == row["step"])
+            ],
+            rows.schema,
+        )
+        models = forecast.fit_models(run, keys=["code_insee"])
+        scored = run.filter("is_score").join(models, ["code_insee", "kind", "position"])
+        one = scored.select("trained", regression.predicted(forecast.INPUTS).alias("pred")).first()
+        got = rolled[row["position"], row["step"]]
+        assert (got["trained"], got["pred"]) == (one["trained"], pytest.approx(one["pred"], rel=1e-9))
+
+
+def test_stored_models_are_picked_by_date_and_predict_as_fitted(spark, tmp_path):
+    day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 400, lambda t: 500 + 20 * t)
+    rows = forecast.day_rows(day, keys=["code_insee"])
+    stored = forecast.model_versions(rows, keys=["code_insee"], run_dates=["2021-05-13", AS_OF, D(2021, 6, 17)])
+    path = str(tmp_path / "models")
+    write_new(stored, path)
+    read = spark.read.parquet(path)
+    assert {r["version"] for r in read.collect()} == {D(2021, 5, 13), AS_OF, D(2021, 6, 17)}
+    picked = forecast.models_as_of(read, keys=["code_insee"], as_of=AS_OF)
+    assert {r["version"] for r in picked.collect()} == {AS_OF}
+    fitted = forecast.fit_models(rows, keys=["code_insee"])
+    assert sorted(forecast.predict(rows, picked, keys=["code_insee"]).collect()) == sorted(
+        forecast.predict(rows, fitted, keys=["code_insee"]).collect()
+    )
+    old = forecast.models_as_of(read, keys=["code_insee"], as_of="2021-06-09")
+    assert {r["version"] for r in old.collect()} == {D(2021, 5, 13)}
+    assert forecast.models_as_of(read, keys=["code_insee"], as_of="2021-05-12").collect() == []
+
+
+def test_missing_inputs_have_no_effect_and_short_series_no_model(spark):
+    week = _model_table(spark, "id", calendar.WEEK_FEATURES, 400, lambda t: 100.0)
+    gap = (F.col("code_insee") == 2) & (F.col("id") == 399)
+    week = week.withColumn("tmax", F.when(~gap, F.col("tmax")))
+    short = _model_table(spark, "id", calendar.WEEK_FEATURES, 15, lambda t: 10 * t, series=(3,))
+    rows = forecast.week_rows(week.unionByName(short), keys=["code_insee"], as_of=AS_OF)
+    models = forecast.fit_models(rows, keys=["code_insee"])
+    got = {r["code_insee"]: r["pred"] for r in forecast.predict(rows, models, keys=["code_insee"]).collect()}
+    assert got == {1: 100, 2: 100, 3: None}
+
+
+def test_the_option_on_whole_windows_does_not_predict_from_a_gap(spark):
     week = _model_table(spark, "id", calendar.WEEK_FEATURES, 400, lambda t: 10 * t)
     gap = (F.col("code_insee") == 2) & (F.col("id") == 399)
     week = week.withColumn("tmax", F.when(~gap, F.col("tmax")))
     day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 1800, lambda t: 10 * t)
-    rows = forecast.sequence_forecast(day, week, keys=["code_insee"]).filter("kind = 'week'").collect()
+    rows = forecast.window_regression_forecast(day, week, keys=["code_insee"], as_of=AS_OF).filter("kind = 'week'").collect()
     assert {r["code_insee"]: r["pred"] is None for r in rows} == {1: False, 2: True}
 
 
-def test_nothing_to_train_on_is_an_error(spark):
+def test_nothing_to_train_whole_windows_on_is_an_error(spark):
     day = _model_table(spark, "date_recolte", calendar.DAY_FEATURES, 40, lambda t: t)
     day = day.withColumn("tmin", F.lit(None).cast("double"))
     week = _model_table(spark, "id", calendar.WEEK_FEATURES, 40, lambda t: t)
     with pytest.raises(ValueError, match="no complete window"):
-        forecast.sequence_forecast(day, week, keys=["code_insee"])
+        forecast.window_regression_forecast(day, week, keys=["code_insee"], as_of=AS_OF)
+
+
+def _daily(spark, values, first=D(2021, 6, 14)):
+    rows = [(first + dt.timedelta(days=k), v) for k, v in enumerate(values)]
+    return spark.createDataFrame(rows, "jour date, pred long")
 
 
-def _daily(spark, values):
-    return spark.createDataFrame(list(enumerate(values)), "position int, pred long")
+def _week(spark, value, monday=D(2021, 6, 14)):
+    return spark.createDataFrame([(monday, value)], "jour date, pred long")
 
 
 def test_published_week_is_clamped_and_starts_on_monday(spark):
-    week = spark.createDataFrame([(-4,)], "pred long")
-    out = publish.publish_forecast(_daily(spark, [5, -3, None, 1, 2, 3]), week, as_of=D(2021, 6, 10)).orderBy("jour")
+    out = publish.publish_forecast(_daily(spark, [5, -3, None, 1, 2, 3]), _week(spark, -4), as_of=D(2021, 6, 10)).orderBy("jour")
     rows = [tuple(r) for r in out.collect()]
     assert rows == [
         (D(2021, 6, 14), 5, -4), (D(2021, 6, 15), 0, None), (D(2021, 6, 16), 0, None),
@@ -441,12 +581,19 @@ def test_published_week_is_clamped_and_starts_on_monday(spark):
     ]
 
 
-def test_publishing_needs_a_thursday_and_six_days(spark):
-    week = spark.createDataFrame([(4,)], "pred long")
+def test_publishing_needs_a_thursday_and_the_six_days_themselves(spark):
     with pytest.raises(ValueError):
-        publish.publish_forecast(_daily(spark, [1] * 6), week, as_of=D(2021, 6, 11))
+        publish.publish_forecast(_daily(spark, [1] * 6), _week(spark, 4), as_of=D(2021, 6, 11))
+    with pytest.raises(Exception, match="needs 6 days"):
+        publish.publish_forecast(_daily(spark, [1] * 5), _week(spark, 4), as_of=D(2021, 6, 10)).collect()
+    # six values of other days are no forecast of this week
+    with pytest.raises(Exception, match="needs 6 days"):
+        publish.publish_forecast(_daily(spark, [1] * 6, D(2021, 6, 12)), _week(spark, 4), as_of=D(2021, 6, 10)).collect()
+    twice = _daily(spark, [1] * 6).unionByName(_daily(spark, [1]))
     with pytest.raises(Exception, match="needs 6 days"):
-        publish.publish_forecast(_daily(spark, [1] * 5), week, as_of=D(2021, 6, 10)).collect()
+        publish.publish_forecast(twice, _week(spark, 4), as_of=D(2021, 6, 10)).collect()
+    more = publish.publish_forecast(_daily(spark, range(8)), _week(spark, 4, D(2021, 6, 7)), as_of=D(2021, 6, 10)).collect()
+    assert {(r["jour"].day, r["pred2"], r["pred1"]) for r in more} == {(14 + k, k, None) for k in range(6)}
 
 
 def test_upsert_replaces_stored_days(spark):
