@@ -791,6 +791,36 @@ _BODIES: dict[str, str] = {
                'rmse ' || kind || ' ' || cast(cast(sqrt(avg((pred - label) * (pred - label))) as decimal(20, 2)) as varchar) as log,
                'run final day' as page
         from origins group by kind""",
+    "forecast_ledger": f"""
+        with e as (select code_insee from growers union select numero_station from growers where numero_station is not null),
+             w as (select unnest(range(7)) as p),
+             spine as (select code_insee, case when p < 6 then 'day' else 'week' end as kind,
+                              {AS_OF} + 4 + cast(p % 6 as int) as jour from e, w where code_insee is not null),
+             sizes as (select code_insee, 'day' as kind, count(*) as c from day_features group by 1
+                       union all select code_insee, 'week', count(*) from week_features group by 1)
+        select s.code_insee, s.kind, s.jour, f.pred,
+               case when s.kind = 'day' and f.kind is not null then greatest(coalesce(f.pred, 0), 0) else f.pred end as published,
+               case when s.kind = 'day' and f.pred < 0 then 'negative' when f.pred is not null then 'forecast'
+                    when f.kind is not null then 'no model' when c is null then 'unknown'
+                    when c < case when s.kind = 'day' then 21 else 8 end then 'too short'
+                    else s.kind || ' missing' end as reason
+        from spine s left join forecasts f on f.code_insee = s.code_insee and f.kind = s.kind and f.jour = s.jour
+        left join sizes z on z.code_insee = s.code_insee and z.kind = s.kind""",
+    "calendar_between": """
+        with b as (select min(date_recolte) as first, max(date_recolte) as last from deliveries_all),
+             d as (select cast(unnest(generate_series(first, last, interval 1 day)) as date) as jour from b)
+        select jour from d where isodow(jour) < 7""",
+    "model_input": "select code_insee, date_recolte, part, name, "
+    + rounded("value")
+    + " as value from (select code_insee, date_recolte, 'features' as part, name, value from (select code_insee, date_recolte, "
+    + ", ".join(f"cast({c} as double) as {c}" for c in DAY_FEATURES)
+    + f" from day_features) unpivot include nulls (value for name in ({', '.join(DAY_FEATURES)})))"
+    + " union all by name select code_insee, date_recolte, 'target' as part, 'qte' as name, cast(qte as double) as value from day_features"
+    + " union all by name select code_insee, date_recolte, part, name, value from (select code_insee, date_recolte, 'exogenous' as part, name, "
+    + rounded("value")
+    + " as value from (select code_insee, date_recolte, "
+    + ", ".join(f"cast({c} as double) as {c}" for c in DAY_FEATURES if c != "qte")
+    + f" from day_features) unpivot include nulls (value for name in ({', '.join(c for c in DAY_FEATURES if c != 'qte')})))",
     "stored_model_forecast": f"""
         select t.code_insee, t.kind, t.position, t.jour, {QUANTITY} as pred, version, n as trained
         from day_targets t left join (

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sheafline.functions.dates import as_date
+from sheafline.operators.sequences import DAY_GAP, DAY_PAST, WEEK_FIRST
 
 # fixed values: the run is on a Thursday; the six forecast days start four days later
 RUN_WEEKDAY = 3
@@ -63,12 +64,49 @@ def publish_forecast(
 def upsert_forecast(stored: DataFrame, new: DataFrame, *, keys: Sequence[str] = ("jour",)) -> DataFrame:
     """The stored table with the new rows in place of those with the same key.
 
-    The result is a full table for a new path; the stored one is not touched.
+    The result is a full table for a new path; the stored one is not touched. To update a
+    large stored table in place, day by day, use ``sources.upsert_partitions``.
     """
     kept = stored.join(new.select(*keys), list(keys), "left_anti")
     return kept.unionByName(new)
 
 
+def forecast_ledger(
+    expected: DataFrame, forecasts: DataFrame, day: DataFrame, week: DataFrame, *, as_of: dt.date | str, keys: Sequence[str]
+) -> DataFrame:
+    """What became of every value that a run had to give: (keys, kind, jour, pred, published, reason).
+
+    ``expected`` has the series that must be forecast, ``forecasts`` (keys, kind, jour, pred), ``day``
+    and ``week`` are the tables that the forecast was made from. Each series has six days and a
+    week. ``reason`` is ``forecast``, ``negative`` (published as 0 on a day), ``no model`` (too few known
+    targets; published as 0 on a day), ``day missing`` or ``week missing`` (the series ends before or after
+    it), ``too short`` (no full window), or ``unknown`` (the series has no row).
+    """
+    days = forecast_days(as_of)
+    wanted = [F.struct(F.lit("day").alias("kind"), F.lit(d).alias("jour")) for d in days]
+    wanted.append(F.struct(F.lit("week").alias("kind"), F.lit(days[0]).alias("jour")))
+    spine = expected.select(*keys).distinct().select(*keys, F.inline(F.array(*wanted)))
+    lengths = _lengths(day, "day", keys).unionByName(_lengths(week, "week", keys))
+    made = forecasts.select(*keys, "kind", "jour", "pred", F.lit(True).alias("made"))
+    found = spine.join(made, [*keys, "kind", "jour"], "left").join(lengths, [*keys, "kind"], "left")
+    pred, daily = F.col("pred"), F.col("kind") == "day"
+    least = F.when(daily, F.lit(DAY_PAST + DAY_GAP + FORECAST_DAYS)).otherwise(F.lit(WEEK_FIRST + 1))
+    reason = (
+        F.when(daily & (pred < 0), F.lit("negative"))
+        .when(pred.isNotNull(), F.lit("forecast"))
+        .when(F.col("made"), F.lit("no model"))
+        .when(F.col("rows").isNull(), F.lit("unknown"))
+        .when(F.col("rows") < least, F.lit("too short"))
+        .otherwise(F.concat("kind", F.lit(" missing")))
+    )
+    published = F.when(daily & F.col("made"), F.greatest(F.coalesce(pred, F.lit(0)), F.lit(0))).otherwise(pred)
+    return found.select(*keys, "kind", "jour", "pred", published.alias("published"), reason.alias("reason"))
+
+
+def _lengths(table: DataFrame, kind: str, keys: Sequence[str]) -> DataFrame:
+    return table.groupBy(*keys).agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("rows"))
+
+
 def run_log(messages: DataFrame, *, at: dt.datetime, info: str, page: str, ml: str = "cf") -> DataFrame:
     """Log rows (timest, ml, info, log, page) from a frame with a ``log`` column.
 

@@ -499,14 +499,16 @@ def latest_window(t: TestTables) -> DataFrame:
     return marked("day", _day_samples(t, 6, "end")).unionByName(marked("week", _week_samples(t)))
 
 
-def _target_rows(t: TestTables) -> DataFrame:
+def _forecast_tables(t: TestTables) -> tuple[DataFrame, DataFrame]:
     # a row per site and calendar day: both models start from one pass over the facts
     days = staged(intake.site_days(*_intake_tables(t), sites=SITES))
     day = intake.flux_day_until(intake.day_table(days), as_of=AS_OF)
     week = intake.flux_week_until_next(intake.week_table(days), as_of=AS_OF)
-    return forecast.target_rows(
-        calendar.calendar_features_day(day), calendar.calendar_features_week(week), keys=SERIES, as_of=AS_OF
-    )
+    return calendar.calendar_features_day(day), calendar.calendar_features_week(week)
+
+
+def _target_rows(t: TestTables) -> DataFrame:
+    return forecast.target_rows(*_forecast_tables(t), keys=SERIES, as_of=AS_OF)
 
 
 @_query
@@ -604,6 +606,40 @@ def weekly_forecast_run(t: TestTables) -> DataFrame:
     return publish.publish_forecast(daily, week, as_of=AS_OF, keys=SERIES)
 
 
+@_query
+def forecast_ledger(t: TestTables) -> DataFrame:
+    """Every value that the run owes the growers' communes and the stations, with what became of it."""
+    day, week = _forecast_tables(t)
+    growers = t.growers()
+    expected = growers.select("code_insee").union(growers.select("numero_station")).dropna()
+    predicted = forecast.sequence_forecast(day, week, keys=SERIES, as_of=AS_OF)
+    return publish.forecast_ledger(expected, predicted, day, week, as_of=AS_OF, keys=SERIES)
+
+
+@_query
+def calendar_between(t: TestTables) -> DataFrame:
+    """The days between the first and the last delivery, without Sundays."""
+    bounds = t.deliveries_all().agg(F.min("date_recolte"), F.max("date_recolte")).first()
+    if bounds[0] is None:
+        return t.calendar().limit(0)
+    return intake.calendar_between(t.spark, *bounds)
+
+
+@_query
+def model_input(t: TestTables) -> DataFrame:
+    """Features, target and exogenous features of the daily model, in long form."""
+    found = calendar.model_input(_day_features(t))
+    keys = [*SERIES, "date_recolte"]
+
+    def long(part: str, df: DataFrame) -> DataFrame:
+        values = [c for c in df.columns if c not in keys]
+        doubles = df.select(*keys, *(F.col(c).cast("double").alias(c) for c in values))
+        return doubles.unpivot(keys, values, "name", "value").withColumn("part", F.lit(part))
+
+    parts = [long(part, df) for part, df in found._asdict().items()]
+    return _rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), columns=["value"])
+
+
 @_query
 def rank_correlation(t: TestTables) -> DataFrame:
     features = ["t_min", "t_max", "ctmax", "ctmin", "cpluie"]

@@ -32,14 +32,14 @@ class TestTables:
     __test__ = False
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark = spark
+        self.spark = spark
         self._dir = sf_dir
         self._frames: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
         # the schema is looked up in the file once per table
         if name not in self._frames:
-            self._frames[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+            self._frames[name] = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
         return self._frames[name]
 
     @staticmethod

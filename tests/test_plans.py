@@ -14,7 +14,7 @@ from sheafline.operators import intake, publish, season, station, weather
 from sheafline.plans import QUERIES
 from sheafline.plans.queries import SITE
 from sheafline.plans.testdata import TestTables
-from sheafline.sources import SCHEMAS, append_rows, read_table, write_new
+from sheafline.sources import SCHEMAS, append_rows, merged_partitions, read_table, upsert_partitions, write_new
 
 
 def plan_of(df):
@@ -214,3 +214,47 @@ def test_other_missing_modules_are_not_swallowed(monkeypatch):
     monkeypatch.setattr(driver, "import_module", broken)
     with pytest.raises(ModuleNotFoundError):
         driver.queries()
+
+
+STORED = "site int, jour date, pred2 long"
+
+
+def _files(path):
+    return {f: f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+
+def test_an_upsert_rewrites_touched_days_only(spark, tmp_path):
+    path = str(tmp_path / "forecasts")
+    days = [dt.date(2021, 6, 7 + k) for k in range(10)]
+    first = spark.createDataFrame([(s, d, 10 * s + k) for s in (1, 2) for k, d in enumerate(days)], STORED)
+    # nothing stored yet
+    upsert_partitions(first, path, keys=["site", "jour"], partition="jour")
+    before = _files(path)
+    update = spark.createDataFrame([(1, days[3], 900), (1, days[4], 901), (3, days[4], 902), (None, days[4], 1)], STORED)
+    expected = {(s, d, 10 * s + k) for s in (1, 2) for k, d in enumerate(days) if (s, k) not in ((1, 3), (1, 4))}
+    expected |= {(1, days[3], 900), (1, days[4], 901), (3, days[4], 902), (None, days[4], 1)}
+    for _ in range(2):  # the same run again changes nothing
+        upsert_partitions(update, path, keys=["site", "jour"], partition="jour")
+        rows = [tuple(r) for r in spark.read.schema(STORED).parquet(path).select("site", "jour", "pred2").collect()]
+        assert len(rows) == len(expected) and set(rows) == expected
+    after = _files(path)
+    touched = {f"jour={days[3]}", f"jour={days[4]}"}
+    assert {f.parent.name for f in after.keys() - before.keys()} == touched
+    assert {f: t for f, t in before.items() if f.parent.name not in touched} == {
+        f: t for f, t in after.items() if f.parent.name not in touched
+    }
+
+
+def test_an_upsert_reads_touched_days_only(spark, tmp_path):
+    path = str(tmp_path / "forecasts")
+    days = [dt.date(2021, 6, 7 + k) for k in range(10)]
+    stored = spark.createDataFrame([(1, d, k) for k, d in enumerate(days)], STORED)
+    stored.write.partitionBy("jour").parquet(path)
+    update = spark.createDataFrame([(1, days[2], 7)], STORED)
+    merged = merged_partitions(update, path, keys=["site", "jour"], partition="jour")
+    assert {tuple(r) for r in merged.collect()} == {(1, days[2], 7)}
+    plan = plan_of(merged)
+    assert re.search(r"PartitionFilters: \[[^]]*jour[^]]*2021-06-09", plan)
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
+    with pytest.raises(ValueError, match="must hold the partition"):
+        upsert_partitions(update, path, keys=["site"], partition="jour")

@@ -596,6 +596,25 @@ def test_publishing_needs_a_thursday_and_the_six_days_themselves(spark):
     assert {(r["jour"].day, r["pred2"], r["pred1"]) for r in more} == {(14 + k, k, None) for k in range(6)}
 
 
+def test_the_ledger_names_every_gap(spark):
+    days = [COMING[0] + dt.timedelta(days=k - 30) for k in range(36)]
+    table = [(s, d) for s in (1, 2) for d in days[:30]] + [(3, d) for d in days[:4]]
+    weeks = spark.createDataFrame([(s, w) for s in (1, 2) for w in range(9)] + [(3, 1)], "site int, id int")
+    values = {0: 5, 1: -3, 2: None}
+    made = [(1, "day", COMING[k], v) for k, v in values.items()] + [(1, "week", COMING[0], -4)]
+    forecasts = spark.createDataFrame(made, "site int, kind string, jour date, pred long")
+    expected = spark.createDataFrame([(1,), (2,), (3,), (4,), (4,)], "site int")
+    rows = publish.forecast_ledger(
+        expected, forecasts, spark.createDataFrame(table, "site int, jour date"), weeks, as_of=AS_OF, keys=["site"]
+    ).collect()
+    assert len(rows) == 4 * 7
+    found = {(r["site"], r["kind"], r["jour"].day): (r["published"], r["reason"]) for r in rows}
+    assert [found[1, "day", 14 + k] for k in range(4)] == [(5, "forecast"), (0, "negative"), (0, "no model"), (None, "day missing")]
+    assert found[1, "week", 14] == (-4, "forecast") and found[2, "week", 14] == (None, "week missing")
+    assert {reason for (site, *_), (_, reason) in found.items() if site == 3} == {"too short"}
+    assert {reason for (site, *_), (_, reason) in found.items() if site == 4} == {"unknown"}
+
+
 def test_upsert_replaces_stored_days(spark):
     stored = spark.createDataFrame([(D(2021, 6, 13), 1, None), (D(2021, 6, 14), 2, 3)], "jour date, pred2 long, pred1 long")
     new = spark.createDataFrame([(D(2021, 6, 14), 9, 8)], "jour date, pred2 long, pred1 long")
