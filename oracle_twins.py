@@ -73,6 +73,9 @@ VIEWS: dict[str, str] = {
     "grower_deliveries": """
         select code_adherent as prdcode, date_recolte as liv_date, quantite_recolte as liv_qty
         from deliveries_all""",
+    "announced": f"""
+        select o_custkey % 100 as code_adherent, cast(o_orderkey % 60 + 1 as bigint) as quantite_recolte,
+               {ORDERED} as date_recolte from orders""",
     "calendar": f"""
         select jour from (select distinct {SHIP} as jour from lineitem
                           union select distinct {ORDERED} as jour from orders)
@@ -307,6 +310,9 @@ VIEWS: dict[str, str] = {
         select prdcode as code_adherent, liv_qty as quantite_recolte, liv_date as date_recolte,
                cast(year(liv_date) as int) as annee, code_insee
         from grower_deliveries left join growers on code_adherent = prdcode""",
+    "announced_intake": """
+        select a.code_adherent, quantite_recolte, date_recolte, cast(year(date_recolte) as int) as annee, code_insee
+        from announced a left join growers g on g.code_adherent = a.code_adherent""",
     "sowing_commune": """
         select code_insee, annee, cast(sum(quantite_initiale) as bigint) as quantite_initiale
         from sowings s left join growers g on g.code_adherent = s.code_adherent group by 1, 2""",
@@ -338,11 +344,11 @@ VIEWS["windows"] = _weather_windows("")
 VIEWS["windows_recent"] = _weather_windows("where date_reelle > date '2019-01-01'")
 
 
-def _intake_commune(where: str, sowing: str) -> str:
+def _intake_commune(where: str, sowing: str, intake: str = "grower_intake") -> str:
     return f"""
         select a.*, quantite_initiale
         from (select code_insee, date_recolte, cast(sum(quantite_recolte) as bigint) as quantite_recolte,
-                     annee from grower_intake {where} group by 1, 2, 4) a
+                     annee from {intake} {where} group by 1, 2, 4) a
         left join {sowing} s on s.code_insee = a.code_insee and s.annee = a.annee"""
 
 
@@ -351,7 +357,7 @@ VIEWS["intake_commune_recent"] = _intake_commune(
     "where date_recolte >= date '2019-01-01'", "sowing_commune_recent"
 )
 VIEWS["intake_commune_predict"] = _intake_commune(
-    "where date_recolte > date '2022-01-01'", "sowing_commune_recent"
+    "where date_recolte > date '2022-01-01'", "sowing_commune_recent", "announced_intake"
 )
 
 
@@ -685,6 +691,8 @@ _BODIES: dict[str, str] = {
         select date_recolte, {season_case("date_recolte", 2023, "null")} as saison, code_adherent,
                cast(sum(quantite_recolte) as bigint) as quantite_recolte
         from pred_deliveries group by 1, 2, 3""",
+    "harvest_season_by_table": "select * from harvest",
+    "sowing_season_by_table": "select * from sowing_season",
     "intake_with_sowing": "select * from intake_sowing",
     "midweek_ratio_lags": "select * from b1",
     "remaining_plants": "select * from b2",
@@ -699,7 +707,7 @@ _BODIES: dict[str, str] = {
     ),
     "bro_grower_intake": "select * from grower_intake",
     "bro_grower_intake_recent": "select * from grower_intake where date_recolte >= date '2019-01-01'",
-    "bro_grower_intake_predict": "select * from grower_intake where date_recolte > date '2022-01-01'",
+    "bro_grower_intake_predict": "select * from announced_intake where date_recolte > date '2022-01-01'",
     "bro_weather_windows": "select * from windows",
     "bro_weather_windows_recent": "select * from windows_recent",
     "bro_sowing_by_commune": "select * from sowing_commune",

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sheafline.functions import (
     as_int,
@@ -25,7 +25,13 @@ from sheafline.functions import (
     sunday_weekday,
 )
 from sheafline.functions.dates import as_date
-from sheafline.functions.seasons import LAST_WEEKLY_SEASON
+from sheafline.functions.seasons import (
+    FIRST_SEASON,
+    FIRST_SEASON_END,
+    LAST_HARVEST_SEASON,
+    LAST_PLANTING_SEASON,
+    LAST_WEEKLY_SEASON,
+)
 from sheafline.operators.weather import weather_cumuls, weather_day_flags
 from sheafline.sources.tables import PLANTING_YEARS
 
@@ -63,6 +69,10 @@ INT_CUMULS = (
 )
 
 
+#: Columns of a table of seasons, and where the open first season begins in it.
+INTERVALS = "saison int, premier date, dernier date, rang int"
+INTERVALS_START = dt.date(2000, 1, 1)
+
 WEEKLY_LAGS = tuple(f"{name}_{k}" for name in ("mi_recolte", "ratio") for k in range(1, 6))
 
 
@@ -92,8 +102,44 @@ def sowing_unpivot(
     )
 
 
-def with_planting_season(sowing: DataFrame) -> DataFrame:
-    """Plantings with their planting season."""
+def harvest_intervals(spark: SparkSession, *, since: dt.date = INTERVALS_START) -> DataFrame:
+    """The harvest seasons that ``functions.seasons`` knows, as intervals; the first one from ``since`` on."""
+    rows = [(FIRST_SEASON, since, FIRST_SEASON_END - dt.timedelta(days=1), 0)]
+    for first in range(FIRST_SEASON + 1, LAST_HARVEST_SEASON + 1):
+        rows.append((first, dt.date(first, 9, 1), dt.date(first + 1, 8, 31), 1))
+    return spark.createDataFrame(rows, INTERVALS)
+
+
+def planting_intervals(spark: SparkSession, *, since: dt.date = INTERVALS_START) -> DataFrame:
+    """The planting seasons as intervals. They overlap the first one, which wins by its rank."""
+    rows = [(FIRST_SEASON, since, FIRST_SEASON_END - dt.timedelta(days=1), 0)]
+    for last in range(FIRST_SEASON + 1, LAST_PLANTING_SEASON + 1):
+        rows.append((last, dt.date(last - 1, 5, 15), dt.date(last, 5, 14), 1))
+    return spark.createDataFrame(rows, INTERVALS)
+
+
+def season_of_days(seasons: DataFrame) -> DataFrame:
+    """Intervals (saison, premier, dernier, rang) as a row per day: (jour, saison).
+
+    Of several seasons that hold a day, that of the lowest rank is taken, then the lowest season.
+    An interval that ends before it begins holds no day.
+    """
+    days = seasons.filter(F.col("premier") <= F.col("dernier")).select(
+        "saison", "rang", F.explode(F.sequence("premier", "dernier")).alias("jour")
+    )
+    first = F.min(F.struct("rang", "saison")).alias("first")
+    return days.groupBy("jour").agg(first).select("jour", F.col("first.saison").cast("int").alias("saison"))
+
+
+def _with_season(df: DataFrame, day: str, seasons: DataFrame) -> DataFrame:
+    """``df`` with the season of its day, NULL for a day in no interval; a new season is a new row."""
+    return df.join(season_of_days(seasons).withColumnRenamed("jour", day), day, "left")
+
+
+def with_planting_season(sowing: DataFrame, *, seasons: DataFrame | None = None) -> DataFrame:
+    """Plantings with their planting season, by the known rule or by a table of intervals."""
+    if seasons is not None:
+        return _with_season(sowing, "date_plantation", seasons).select(*sowing.columns, "saison")
     return sowing.withColumn("saison", planting_season(F.col("date_plantation")))
 
 
@@ -108,14 +154,18 @@ def sowing_season_totals(sowing: DataFrame) -> DataFrame:
     return totals.select("saison", as_long(totals, "qte_semis"))
 
 
-def harvest_season_by_grower(deliveries: DataFrame) -> DataFrame:
+def harvest_season_by_grower(deliveries: DataFrame, *, seasons: DataFrame | None = None) -> DataFrame:
     """Delivered quantity per day, harvest season and grower.
 
-    The season follows from the day, so it is no grouping key.
+    The season follows from the day, so it is no grouping key: by the known rule, or by a table of
+    intervals, which meets the reduced rows by day.
     """
     daily = deliveries.groupBy("date_recolte", "code_adherent").agg(
         F.sum("quantite_recolte").alias("quantite_recolte")
     )
+    if seasons is not None:
+        dated = _with_season(daily, "date_recolte", seasons)
+        return dated.select("date_recolte", "saison", "code_adherent", "quantite_recolte")
     return daily.select(
         "date_recolte",
         harvest_season(F.col("date_recolte")).alias("saison"),

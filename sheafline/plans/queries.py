@@ -239,6 +239,19 @@ def harvest_season_by_grower_predict(t: TestTables) -> DataFrame:
     return season.harvest_season_by_grower(t.deliveries_pred())
 
 
+@_query
+def harvest_season_by_table(t: TestTables) -> DataFrame:
+    """As ``harvest_season_by_grower``, with the seasons from a table."""
+    return season.harvest_season_by_grower(t.deliveries_all(), seasons=season.harvest_intervals(t.spark))
+
+
+@_query
+def sowing_season_by_table(t: TestTables) -> DataFrame:
+    """As ``sowing_season``, with the seasons from a table."""
+    sowing = season.sowing_unpivot(t.plantings())
+    return season.sowing_season(season.with_planting_season(sowing, seasons=season.planting_intervals(t.spark)))
+
+
 @_query
 def intake_with_sowing(t: TestTables) -> DataFrame:
     plantings = season.sowing_unpivot(t.plantings(), text_grower=False)
@@ -304,7 +317,7 @@ def season_features_backtest(t: TestTables) -> DataFrame:
 
 def _grower_intake(t: TestTables, mode: str, start: int) -> DataFrame:
     chosen = station.select_grower_deliveries(
-        t.grower_deliveries(), t.grower_deliveries(), mode=mode, start=start
+        t.grower_deliveries(), t.grower_deliveries_pred(), mode=mode, start=start
     )
     return station.bro_grower_intake(chosen, t.growers())
 
@@ -361,7 +374,7 @@ def bro_station_lookup(t: TestTables) -> DataFrame:
 
 def _station_features(t: TestTables, mode: str, start: int) -> DataFrame:
     return station.bro_station_features(
-        t.grower_deliveries(), t.grower_deliveries(), t.growers(), t.sowings(), t.weather(),
+        t.grower_deliveries(), t.grower_deliveries_pred(), t.growers(), t.sowings(), t.weather(),
         mode=mode, start=start,
     )
 

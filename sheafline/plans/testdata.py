@@ -94,6 +94,14 @@ class TestTables:
             F.col("l_quantity").cast("bigint").alias("liv_qty"),
         )
 
+    def grower_deliveries_pred(self) -> DataFrame:
+        """Deliveries announced for the prediction set; a table of its own."""
+        return self._read("orders").select(
+            (F.col("o_custkey") % 100).alias("prdcode"),
+            self._day("o_orderdate").alias("liv_date"),
+            (F.col("o_orderkey") % 60 + 1).cast("bigint").alias("liv_qty"),
+        )
+
     # calendar
 
     def calendar_all(self) -> DataFrame:

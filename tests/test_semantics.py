@@ -625,3 +625,20 @@ def test_upsert_replaces_stored_days(spark):
 def test_log_rows_carry_epoch_seconds(spark):
     out = publish.run_log(spark.sql("select 'rmse 3' as log"), at=dt.datetime(2021, 6, 10), info="i", page="p").first()
     assert tuple(out) == (1623283200, "cf", "i", "rmse 3", "p")
+
+
+def test_seasons_from_a_table_follow_the_rules_and_take_new_rows(spark):
+    days = spark.sql("select explode(sequence(date'2014-01-01', date'2026-12-31')) as date_recolte")
+    deliveries = days.selectExpr("date_recolte", "1L as code_adherent", "2L as quantite_recolte")
+    by_rule = season.harvest_season_by_grower(deliveries)
+    intervals = season.harvest_intervals(spark)
+    by_table = season.harvest_season_by_grower(deliveries, seasons=intervals)
+    assert sorted(by_rule.collect()) == sorted(by_table.select(*by_rule.columns).collect())
+    more = spark.createDataFrame([(2024, D(2024, 9, 1), D(2025, 8, 31), 1), (1999, D(2024, 9, 1), D(2024, 8, 1), 0)], season.INTERVALS)
+    longer = season.harvest_season_by_grower(deliveries, seasons=intervals.union(more))
+    found = {r["date_recolte"]: r["saison"] for r in longer.collect()}
+    assert (found[D(2024, 8, 31)], found[D(2024, 9, 1)], found[D(2025, 8, 31)], found[D(2025, 9, 1)]) == (2023, 2024, 2024, None)
+
+    sowing = days.selectExpr("date_recolte as date_plantation", "1L as code_adherent", "2.0 as qte_semis")
+    table = season.with_planting_season(sowing, seasons=season.planting_intervals(spark))
+    assert sorted(season.with_planting_season(sowing).collect()) == sorted(table.collect())
