@@ -18,6 +18,8 @@ MODEL_COLUMNS = {
     "keras": ("pred_vg_fd_keras", "pred_cleder_fd_keras"),
 }
 COMPARED_WEEKS = 3
+#: Ranges of values that are ranked apart.
+RANGES = 64
 
 
 def _first_weeks(df: DataFrame, day: str, as_of: dt.date, sums: dict[str, Column]) -> DataFrame:
@@ -71,14 +73,36 @@ def forecast_metrics(
     )
 
 
+def average_ranks(df: DataFrame, column: str, *, keys: Sequence[str], ranges: int = RANGES) -> DataFrame:
+    """Distinct values of ``column`` per key with their ``rank`` among all rows; ties share the average rank.
+
+    Rows are reduced to counts of values. About equal ranges of values are cut at approximate
+    percentiles; a value's rank is the count of the ranges before its own, and of the lower values
+    in its own. So a key with most of the rows is ranked by many tasks, and the cuts decide only
+    about their sizes, not about ranks. NULL has no rank.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"))
+    shares = F.array(*(F.lit(k / ranges) for k in range(1, max(ranges, 2))))
+    cuts = counts.groupBy(*keys).agg(F.percentile_approx(column, shares, 10 * ranges).alias("cuts"))
+    within_range = F.size(F.filter("cuts", lambda cut: cut <= F.col(column)))
+    placed = counts.join(cuts, list(keys)).withColumn("range", within_range).drop("cuts")
+    # a row per range
+    earlier = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*keys, "range").agg(F.sum("n").alias("total"))
+    offsets = totals.select(*keys, "range", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
+    lower = Window.partitionBy(*keys, "range").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+    counted = placed.withColumn("lower", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+    rank = F.col("offset") + F.col("lower") + (F.col("n") + 1) / 2
+    return counted.join(offsets, [*keys, "range"]).select(*keys, column, rank.alias("rank"))
+
+
 def rank_correlation(
-    df: DataFrame, *, features: Sequence[str], target: str, keys: Sequence[str]
+    df: DataFrame, *, features: Sequence[str], target: str, keys: Sequence[str], ranges: int = RANGES
 ) -> DataFrame:
     """Spearman correlation of each feature with the target, per key.
 
-    Ranks run over the rows where both values are known; ties share their average rank.
-    Each (key, feature) is ranked in a task of its own. A key's rows must be bounded, as
-    days of one site are.
+    Ranks run over the rows where both values are known; ties share their average rank. The
+    input is read once for the rows and once for the ranks of each side; pass a staged one.
     """
     pairs = (
         df.unpivot(
@@ -88,17 +112,11 @@ def rank_correlation(
             "value",
         )
         .filter(F.col("value").isNotNull() & F.col(target).isNotNull())
-        .withColumn("target", F.col(target).cast("double"))
+        .select(*keys, "feature", "value", F.col(target).cast("double").alias("target"))
     )
     group = [*keys, "feature"]
-
-    def average_rank(column: str) -> Column:
-        ranking = Window.partitionBy(*group).orderBy(column)
-        ties = F.count(F.lit(1)).over(ranking.rangeBetween(Window.currentRow, Window.currentRow))
-        return F.rank().over(ranking) + (ties - 1) / 2
-
-    return (
-        pairs.withColumns({"rank_value": average_rank("value"), "rank_target": average_rank("target")})
-        .groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("n"), F.corr("rank_value", "rank_target").alias("rho"))
-    )
+    ranked = pairs
+    for side in ("value", "target"):
+        ranks = average_ranks(pairs.select(*group, side), side, keys=group, ranges=ranges)
+        ranked = ranked.join(ranks.withColumnRenamed("rank", f"rank_{side}"), [*group, side])
+    return ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.corr("rank_value", "rank_target").alias("rho"))

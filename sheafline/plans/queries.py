@@ -657,5 +657,5 @@ def model_input(t: TestTables) -> DataFrame:
 def rank_correlation(t: TestTables) -> DataFrame:
     features = ["t_min", "t_max", "ctmax", "ctmin", "cpluie"]
     return _rounded(
-        comparison.rank_correlation(flux_day_sites(t), features=features, target="qte", keys=SERIES)
+        comparison.rank_correlation(staged(flux_day_sites(t)), features=features, target="qte", keys=SERIES)
     )

@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import intake, publish, season, station, weather
+from sheafline.operators import comparison, intake, publish, season, station, weather
 from sheafline.plans import QUERIES
 from sheafline.plans.queries import SITE
 from sheafline.plans.testdata import TestTables
@@ -258,3 +258,17 @@ def test_an_upsert_reads_touched_days_only(spark, tmp_path):
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
     with pytest.raises(ValueError, match="must hold the partition"):
         upsert_partitions(update, path, keys=["site"], partition="jour")
+
+
+def test_a_long_series_is_ranked_by_many_tasks(spark):
+    # nine rows in ten belong to one key
+    rows = spark.range(100_000).selectExpr("if(id % 10 = 0, id % 7, 0) as k", "hash(id) * 1.0d as v", "hash(id, 1) * 1.0d as w")
+    found = comparison.average_ranks(rows, "v", keys=["k"], ranges=16)
+    windows = re.findall(r"Window \[[^\]]*\], \[([^\]]*)\]", plan_of(found))
+    assert any("range" in w for w in windows)
+    # what a task sorts is a range: none holds a large part of the hot key
+    placed = rows.filter("k = 0").join(found, ["k", "v"])
+    cuts = [(placed.filter(f"rank > {a} and rank <= {a + 90_000 / 16}")).count() for a in (0, 45_000)]
+    assert all(c < 12_000 for c in cuts)
+    rho = comparison.rank_correlation(rows, features=["v"], target="w", keys=["k"]).filter("k = 0").first()
+    assert rho["n"] > 80_000 and abs(rho["rho"]) < 0.02

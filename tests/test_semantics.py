@@ -642,3 +642,16 @@ def test_seasons_from_a_table_follow_the_rules_and_take_new_rows(spark):
     sowing = days.selectExpr("date_recolte as date_plantation", "1L as code_adherent", "2.0 as qte_semis")
     table = season.with_planting_season(sowing, seasons=season.planting_intervals(spark))
     assert sorted(season.with_planting_season(sowing).collect()) == sorted(table.collect())
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 64])
+def test_average_ranks_by_ranges_equal_a_sort(spark, ranges):
+    rng = random.Random(8)
+    values = {1: [rng.choice([0.0, -0.0, 1.5, rng.random()]) for _ in range(900)], 2: [4.0] * 5, 3: [None, None], 4: [1.0, None, -2.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k int, v double").repartition(5)
+    found = {(r["k"], r["v"]): r["rank"] for r in comparison.average_ranks(df, "v", keys=["k"], ranges=ranges).collect()}
+    for k, all_values in values.items():
+        known = [v for v in all_values if v is not None]
+        for v in set(known):
+            assert found.pop((k, v)) == sum(x < v for x in known) + (known.count(v) + 1) / 2
+    assert found == {}
