@@ -15,15 +15,8 @@ import time
 from sheafline.plans import QUERIES
 from sheafline.session import local_session
 
-HEADLINE = (
-    "flux_day", "flux_day_sites", "flux_week", "flux_week_until_next", "weekly_profile",
-    "weekly_forecast_error", "forecast_stat", "frost_weighted_forecast", "weather_cumuls",
-    "sowing_unpivot", "harvest_season_by_grower", "intake_with_sowing", "midweek_ratio_lags",
-    "remaining_plants", "weekly_features_to_day", "season_day", "season_features",
-    "season_features_predict", "season_features_backtest", "bro_station_features", "data_checks",
-    "model_comparison_weekly", "minmax_scale", "sequence_windows_day", "sequence_windows_week",
-    "rank_correlation", "series_least_squares", "publish_forecast", "weekly_forecast_run",
-)
+#: All queries, the flagship first.
+HEADLINE = ("flux_day", *(name for name in QUERIES if name != "flux_day"))
 
 
 def main() -> None:

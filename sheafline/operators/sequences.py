@@ -45,29 +45,39 @@ def sequence_windows_day(
     """
     if anchored not in ("start", "end"):
         raise ValueError(f"samples are anchored at the start or the end, not at {anchored!r}")
-    numbered, spec = _numbered(df, keys, order)
-    if anchored == "start":
-        first = (F.col("sample") - DAY_PAST) % step == 0
-    else:
-        rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        numbered = numbered.withColumn("__left", rows - F.col("sample") - DAY_GAP - DAY_FUTURE)
-        first = F.col("__left") % step == 0
-    exogenous = [f for f in features if f != target]
-    before = spec.rowsBetween(-DAY_PAST, -1)
-    after = spec.rowsBetween(DAY_GAP, DAY_GAP + DAY_FUTURE - 1)
-    return (
-        numbered.select(
-            *keys,
-            "sample",
-            F.collect_list(_row(features)).over(before).alias("past"),
-            F.collect_list(_row(exogenous)).over(after).alias("future"),
-            # a list drops NULL values, but not rows that hold one
-            F.flatten(F.collect_list(_row([target])).over(after)).alias("target"),
-            F.collect_list(order).over(after).alias("days"),
-            first.alias("__first"),
+    numbered, _ = _numbered(df, keys, order)
+    numbered = numbered.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("int"))
+    place, rows = F.col("sample"), F.col("__rows")
+    last = F.lit(DAY_GAP + DAY_FUTURE - 1)
+    phase = F.lit(DAY_PAST) if anchored == "start" else rows - 1 - last
+
+    def sent(first: Column, end: Column, part: str) -> Column:
+        """The row for each anchor between ``first`` and ``end``: the part and the place that it takes."""
+        nearest = first + F.pmod(phase - first, F.lit(step))
+        anchors = F.when(nearest <= end, F.sequence(nearest, end, F.lit(step))).otherwise(F.array().cast("array<int>"))
+        return F.transform(anchors, lambda anchor: F.struct(anchor.alias("anchor"), F.lit(part).alias("part")))
+
+    # a row goes to the few anchors that use it, not every anchor's rows to every row
+    receivers = F.concat(sent(place + 1, place + DAY_PAST, "past"), sent(place - last, place - DAY_GAP, "future"))
+    entry = F.struct("__place", "__row", "__day")
+    grouped = (
+        numbered.select(*keys, "__rows", place.alias("__place"), _row([*features, target]).alias("__row"), F.col(order).alias("__day"), F.inline(receivers))
+        .filter((F.col("anchor") >= DAY_PAST) & (F.col("anchor") + last < rows))
+        .groupBy(*keys, F.col("anchor").alias("sample"))
+        .agg(
+            F.array_sort(F.collect_list(F.when(F.col("part") == "past", entry))).alias("past"),
+            F.array_sort(F.collect_list(F.when(F.col("part") == "future", entry))).alias("future"),
         )
-        .filter((F.col("sample") >= DAY_PAST) & F.col("__first") & (F.size("future") == DAY_FUTURE))
-        .drop("__first")
+    )
+    count = len(features)
+    exogenous = [k for k, name in enumerate(features) if name != target]
+    return grouped.select(
+        *keys,
+        "sample",
+        F.transform("past.__row", lambda row: F.slice(row, 1, count)).alias("past"),
+        F.transform("future.__row", lambda row: F.array(*(row[k] for k in exogenous))).alias("future"),
+        F.transform("future.__row", lambda row: row[count]).alias("target"),
+        F.col("future.__day").alias("days"),
     )
 
 

@@ -27,7 +27,7 @@ from sheafline.operators import (
     weekly,
 )
 from sheafline.plans.testdata import TestTables
-from sheafline.sources import shared, staged
+from sheafline.sources import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -282,13 +282,13 @@ def _weekly_to_day(daily: DataFrame, totals: DataFrame) -> DataFrame:
 @_query
 def weekly_features_to_day(t: TestTables) -> DataFrame:
     # one row per day, read by three branches
-    return _weekly_to_day(shared(_daily(t)), sowing_season_totals(t))
+    return _weekly_to_day(staged(_daily(t)), sowing_season_totals(t))
 
 
 @_query
 def season_day(t: TestTables) -> DataFrame:
     # one row per day: the joined table and the weekly branches come from one scan
-    days = shared(intake_with_sowing(t))
+    days = staged(intake_with_sowing(t))
     daily = days.select("date_recolte", "quantite_recolte")
     return season.season_days(days, _weekly_to_day(daily, sowing_season_totals(t)))
 
@@ -446,7 +446,8 @@ def minmax_scale(t: TestTables) -> DataFrame:
 
 @_query
 def minmax_scale_one_series(t: TestTables) -> DataFrame:
-    features = calendar.calendar_features_day(flux_day_until(t))
+    # read for the bounds and for the rows
+    features = staged(calendar.calendar_features_day(flux_day_until(t)))
     return _rounded(scaling.minmax_scale(features, list(calendar.DAY_FEATURES)))
 
 
@@ -458,7 +459,7 @@ def minmax_fit(t: TestTables) -> DataFrame:
 @_query
 def minmax_inverse(t: TestTables) -> DataFrame:
     columns = ["qte", "tmax", "tmin", "ctmin", "ctmax", "cpluie"]
-    features = _day_features(t).select(*SERIES, "date_recolte", *columns)
+    features = staged(_day_features(t).select(*SERIES, "date_recolte", *columns))
     stats = scaling.minmax_fit(features, columns, keys=SERIES)
     # a forecast is a scaled value between the observed ones: take half of each
     halved = scaling.minmax_scale(features, columns, keys=SERIES).withColumns(
@@ -467,16 +468,16 @@ def minmax_inverse(t: TestTables) -> DataFrame:
     return scaling.minmax_inverse(halved, stats, columns, keys=SERIES)
 
 
-def _day_samples(t: TestTables, step: int, anchored: str = "start") -> DataFrame:
+def _day_samples(features: DataFrame, step: int, anchored: str = "start") -> DataFrame:
     return sequences.sequence_windows_day(
-        _day_features(t), keys=SERIES, order="date_recolte",
+        features, keys=SERIES, order="date_recolte",
         features=calendar.DAY_FEATURES, target=calendar.TARGET, step=step, anchored=anchored,
     )
 
 
-def _week_samples(t: TestTables) -> DataFrame:
+def _week_samples(features: DataFrame) -> DataFrame:
     return sequences.sequence_windows_week(
-        _week_features(t), keys=SERIES, order="id",
+        features, keys=SERIES, order="id",
         features=calendar.WEEK_FEATURES, target=calendar.TARGET,
     )
 
@@ -485,7 +486,7 @@ def _week_samples(t: TestTables) -> DataFrame:
 def sequence_windows_day(t: TestTables) -> DataFrame:
     return _rounded(
         sequences.sequence_rows(
-            _day_samples(t, 6), keys=SERIES, features=calendar.DAY_FEATURES, target=calendar.TARGET
+            _day_samples(_day_features(t), 6), keys=SERIES, features=calendar.DAY_FEATURES, target=calendar.TARGET
         )
     )
 
@@ -494,7 +495,7 @@ def sequence_windows_day(t: TestTables) -> DataFrame:
 def sequence_windows_week(t: TestTables) -> DataFrame:
     return _rounded(
         sequences.sequence_rows(
-            _week_samples(t), keys=SERIES, features=calendar.WEEK_FEATURES, target=calendar.TARGET
+            _week_samples(_week_features(t)), keys=SERIES, features=calendar.WEEK_FEATURES, target=calendar.TARGET
         )
     )
 
@@ -509,7 +510,8 @@ def latest_window(t: TestTables) -> DataFrame:
             F.col("days")[0].cast("string").alias("first"), F.element_at("days", -1).cast("string").alias("last"),
         )
 
-    return marked("day", _day_samples(t, 6, "end")).unionByName(marked("week", _week_samples(t)))
+    day, week = _forecast_tables(t)
+    return marked("day", _day_samples(day, 6, "end")).unionByName(marked("week", _week_samples(week)))
 
 
 def _forecast_tables(t: TestTables) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import comparison, intake, publish, season, station, weather
+from sheafline.operators import comparison, intake, publish, season, sequences, station, weather
 from sheafline.plans import QUERIES
 from sheafline.plans.queries import SITE
 from sheafline.plans.testdata import TestTables
@@ -104,9 +104,9 @@ def test_a_hot_grower_is_split_in_the_row_level_join(spark):
 
 def test_branches_of_the_season_days_share_one_scan(spark, sf_dir):
     plan = plan_of(QUERIES["season_day"](spark, sf_dir))
-    cached = count(r"InMemoryTableScan", plan)
-    assert cached >= 3
-    assert count(r"FileScan parquet \[[^\]]*l_", plan) in (0, cached)
+    # the days are read from the checkpoint folder, the deliveries not again; nothing stays cached
+    assert count(r"Scan ExistingRDD\[date_recolte", plan) >= 3
+    assert count(r"FileScan parquet \[[^\]]*l_", plan) == count(r"InMemoryTableScan", plan) == 0
 
 
 def test_one_scan_for_all_surfaces_and_models(spark, sf_dir):
@@ -272,3 +272,19 @@ def test_a_long_series_is_ranked_by_many_tasks(spark):
     assert all(c < 12_000 for c in cuts)
     rho = comparison.rank_correlation(rows, features=["v"], target="w", keys=["k"]).filter("k = 0").first()
     assert rho["n"] > 80_000 and abs(rho["rho"]) < 0.02
+
+
+@pytest.mark.parametrize("anchored", ["start", "end"])
+def test_windows_are_gathered_by_anchor_in_one_exchange(spark, anchored):
+    rows = spark.range(3000).selectExpr("id % 3 as k", "cast(id as int) as o", "id * 1.0d as qte", "id * 2.0d as w")
+    plan = plan_of(
+        sequences.sequence_windows_day(rows, keys=["k"], order="o", features=["qte", "w"], target="qte", anchored=anchored)
+    )
+    assert count(r"Exchange ", plan) == 1
+    assert not [line for line in plan.splitlines() if "Window [" in line and "collect_list" in line]
+
+
+@pytest.mark.parametrize("name", ["minmax_scale_one_series", "minmax_inverse", "latest_window", "sequence_forecast", "rank_correlation"])
+def test_derived_tables_are_read_once(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert count(r"FileScan", plan) == 0 and count(r"Scan ExistingRDD", plan) >= 1
