@@ -19,32 +19,33 @@ what their rests share. So pairs in a group are compared only if their rests sha
 n-gram, or if the overlaps with the center would suffice; and only if links found so far
 leave them in different components. No link between components is lost by this.
 
-Frequencies are counted for all documents, in ``BUCKETS`` buckets of hashes, and kept as
-one byte each: the order is what matters, any order is right, and the table that tasks
-need has a fixed size.
+Frequencies of all n-grams are counted exactly, by hash. Tasks get those of the most frequent
+ones, as many as ``MOST_HEAVY`` allows; all others come first, in the order of their hashes. Any
+order is right; this one keeps n-grams that many documents share out of prefixes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sheafline.llm.bloom import build, kept
+from sheafline.llm.bloom import Filter, build, kept
 from sheafline.llm.components import components
 from sheafline.llm.staging import cut_lineage
 from sheafline.llm.words import blocks, mixed, per_text, sequence_hashes, window_hashes, word_block
 
-#: Shared buckets of n-gram frequencies: a table of as many bytes goes to every task.
-BUCKETS = 1 << 17
+#: N-grams with a frequency below count as rare; of the others as many go to every task (36 MB).
+LEAST_HEAVY, MOST_HEAVY = 8, 4_000_000
 #: A center may be less similar than a link by this many percent.
 LOOSER = 30
 #: Documents with one prefix n-gram from which stars come before all pairs.
 CROWD = 12
-#: Keys for which filters of n-grams and of documents have bits (3 MB), at any size.
-FILTER_KEYS = 2_000_000
+#: Keys for which filters of n-grams and of documents have bits at most (30 MB); a full one lets more pass.
+MOST_FILTERED = 20_000_000
 #: Ranges of hashes of the suffix filter.
 RANGES = 16
 
@@ -80,27 +81,48 @@ def gram_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[new], np.concatenate([[0], np.cumsum(new)])[begins]
 
 
-def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
-    return ((grams >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+@dataclass(frozen=True)
+class Heavy:
+    """Hashes of frequent n-grams, sorted, and how frequent they are, as quarters of log2."""
 
+    grams: np.ndarray
+    levels: np.ndarray
 
-def frequency_levels(documents: DataFrame, *, text: str, n: int, buckets: int) -> np.ndarray:
-    """How often n-grams of each bucket occur, as quarters of log2."""
+    def level(self, grams: np.ndarray) -> np.ndarray:
+        """The levels of n-grams, 0 for rare ones."""
+        if not len(self.grams):
+            return np.zeros(len(grams), np.int64)
+        place = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[place] == grams, self.levels[place], 0).astype(np.int64)
+
+
+def heavy_grams(documents: DataFrame, *, text: str, n: int, least: int = LEAST_HEAVY, most: int = MOST_HEAVY) -> Heavy:
+    """The most frequent n-grams: all that occur ``least`` times or, if these are too many, those of the highest levels."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
             for block in blocks(batch.column(0), 8_000_000):
-                counts += np.bincount(bucket_of(_all_grams(block, n)[0], buckets), minlength=buckets)
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["bucket", "count"])
+                grams, counts = np.unique(_all_grams(block, n)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts)], names=["gram", "count"])
 
-    rows = documents.select(text).mapInArrow(counted, "bucket long, count long").groupBy("bucket").agg(F.sum("count").alias("count"))
+    rows = documents.select(text).mapInArrow(counted, "gram long, count long").groupBy("gram").agg(F.sum("count").alias("count"))
     level = F.round(F.log2("count") * 4).cast("int")
-    table = rows.select("bucket", level.alias("level")).toArrow()
-    levels = np.zeros(buckets, dtype=np.uint8)
-    levels[table["bucket"].to_numpy()] = table["level"].to_numpy()
-    return levels
+    frequent = cut_lineage(rows.filter(F.col("count") >= least).select("gram", level.alias("level")))
+    left, lowest = most, 256
+    for row in frequent.groupBy("level").count().orderBy(F.desc("level")).collect():
+        left -= row["count"]
+        if left < 0:
+            break
+        lowest = row["level"]
+    table = frequent.filter(F.col("level") >= lowest).toArrow()
+    grams = table["gram"].to_numpy().view(np.uint64)
+    order = np.argsort(grams)
+    return Heavy(grams[order], table["level"].to_numpy().astype(np.uint8)[order])
+
+
+def sized_filter(keys: DataFrame) -> Filter:
+    """The filter of a checkpointed column ``key``, with bits for as many keys as there are."""
+    return kept(build(keys, max(1, min(MOST_FILTERED, keys.count())), hashes=1))
 
 
 def prefix_length(size: Column | np.ndarray | int, percent: int) -> Column | np.ndarray | int:
@@ -108,25 +130,26 @@ def prefix_length(size: Column | np.ndarray | int, percent: int) -> Column | np.
     return size - (percent * size + 99) // 100 + 1
 
 
-def profiles(documents: DataFrame, *, id: str, text: str, n: int, percent: int, levels: np.ndarray) -> DataFrame:
+def profiles(documents: DataFrame, *, id: str, text: str, n: int, percent: int, heavy: Heavy) -> DataFrame:
     """Rows of ``PROFILE``: size, a hash of the whole set in two halves, prefix, and n-grams by range."""
+    shared = documents.sparkSession.sparkContext.broadcast(heavy)
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
             for block in blocks(batch.column(1), 8_000_000):
-                yield _profiles(batch.column(0).slice(done, len(block)), block, n, percent, levels)
+                yield _profiles(batch.column(0).slice(done, len(block)), block, n, percent, shared.value)
                 done += len(block)
 
     rows = documents.select(F.col(id).cast("long"), F.col(text).cast("string"))
     return rows.mapInArrow(profiled, PROFILE)
 
 
-def _profiles(ids: pa.Array, texts: pa.Array, n: int, percent: int, levels: np.ndarray) -> pa.RecordBatch:
+def _profiles(ids: pa.Array, texts: pa.Array, n: int, percent: int, heavy: Heavy) -> pa.RecordBatch:
     grams, begins = gram_sets(texts, n)
     sizes = np.diff(begins)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    level = levels[bucket_of(grams, len(levels))].astype(np.int64)
+    level = heavy.level(grams)
     rank = np.argsort((owner << 8) | level, kind="stable")
     place = np.arange(len(grams)) - begins[owner]
     length = np.where(sizes > 0, prefix_length(sizes, percent), 0)
@@ -228,9 +251,9 @@ def compared(pairs: DataFrame, documents: DataFrame, *, n: int, percent: int) ->
 
     ``both`` is the size of the overlap, ``rest`` what ``a`` has and ``b`` lacks.
     """
-    ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     # most documents are in no pair: leave them out before their texts are shuffled
-    wanted = documents.filter(kept(build(ids, FILTER_KEYS, hashes=1)).knows(F.col("id")))
+    wanted = documents.filter(sized_filter(ids).knows(F.col("id")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +331,7 @@ def near_duplicates(
     n: int = 5,
     percent: int = 80,
     looser: int = LOOSER,
-    buckets: int = BUCKETS,
+    most_heavy: int = MOST_HEAVY,
 ) -> DataFrame:
     """Per document: its id, ``n_shingles`` (size of its set) and ``component_id``.
 
@@ -319,8 +342,8 @@ def near_duplicates(
     and has a null component, unless its set equals that of a document with an id.
     """
     plain = documents.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    levels = frequency_levels(plain, text="text", n=n, buckets=buckets)
-    profile = cut_lineage(profiles(plain, id="id", text="text", n=n, percent=percent, levels=levels))
+    heavy = heavy_grams(plain, text="text", n=n, most=most_heavy)
+    profile = cut_lineage(profiles(plain, id="id", text="text", n=n, percent=percent, heavy=heavy))
     key = ["class_a", "class_b", "size"]
     filled = profile.filter(F.col("size") > 0)
     classes = filled.groupBy(*key).agg(F.min("id").alias("class"))
@@ -332,7 +355,7 @@ def near_duplicates(
     # an n-gram in one prefix only leads to no pair
     common = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("gram")
     common = cut_lineage(common)
-    known = kept(build(common.withColumnRenamed("gram", "key"), FILTER_KEYS, hashes=1)).knows(F.col("gram"))
+    known = sized_filter(common.withColumnRenamed("gram", "key")).knows(F.col("gram"))
     entries = entries.filter(known).join(common, "gram").join(ranges.select("id", "leading"), "id")
     entries = cut_lineage(entries)
     similar = max(1, percent - looser)
