@@ -105,7 +105,9 @@ def heavy_grams(documents: DataFrame, *, text: str, n: int, least: int = LEAST_H
                 grams, counts = np.unique(_all_grams(block, n)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts)], names=["gram", "count"])
 
-    rows = documents.select(text).mapInArrow(counted, "gram long, count long").groupBy("gram").agg(F.sum("count").alias("count"))
+    # a block's n-grams are distinct already: no second count before they are shuffled
+    rows = documents.select(text).mapInArrow(counted, "gram long, count long").repartition("gram")
+    rows = rows.groupBy("gram").agg(F.sum("count").alias("count"))
     level = F.round(F.log2("count") * 4).cast("int")
     frequent = cut_lineage(rows.filter(F.col("count") >= least).select("gram", level.alias("level")))
     left, lowest = most, 256
