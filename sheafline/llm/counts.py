@@ -222,6 +222,21 @@ class PrefixTable:
                 raise ValueError("a byte without a token")
 
 
+@dataclass(frozen=True)
+class Cut:
+    """A piece of a text from ``begin`` to ``end``, ``before`` tokens after the text's beginning."""
+
+    begin: int
+    end: int
+    before: int
+    counts: bytes | array
+    offsets: np.ndarray | None
+
+    def at(self, end: int) -> int:
+        chars = end - self.begin
+        return self.before + self.counts[chars if self.offsets is None else self.offsets[chars]]
+
+
 class PrefixCounts:
     """Token counts of the prefixes of one text, counted in characters."""
 
@@ -231,9 +246,9 @@ class PrefixCounts:
         self.ends = np.concatenate([[0], np.cumsum(table.chars[numbers])])
         self.totals = np.concatenate([[0], np.cumsum(table.totals[numbers])])
         self.fixed = numbers < len(table.special)
-
-    def _piece(self, n: int) -> str:
-        return self.text[self.ends[n] : self.ends[n + 1]]
+        # the white space and the piece asked for last
+        self.run: Cut | None = None
+        self.cut: Cut | None = None
 
     @property
     def total(self) -> int:
@@ -241,22 +256,37 @@ class PrefixCounts:
 
     def at(self, end: int) -> int:
         """The token count of the first ``end`` characters, as if they stood alone."""
+        if self.run and self.run.begin < end <= self.run.end:
+            return self.run.at(end)
+        space = self.counter.space
+        white = end > 0 and space.match(self.text, end - 1, end) is not None
         n = int(np.searchsorted(self.ends, end))
-        if self.ends[n] == end and not (n and self.text[end - 1].isspace() and not self.fixed[n - 1]):
+        if self.ends[n] == end and not (n and white and not self.fixed[n - 1]):
             return int(self.totals[n])
         n -= 1  # the piece that the prefix cuts, or that ends in white space
         if self.fixed[n]:  # part of a special string is ordinary text, and may join what stands before it
             while n and not self.fixed[n - 1]:
                 n -= 1
             return int(self.totals[n]) + self._alone(self.text[self.ends[n] : end])
-        if self.text[end - 1].isspace():  # white space is split by what follows it
-            while n and self._piece(n - 1).isspace() and not self.fixed[n - 1]:
+        if white:  # white space is split by what follows it: at the end of a text it is one piece
+            while n and not self.fixed[n - 1] and space.fullmatch(self.text, self.ends[n - 1], self.ends[n]):
                 n -= 1
+            self.run = self._counted(int(self.ends[n]), space.match(self.text, self.ends[n]).end(), int(self.totals[n]))
+            return self.run.at(end)
+        if self.text[self.ends[n]] == "'" and self.ends[n + 1] - self.ends[n] <= 3:  # a shorter contraction is none
             return int(self.totals[n]) + self._alone(self.text[self.ends[n] : end])
-        cut = self.text[self.ends[n] : end]
-        if cut[0] == "'":  # a shorter contraction is none
-            return int(self.totals[n]) + self._alone(cut)
-        return int(self.totals[n]) + self.counter.table.counts[self.numbers[n]][len(cut.encode("utf-8"))]
+        if self.cut is None or self.cut.begin != self.ends[n]:
+            self.cut = self._counted(int(self.ends[n]), int(self.ends[n + 1]), int(self.totals[n]))
+        return self.cut.at(end)
+
+    def _counted(self, begin: int, end: int, before: int) -> Cut:
+        """The counts of all prefixes of one piece, learned once however many of them are asked for."""
+        piece = self.text[begin:end]
+        table = self.counter.table
+        number = table.number[piece]
+        table.learn()
+        offsets = None if piece.isascii() else np.cumsum([0, *(len(c.encode("utf-8")) for c in piece)])
+        return Cut(begin, end, before, table.counts[number], offsets)
 
     def _alone(self, text: str) -> int:
         numbers = self.counter.numbers(text, learn=True, special=False)
@@ -281,6 +311,8 @@ class Counter:
     def __init__(self, vocabulary: Vocabulary, pattern: str, remembered: int):
         self.table = PrefixTable(vocabulary, remembered)
         self.split = regex.compile(pattern).findall
+        # white space as the pattern sees it
+        self.space = regex.compile(r"\s+")
         strings = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile(f"({'|'.join(map(regex.escape, strings))})").split if strings else None
 

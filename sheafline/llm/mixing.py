@@ -107,12 +107,18 @@ def mix(
     only, and never more tokens than its budget; the full epochs that fit, then the longest
     prefix of the next one. Documents with equal ids and equal numbers of tokens are taken or
     left together. A document without tokens costs nothing, and is taken with those before
-    it. An empty table gives an empty result.
+    it. An empty table gives an empty result. Columns of any names are kept; a column of the
+    documents named ``mix_epoch`` is replaced.
     """
     names = [f"mix_level_{n}" for n in range(len(levels))]
-    marked = documents.withColumns(dict(zip(names, levels.values(), strict=True)))
-    marked = marked.withColumn("mix_tokens", F.coalesce(tokens, F.lit(0)).cast("long"))
-    slim = marked.select(*names, "mix_tokens", F.col(id).alias("mix_id"))
+    # the documents' own columns lie in a struct, out of the way of those added here
+    marked = documents.select(
+        F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("mix_row"),
+        *(level.alias(name) for name, level in zip(names, levels.values(), strict=True)),
+        F.coalesce(tokens, F.lit(0)).cast("long").alias("mix_tokens"),
+        F.col(id).alias("mix_id"),
+    )
+    slim = marked.select(*names, "mix_tokens", "mix_id")
     leaves = cut_lineage(
         slim.groupBy(*names).agg(F.sum("mix_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     )
@@ -152,12 +158,13 @@ def mix(
     highest = fine.groupBy(*names).agg(F.max("place").alias("end_place"))
     cuts = cut_lineage(_joined(cuts, highest, names, "left"))
     taken = _joined(marked, F.broadcast(cuts) if leaf_count <= MOST_LEAVES else cuts, names)
-    place = _place(F.col(id), F.col("mix_tokens"), F.col("whole"), seed)
+    place = _place("mix_id", "mix_tokens", F.col("whole"), seed)
     own_range = F.pmod(F.shiftrightunsigned(place, 1), F.col("ranges"))
     prefix = (own_range < F.col("end_range")) | ((own_range == F.col("end_range")) & (place <= F.col("end_place")))
     times = F.col("whole") + F.when(F.coalesce(prefix, F.lit(False)) & (F.col("whole") < epochs), 1).otherwise(0)
     rows = taken.filter(times > 0).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), times.cast("int") - 1)))
-    return rows.select(*documents.columns, "mix_epoch")
+    own = [F.col("mix_row")[c].alias(c) for c in documents.columns if c != "mix_epoch"]
+    return rows.select(*own, "mix_epoch")
 
 
 def _place(id: str | Column, tokens: str | Column, epoch: Column, seed: int) -> Column:

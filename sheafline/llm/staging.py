@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` in the checkpoint folder, where it outlives a lost executor.
 
-    The folder is what the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset, as in a test, a folder is made here.
+    The folder is what the cluster names in ``spark.checkpoint.dir``. Only a local session
+    without that setting, as in a test, gets a folder made here; on a cluster a folder of one
+    machine would not do, and it is an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="sheafline-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sheafline-"))
     return df.checkpoint()
