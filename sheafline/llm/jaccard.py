@@ -19,9 +19,10 @@ what their rests share. So pairs in a group are compared only if their rests sha
 n-gram, or if the overlaps with the center would suffice; and only if links found so far
 leave them in different components. No link between components is lost by this.
 
-Frequencies of all n-grams are counted exactly, by hash. Tasks get those of the most frequent
-ones, as many as ``MOST_HEAVY`` allows; all others come first, in the order of their hashes. Any
-order is right; this one keeps n-grams that many documents share out of prefixes.
+Frequencies of all n-grams are counted, by hashes whose length follows the size of the table. Tasks
+get those of the most frequent ones, as many as ``MOST_HEAVY`` allows; all others come first, in
+the order of their hashes. Any order is right; this one keeps n-grams that many documents share
+out of prefixes.
 """
 
 from __future__ import annotations
@@ -83,13 +84,15 @@ def gram_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Heavy:
-    """Hashes of frequent n-grams, sorted, and how frequent they are, as quarters of log2."""
+    """Leading bits of hashes of frequent n-grams, sorted, and how frequent they are, as quarters of log2."""
 
     grams: np.ndarray
     levels: np.ndarray
+    shift: np.uint64
 
     def level(self, grams: np.ndarray) -> np.ndarray:
         """The levels of n-grams, 0 for rare ones."""
+        grams = grams >> self.shift
         if not len(self.grams):
             return np.zeros(len(grams), np.int64)
         place = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
@@ -97,12 +100,19 @@ class Heavy:
 
 
 def heavy_grams(documents: DataFrame, *, text: str, n: int, least: int = LEAST_HEAVY, most: int = MOST_HEAVY) -> Heavy:
-    """The most frequent n-grams: all that occur ``least`` times or, if these are too many, those of the highest levels."""
+    """The most frequent n-grams: all that occur ``least`` times or, if these are too many, those of the highest levels.
+
+    Counted by as many leading bits of their hashes as give several times more numbers than there
+    can be n-grams: shorter numbers are cheaper to shuffle, and the few n-grams that share one
+    are ordered as if they were one.
+    """
+    size = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    shift = np.uint64(64 - min(64, max(16, (2 * size).bit_length())))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(0), 8_000_000):
-                grams, counts = np.unique(_all_grams(block, n)[0], return_counts=True)
+                grams, counts = np.unique(_all_grams(block, n)[0] >> shift, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts)], names=["gram", "count"])
 
     # a block's n-grams are distinct already: no second count before they are shuffled
@@ -119,7 +129,7 @@ def heavy_grams(documents: DataFrame, *, text: str, n: int, least: int = LEAST_H
     table = frequent.filter(F.col("level") >= lowest).toArrow()
     grams = table["gram"].to_numpy().view(np.uint64)
     order = np.argsort(grams)
-    return Heavy(grams[order], table["level"].to_numpy().astype(np.uint8)[order])
+    return Heavy(grams[order], table["level"].to_numpy().astype(np.uint8)[order], shift)
 
 
 def sized_filter(keys: DataFrame) -> Filter:
