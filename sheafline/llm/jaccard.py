@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheafline.llm.bloom import Filter, build, kept
 from sheafline.llm.components import components
-from sheafline.llm.staging import cut_lineage
+from sheafline.llm.staging import cut_lineage, stored
 from sheafline.llm.words import blocks, mixed, per_text, sequence_hashes, window_hashes, word_block
 
 #: N-grams with a frequency below count as rare; of the others as many go to every task (36 MB).
@@ -355,13 +355,13 @@ def near_duplicates(
     """
     plain = documents.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     heavy = heavy_grams(plain, text="text", n=n, most=most_heavy)
-    profile = cut_lineage(profiles(plain, id="id", text="text", n=n, percent=percent, heavy=heavy))
+    profile = stored(profiles(plain, id="id", text="text", n=n, percent=percent, heavy=heavy))
     key = ["class_a", "class_b", "size"]
     filled = profile.filter(F.col("size") > 0)
     classes = filled.groupBy(*key).agg(F.min("id").alias("class"))
     members = cut_lineage(filled.select("id", *key).join(classes, key).select("id", "size", "class"))
     heads = classes.select(F.col("class").alias("id"), *key)
-    head = cut_lineage(filled.join(heads, ["id", *key]).dropDuplicates(["id"]))
+    head = stored(filled.join(heads, ["id", *key]).dropDuplicates(["id"]))
     ranges = head.select("id", "size", "leading", "ranges")
     entries = head.select("id", "size", F.posexplode("prefix").alias("place", "gram"))
     # an n-gram in one prefix only leads to no pair
@@ -369,7 +369,7 @@ def near_duplicates(
     common = cut_lineage(common)
     known = sized_filter(common.withColumnRenamed("gram", "key")).knows(F.col("gram"))
     entries = entries.filter(known).join(common, "gram").join(ranges.select("id", "leading"), "id")
-    entries = cut_lineage(entries)
+    entries = stored(entries)
     similar = max(1, percent - looser)
     limits = {"n": n, "percent": percent}
     alone = entries.withColumn("component", F.col("id"))
@@ -394,7 +394,7 @@ def near_duplicates(
     centered = entries.join(center.select("id", "center", "both"), "id", "left").withColumns(
         {"center": F.coalesce("center", "id"), "both": F.coalesce("both", "size")}
     )
-    centered = cut_lineage(_with_component(centered, component))
+    centered = stored(_with_component(centered, component))
     shortest = centered.groupBy("center").agg(F.min("size").alias("shortest"))
     enough = centered.join(shortest, "center").filter(F.col("both") >= needed(F.col("size"), F.col("shortest"), percent))
     same_center = F.least("x.both", "y.both") >= needed(F.col("x.size"), F.col("y.size"), percent)

@@ -3,21 +3,34 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` in the checkpoint folder, where it outlives a lost executor.
+def _folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``, where files outlive a lost executor.
 
-    The folder is what the cluster names in ``spark.checkpoint.dir``. Only a local session
-    without that setting, as in a test, gets a folder made here; on a cluster a folder of one
-    machine would not do, and it is an error.
+    Only a local session without that setting, as in a test, gets a folder made here; on a
+    cluster a folder of one machine would not do, and it is an error.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None and not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sheafline-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` in the checkpoint folder."""
+    _folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the checkpoint folder: compressed, for frames as large as the documents."""
+    path = f"{_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
