@@ -47,6 +47,8 @@ LOOSER = 30
 CROWD = 12
 #: Keys for which filters of n-grams and of documents have bits at most (30 MB); a full one lets more pass.
 MOST_FILTERED = 20_000_000
+#: Bytes of text whose n-grams a task holds at once.
+BLOCK = 4_000_000
 #: Ranges of hashes of the suffix filter.
 RANGES = 16
 
@@ -111,7 +113,7 @@ def heavy_grams(documents: DataFrame, *, text: str, n: int, least: int = LEAST_H
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(0), 8_000_000):
+            for block in blocks(batch.column(0), BLOCK):
                 grams, counts = np.unique(_all_grams(block, n)[0] >> shift, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts)], names=["gram", "count"])
 
@@ -149,7 +151,7 @@ def profiles(documents: DataFrame, *, id: str, text: str, n: int, percent: int,
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for block in blocks(batch.column(1), 8_000_000):
+            for block in blocks(batch.column(1), BLOCK):
                 yield _profiles(batch.column(0).slice(done, len(block)), block, n, percent, shared.value)
                 done += len(block)
 
