@@ -47,8 +47,8 @@ LOOSER = 30
 CROWD = 12
 #: Keys for which filters of n-grams and of documents have bits at most (30 MB); a full one lets more pass.
 MOST_FILTERED = 20_000_000
-#: Bytes of text whose n-grams a task holds at once.
-BLOCK = 4_000_000
+#: Bytes of text whose n-grams a task holds at once. Tasks begin by giving back what Arrow kept of earlier stages.
+BLOCK = 8_000_000
 #: Ranges of hashes of the suffix filter.
 RANGES = 16
 
@@ -112,6 +112,7 @@ def heavy_grams(documents: DataFrame, *, text: str, n: int, least: int = LEAST_H
     shift = np.uint64(64 - min(64, max(16, (2 * size).bit_length())))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()
         for batch in batches:
             for block in blocks(batch.column(0), BLOCK):
                 grams, counts = np.unique(_all_grams(block, n)[0] >> shift, return_counts=True)
@@ -149,6 +150,7 @@ def profiles(documents: DataFrame, *, id: str, text: str, n: int, percent: int,
     shared = documents.sparkSession.sparkContext.broadcast(heavy)
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()
         for batch in batches:
             done = 0
             for block in blocks(batch.column(1), BLOCK):
@@ -270,6 +272,7 @@ def compared(pairs: DataFrame, documents: DataFrame, *, n: int, percent: int) ->
     wanted = documents.filter(sized_filter(ids).knows(F.col("id")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
