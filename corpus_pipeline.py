@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheafline.llm import bpe, jaccard, langid, mixing, substrings
-from sheafline.llm.staging import cut_lineage
+from sheafline.llm.staging import Tables
 
 #: Share of the tokens that the mixture takes, and weights of its nodes; others weigh 1.
 SHARE = 0.8
 WEIGHTS = {("common",): 1.0, ("curated",): 2.0, ("common", "en"): 2.0, ("curated", "en"): 3.0}
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Ids of near duplicates that are broadcast at most (32 MB).
+MOST_BROADCAST = 2_000_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,14 +25,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id, once.
+    """Of each group of near duplicates the document with the smallest id.
 
-    A row without an id stays, unless its text equals that of a document with an id.
+    Rows of that id with different texts all stay, and of those with one text one does. A row
+    without an id stays. Texts are not shuffled but for ids of several rows: marks of ids
+    are broadcast if there are no more than ``MOST_BROADCAST``, and joined by shuffle beyond that.
     """
     groups = jaccard.near_duplicates(docs.select("doc_id", "text"))
-    others = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(others, "doc_id", "left_anti")
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    found = F.struct(
+        F.max(F.col("doc_id") != F.col("component_id")).alias("goes"), (F.count(F.lit(1)) > 1).alias("repeated")
+    )
+    # longer than the names of all columns, so equal to none
+    mark = f"{max(docs.columns, key=len)}_"
+    marks = groups.filter("doc_id is not null").groupBy("doc_id").agg(found.alias(mark))
+    marks = marks.filter(F.col(f"{mark}.goes") | F.col(f"{mark}.repeated"))
+    marked = docs.join(F.broadcast(marks) if marks.count() <= MOST_BROADCAST else marks, "doc_id", "left")
+    stays = marked.filter(F.col(mark).isNull() | ~F.col(f"{mark}.goes"))
+    several = F.col(mark).isNotNull()
+    once = stays.filter(several).dropDuplicates(["doc_id", "text"])
+    return stays.filter(~several).unionByName(once).select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,10 +90,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what passes between stages is kept in the checkpoint folder."""
+    """All stages over ``documents``.
+
+    What passes between stages is a table in the checkpoint folder, deleted once the next one is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = cut_lineage(docs)
-    return docs
+    before = None
+    for _, stage in STAGES[:-1]:
+        tables = Tables(spark)
+        docs = tables.stored(stage(spark, docs, sf_dir))
+        if before:
+            before.drop()
+        before = tables
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheafline.llm.bloom import Filter, build, kept
 from sheafline.llm.components import components
-from sheafline.llm.staging import cut_lineage, stored
+from sheafline.llm.staging import Tables, cut_lineage
 from sheafline.llm.words import blocks, mixed, per_text, sequence_hashes, window_hashes, word_block
 
 #: N-grams with a frequency below count as rare; of the others as many go to every task (36 MB).
@@ -356,17 +356,26 @@ def near_duplicates(
     words, with A-Z compared as a-z. ``component_id`` is the smallest id reachable by links.
     A null or empty text has an empty set, is linked with nothing, and is its own component.
     Rows with one id are one document in links. A row with a null id is linked with nothing
-    and has a null component, unless its set equals that of a document with an id.
+    and has a null component, unless its set equals that of a document with an id. The result is
+    a table in the checkpoint folder; the larger ones that lead to it are deleted.
     """
     plain = documents.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    with Tables(documents.sparkSession) as tables:
+        groups = _groups(plain, tables, n=n, percent=percent, looser=looser, most_heavy=most_heavy)
+        named = groups.select(F.col("id").alias(id), F.col("size").alias("n_shingles"), "component_id")
+        return Tables(documents.sparkSession).stored(named)
+
+
+def _groups(plain: DataFrame, tables: Tables, *, n: int, percent: int, looser: int, most_heavy: int) -> DataFrame:
+    """Columns ``id``, ``size`` and ``component_id`` of the documents ``id`` and ``text``, from ``tables``."""
     heavy = heavy_grams(plain, text="text", n=n, most=most_heavy)
-    profile = stored(profiles(plain, id="id", text="text", n=n, percent=percent, heavy=heavy))
+    profile = tables.stored(profiles(plain, id="id", text="text", n=n, percent=percent, heavy=heavy))
     key = ["class_a", "class_b", "size"]
     filled = profile.filter(F.col("size") > 0)
     classes = filled.groupBy(*key).agg(F.min("id").alias("class"))
     members = cut_lineage(filled.select("id", *key).join(classes, key).select("id", "size", "class"))
     heads = classes.select(F.col("class").alias("id"), *key)
-    head = stored(filled.join(heads, ["id", *key]).dropDuplicates(["id"]))
+    head = tables.stored(filled.join(heads, ["id", *key]).dropDuplicates(["id"]))
     ranges = head.select("id", "size", "leading", "ranges")
     entries = head.select("id", "size", F.posexplode("prefix").alias("place", "gram"))
     # an n-gram in one prefix only leads to no pair
@@ -374,7 +383,7 @@ def near_duplicates(
     common = cut_lineage(common)
     known = sized_filter(common.withColumnRenamed("gram", "key")).knows(F.col("gram"))
     entries = entries.filter(known).join(common, "gram").join(ranges.select("id", "leading"), "id")
-    entries = stored(entries)
+    entries = tables.stored(entries)
     similar = max(1, percent - looser)
     limits = {"n": n, "percent": percent}
     alone = entries.withColumn("component", F.col("id"))
@@ -399,7 +408,7 @@ def near_duplicates(
     centered = entries.join(center.select("id", "center", "both"), "id", "left").withColumns(
         {"center": F.coalesce("center", "id"), "both": F.coalesce("both", "size")}
     )
-    centered = stored(_with_component(centered, component))
+    centered = tables.stored(_with_component(centered, component))
     shortest = centered.groupBy("center").agg(F.min("size").alias("shortest"))
     enough = centered.join(shortest, "center").filter(F.col("both") >= needed(F.col("size"), F.col("shortest"), percent))
     same_center = F.least("x.both", "y.both") >= needed(F.col("x.size"), F.col("y.size"), percent)
@@ -416,4 +425,4 @@ def near_duplicates(
     reached = members.join(component.withColumnRenamed("node", "class"), "class", "left")
     reached = reached.select("id", "size", own.alias("component_id"))
     empty = profile.filter(F.col("size") == 0).select("id", "size", F.col("id").alias("component_id"))
-    return reached.unionByName(empty).select(F.col("id").alias(id), F.col("size").alias("n_shingles"), "component_id")
+    return reached.unionByName(empty)

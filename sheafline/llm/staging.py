@@ -29,8 +29,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the checkpoint folder: compressed, for frames as large as the documents."""
-    path = f"{_folder(df.sparkSession)}/{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Tables:
+    """Tables of one job in the checkpoint folder: compressed, for frames as large as the documents.
+
+    They are deleted together, by ``drop`` or at the end of a ``with`` block, where nothing may
+    read them any more. Without either they stay.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{_folder(spark)}/{uuid4().hex}"
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.drop()
