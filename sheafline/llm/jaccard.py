@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sheafline.llm.bloom import Filter, build, kept
 from sheafline.llm.components import components
 from sheafline.llm.staging import Tables, cut_lineage
-from sheafline.llm.words import blocks, mixed, per_text, sequence_hashes, window_hashes, word_block
+from sheafline.llm.words import blocks, mixed, per_text, sequence_hashes, tidy, window_hashes, word_block
 
 #: N-grams with a frequency below count as rare; of the others as many go to every task (36 MB).
 LEAST_HEAVY, MOST_HEAVY = 8, 4_000_000
@@ -47,7 +47,7 @@ LOOSER = 30
 CROWD = 12
 #: Keys for which filters of n-grams and of documents have bits at most (30 MB); a full one lets more pass.
 MOST_FILTERED = 20_000_000
-#: Bytes of text whose n-grams a task holds at once. Tasks begin by giving back what Arrow kept of earlier stages.
+#: Bytes of text whose n-grams a task holds at once. Tasks give memory back before and after (``tidy``).
 BLOCK = 8_000_000
 #: Ranges of hashes of the suffix filter.
 RANGES = 16
@@ -112,14 +112,13 @@ def heavy_grams(documents: DataFrame, *, text: str, n: int, least: int = LEAST_H
     shift = np.uint64(64 - min(64, max(16, (2 * size).bit_length())))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()
         for batch in batches:
             for block in blocks(batch.column(0), BLOCK):
                 grams, counts = np.unique(_all_grams(block, n)[0] >> shift, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts)], names=["gram", "count"])
 
     # a block's n-grams are distinct already: no second count before they are shuffled
-    rows = documents.select(text).mapInArrow(counted, "gram long, count long").repartition("gram")
+    rows = documents.select(text).mapInArrow(tidy(counted), "gram long, count long").repartition("gram")
     rows = rows.groupBy("gram").agg(F.sum("count").alias("count"))
     level = F.round(F.log2("count") * 4).cast("int")
     frequent = cut_lineage(rows.filter(F.col("count") >= least).select("gram", level.alias("level")))
@@ -150,7 +149,6 @@ def profiles(documents: DataFrame, *, id: str, text: str, n: int, percent: int,
     shared = documents.sparkSession.sparkContext.broadcast(heavy)
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()
         for batch in batches:
             done = 0
             for block in blocks(batch.column(1), BLOCK):
@@ -158,7 +156,7 @@ def profiles(documents: DataFrame, *, id: str, text: str, n: int, percent: int,
                 done += len(block)
 
     rows = documents.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(profiled, PROFILE)
+    return rows.mapInArrow(tidy(profiled), PROFILE)
 
 
 def _profiles(ids: pa.Array, texts: pa.Array, n: int, percent: int, heavy: Heavy) -> pa.RecordBatch:
@@ -272,7 +270,6 @@ def compared(pairs: DataFrame, documents: DataFrame, *, n: int, percent: int) ->
     wanted = documents.filter(sized_filter(ids).knows(F.col("id")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
@@ -285,7 +282,7 @@ def compared(pairs: DataFrame, documents: DataFrame, *, n: int, percent: int) ->
     for side in ("a", "b"):
         texts = wanted.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = pairs.join(texts, side)
-    return cut_lineage(pairs.select("a", "b", "text_a", "text_b").mapInArrow(counted, COMPARED))
+    return cut_lineage(pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(counted), COMPARED))
 
 
 def overlaps(left: pa.Array, right: pa.Array, n: int, percent: int) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:

@@ -7,7 +7,8 @@ windows and counts are array operations instead of loops over words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -168,3 +169,27 @@ def without_words(texts: pa.Array, removed: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(
         pa.large_string(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw[keep]))]
     )
+
+
+def give_back() -> None:
+    """Return the freed memory of this process to the machine, Arrow's and, where the C library can, the heap's."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``work`` on batches, with freed memory given back before and after.
+
+    Python workers outlive their tasks, and what an idle one holds is missing to the stages after it.
+    """
+
+    def tidied(batches: Batches) -> Batches:
+        give_back()
+        yield from work(batches)
+        give_back()
+
+    return tidied

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sheafline.llm import bpe, counts, jaccard, langid, lm, mixing, quality, substrings, topk, urls
 from sheafline.llm.queries import QUERIES, RANKS, VOCABULARY
+from sheafline.llm.staging import Tables
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, chunk long, spans string, id string"
 LONG = "lorem ipsum " * 30_000
@@ -210,3 +211,23 @@ def test_stages_are_registered_last():
         "op7_jaccard_join", "op8_language", "op9_token_counts", "op10_substring_dedup", "op11_spelling_variants", "op12_collocations",
         "op13_fingerprints",
     }
+
+
+def test_near_duplicates_keep_different_texts_of_one_id(spark):
+    text = "a b c d e f g"
+    rows = [(1, text, "en"), (1, text, "en"), (1, "other text of one id", "en"), (2, text, "en"),
+            (None, text, "en"), (None, None, None), (5, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, goes string").repartition(3)
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert found.columns == docs.columns
+    expected = [rows[0], *rows[2:3], *rows[4:]]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+
+
+def test_tables_go_when_their_block_ends(spark):
+    with Tables(spark) as tables:
+        assert tables.stored(spark.range(3)).count() == 3
+        folder = spark._jvm.org.apache.hadoop.fs.Path(tables.folder)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        assert files.exists(folder)
+    assert not files.exists(folder)
