@@ -2,18 +2,19 @@
 
 Merges do not depend on the text around a piece, so a task collects the distinct pieces
 of its documents and merges each of them once. The pieces lie end to end in one array of
-tokens. An index keeps, for every position, the rank of the pair that stands there;
-merges are replayed from it in rank order, and a merge touches two neighbours, whose new
-pairs enter the index.
+tokens. An inverted index leads from each pair that merges, named by the rank of its merge,
+to the positions where it stands in all these pieces. Merges are replayed from it in rank
+order; a merge touches its two neighbours only, whose new pairs enter the index.
 
-Merges of different pieces do not meet, so the index is read for all short pieces at
-once: a round takes the next merge in rank order of each piece. A long piece (a run
-without spaces) has an inverted index of its own, from rank to positions, and takes time
-in proportion to its length.
+A pair of lower rank may appear late, as one token can be split in several ways. Then that
+merge comes before the rest of the one at hand, which waits in the index. As merges of
+different pieces do not meet, this gives each piece its own order: lowest rank first, then
+leftmost.
 
 The corpus is replayed batch by batch: the index of a batch holds the pieces that the
-task has not met before. No piece is shuffled, so a piece that a third of all documents
-share costs nothing extra, and memory is bounded by the batch and by ``remembered``.
+task has not met before, cut into indexes of bounded size. No piece is shuffled, so a piece
+that a third of all documents share costs nothing extra, and memory is bounded by the batch,
+by ``remembered`` and by the longest piece, which takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from sheafline.llm.words import blocks
 
 #: Distinct pieces whose ids a task keeps; beyond it the table starts anew.
 REMEMBERED = 500_000
-#: Bytes beyond which a piece has an inverted index of its own.
-LONG = 48
+#: Bytes of pieces in one index, beside those of its last piece.
+INDEXED = 4_000_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -68,6 +69,50 @@ class PairRanks:
         return np.where(self.keys[at] == wanted, self.ranks[at], NEVER)
 
 
+class PairIndex:
+    """Inverted index: for each rank of a merge the positions where its pair stands.
+
+    ``rank`` says what stands at a position now; an entry that differs from it is stale.
+    """
+
+    def __init__(self, size: int):
+        self.rank = np.full(size, NEVER)
+        self.places: dict[int, list[np.ndarray]] = {}
+        self.queue: list[int] = []
+
+    def enter(self, at: np.ndarray, ranks: np.ndarray) -> None:
+        """Positions and the ranks of their pairs, ``NEVER`` for pairs that do not merge."""
+        self.rank[at] = ranks
+        order = np.argsort(ranks, kind="stable")
+        order = order[: np.searchsorted(ranks, NEVER, sorter=order)]
+        if not len(order):
+            return
+        at, ranks = at[order], ranks[order]
+        begins = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist()]
+        for rank, begin, end in zip(ranks[begins].tolist(), begins, [*begins[1:], len(at)], strict=True):
+            self.wait(rank, at[begin:end])
+
+    def wait(self, rank: int, at: np.ndarray) -> None:
+        if not len(at):
+            return
+        if rank in self.places:
+            self.places[rank].append(at)
+        else:
+            self.places[rank] = [at]
+            heapq.heappush(self.queue, rank)
+
+    def lowest(self) -> int | None:
+        return self.queue[0] if self.queue else None
+
+    def take(self, rank: int) -> np.ndarray:
+        """The positions of the lowest rank, ascending, without stale ones."""
+        heapq.heappop(self.queue)
+        parts = self.places.pop(rank)
+        at = np.concatenate(parts) if len(parts) > 1 else parts[0]
+        at = np.sort(at[self.rank[at] == rank])
+        return at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) > 1 else at
+
+
 class MergeReplay:
     """Ids of pieces, each distinct piece merged once."""
 
@@ -86,88 +131,73 @@ class MergeReplay:
 
     def replay(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all pieces in order, and where each piece begins."""
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        ends = np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
+        # pieces that end within the same stretch of bytes share an index
+        cuts = np.flatnonzero(np.diff(ends // INDEXED)) + 1
+        for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pieces)], strict=True):
+            token, piece = self._merged(pieces[begin:end])
+            ids.append(token.astype(np.int32))
+            counts.append(np.bincount(piece, minlength=end - begin))
+        return np.concatenate(ids), np.cumsum(np.concatenate(counts))
+
+    def _merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids that remain of pieces when all merges are replayed, and whose they are."""
         sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        token = self.byte[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
         piece = np.repeat(np.arange(len(pieces)), sizes)
-        long = sizes > LONG
-        found_ids, found_pieces = self._rounds(token[~long[piece]], piece[~long[piece]])
-        ends = np.cumsum(sizes)
-        for n in np.flatnonzero(long):
-            merged = self._indexed(token[ends[n] - sizes[n] : ends[n]].tolist())
-            found_ids.append(np.array(merged, dtype=np.int64))
-            found_pieces.append(np.full(len(merged), n))
-        ids, owner = np.concatenate(found_ids), np.concatenate(found_pieces)
-        order = np.argsort(owner, kind="stable")
-        counts = np.bincount(owner, minlength=len(pieces))
-        return ids[order].astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
-
-    def _rounds(self, token: np.ndarray, piece: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        done_ids, done_pieces = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        rank = np.full(len(token), NEVER)
+        token = self.byte[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
         inner = np.flatnonzero(piece[:-1] == piece[1:])
-        rank[inner] = self.pairs(token[inner], token[inner + 1])
-        while len(token):
-            first = np.concatenate([[True], piece[1:] != piece[:-1]])
-            starts, nth = np.flatnonzero(first), np.cumsum(first) - 1
-            lowest = np.minimum.reduceat(rank, starts)
-            finished = (lowest == NEVER)[nth]
-            done_ids.append(token[finished])
-            done_pieces.append(piece[finished])
-            # the leftmost pair of lowest rank in each piece that still has one
-            hits = np.flatnonzero((rank == lowest[nth]) & ~finished)
-            at = hits[np.concatenate([[True], nth[hits[1:]] != nth[hits[:-1]]])] if len(hits) else hits
-            token[at] = rank[at]
-            keep = ~finished
-            keep[at + 1] = False
-            moved = np.cumsum(keep) - 1
-            token, piece, rank = token[keep], piece[keep], rank[keep]
-            at = moved[at]
+        before, after = np.full((2, len(piece)), -1)
+        before[inner + 1], after[inner] = inner, inner + 1
+        index = PairIndex(len(piece))
+        index.enter(inner, self.pairs(token[inner], token[inner + 1]))
+        while (rank := index.lowest()) is not None:
+            at = index.take(rank)
+            owner = piece[at]
+            if (owner[1:] == owner[:-1]).any():
+                at, waiting = self._together(rank, at, owner, token, before, after)
+                index.wait(rank, waiting)
+            right = after[at]
+            beyond = after[right]
+            token[at], token[right], index.rank[right] = rank, -1, NEVER
+            after[at] = beyond
+            inside = beyond >= 0
+            before[beyond[inside]] = at[inside]
             # only the pairs on both sides of a merge change
-            for left in (at, at - 1):
-                left = left[left >= 0]
-                beside = left + 1 < len(token)
-                inside = np.zeros(len(left), dtype=bool)
-                inside[beside] = piece[left[beside]] == piece[left[beside] + 1]
-                rank[left[~inside]] = NEVER
-                rank[left[inside]] = self.pairs(token[left[inside]], token[left[inside] + 1])
-        return done_ids, done_pieces
-
-    def _indexed(self, token: list[int]) -> list[int]:
-        """The ids of one long piece."""
-        merged = self.pairs.of.get
-        before, after = list(range(-1, len(token) - 1)), [*range(1, len(token)), -1]
-        index: dict[int, list[int]] = defaultdict(list)
-        for at in range(len(token) - 1):
-            if (rank := merged((token[at] << 32) | token[at + 1])) is not None:
-                index[rank].append(at)
-        queue = list(index)
-        heapq.heapify(queue)
-        while queue:
-            rank = heapq.heappop(queue)
-            places = sorted(index.pop(rank, ()))
-            for nth, at in enumerate(places):
-                right = after[at]
-                # an entry is stale if another merge took either side
-                if token[at] < 0 or right < 0 or merged((token[at] << 32) | token[right]) != rank:
-                    continue
-                token[at], token[right] = rank, -1
-                after[at] = beyond = after[right]
-                if beyond >= 0:
-                    before[beyond] = at
-                lower = False
-                for left in (before[at], at):
-                    if left >= 0 and after[left] >= 0:
-                        new = merged((token[left] << 32) | token[after[left]])
-                        if new is not None:
-                            lower |= new < rank
-                            if new not in index:
-                                heapq.heappush(queue, new)
-                            index[new].append(left)
-                if lower:  # that merge comes before the rest of this one
-                    index[rank].extend(places[nth + 1 :])
-                    heapq.heappush(queue, rank)
-                    break
-        return [t for t in token if t >= 0]
+            left = before[at]
+            changed = np.concatenate([left[left >= 0], at])
+            has_pair = after[changed] >= 0
+            index.rank[at[~inside]] = NEVER
+            changed = changed[has_pair]
+            index.enter(changed, self.pairs(token[changed], token[after[changed]]))
+        return token[token >= 0], piece[token >= 0]
+
+    def _together(
+        self, rank: int, at: np.ndarray, owner: np.ndarray, token: np.ndarray, before: np.ndarray, after: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Of one pair's positions those that merge now, and those that wait for a lower rank.
+
+        Within a piece the leftmost comes first, so of positions in a row that overlap every
+        second one merges. If a merge gives its piece a pair of lower rank, even one that the next
+        merge would take again, the rest of that piece waits.
+        """
+        nth = np.arange(len(at))
+        apart = np.concatenate([[True], after[at[:-1]] != at[1:]])
+        merging = at[(nth - np.maximum.accumulate(np.where(apart, nth, 0))) % 2 == 0]
+        right = after[merging]
+        left, beyond = before[merging], after[right]
+        # what stands left is merged already where the merge before this one is its neighbour
+        taken = np.concatenate([[False], left[1:] == right[:-1]])
+        new_left = self.pairs(np.where(taken, rank, token[left]), np.full(len(merging), rank))
+        new_right = self.pairs(np.full(len(merging), rank), token[beyond])
+        lower = ((left >= 0) & (new_left < rank)) | ((beyond >= 0) & (new_right < rank))
+        if not lower.any():
+            return merging, at[:0]
+        ends = np.full(owner[-1] + 1, NEVER)
+        flagged = merging[lower]
+        np.minimum.at(ends, owner[np.searchsorted(at, flagged)], flagged)
+        last = ends[owner]
+        return merging[merging <= last[np.searchsorted(at, merging)]], at[at > last]
 
     def encode(self, texts: Iterable[str | None], split: Callable[[str], list[str]]) -> pa.Array:
         """Ids of texts, which ``split`` cuts into pieces."""
