@@ -1,6 +1,6 @@
 """Language identification by nearest centroid.
 
-A text becomes a TF-IDF vector of hashed letter n-grams of length one. Each language has
+A text becomes a TF-IDF vector of hashed letter n-grams of one to three bytes. Each language has
 several centroids, found by spherical k-means on a bounded sample of labelled rows; the
 nearest centroid by cosine names the language. A text farther from every centroid than
 any learning text of its length class (plus a margin) is rejected. Very short texts are

@@ -8,8 +8,10 @@ unlisted, an odd number listed. As the universe holds every key of the corpus, n
 is wrong and no join with the list is needed.
 
 All work is expressions (see ``bloom``). A level has twelve bits for each key it encodes.
-Levels shrink geometrically, so the cascade grows with the list of
-keys, which is refused beyond ``most_keys``, and not with the pages.
+Levels shrink geometrically, so the cascade grows with the list of keys and not with the
+pages. Lists and universes of any size are taken: as a level is one row, keys are dealt by a hash
+into as many shares as keep levels near ``most_keys`` keys, each share has a cascade of
+its own, and the hash of a key names the one that answers.
 """
 
 from __future__ import annotations
@@ -21,8 +23,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheafline.llm.bloom import Filter, build, kept
 
-#: Keys that a level encodes at most, in 12 MB of bits.
+#: Keys of the list in a share at most, in 12 MB of bits.
 MOST_KEYS = 8_000_000
+#: Other keys in a share for each of these at most: a level takes fewer than one of as many for listed.
+OTHERS = 100
+#: Seed of the hash that deals keys to shares; levels hash from 0 upwards.
+SHARES = -1
 
 
 @dataclass(frozen=True)
@@ -65,39 +71,64 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
+def _share(key: Column, shares: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(SHARES), key), F.lit(shares))
+
+
 @dataclass(frozen=True)
 class Cascade:
-    levels: list[Filter]
+    """The levels of each share of the keys."""
+
+    shares: list[list[Filter]]
 
     def lists(self, key: Column) -> Column:
         """Whether a key of the universe is listed. A null key is not."""
-        answer = F.lit(len(self.levels) % 2 == 1)
-        for level in reversed(self.levels):
-            answer = F.when(~level.knows(key), F.lit(level.number % 2 == 1)).otherwise(answer)
+        own = _share(key, len(self.shares))
+        answer = _answer(self.shares[0], key)
+        for share, levels in enumerate(self.shares[1:], 1):
+            answer = F.when(own == share, _answer(levels, key)).otherwise(answer)
         return F.coalesce(answer, F.lit(False)) & key.isNotNull()
 
 
+def _answer(levels: list[Filter], key: Column) -> Column:
+    answer = F.lit(len(levels) % 2 == 1)
+    for level in reversed(levels):
+        answer = F.when(~level.knows(key), F.lit(level.number % 2 == 1)).otherwise(answer)
+    return answer
+
+
 def cascade(listed: DataFrame, universe: DataFrame, *, most_keys: int = MOST_KEYS) -> Cascade:
     """The cascade of the keys of ``listed`` over those of ``universe``, columns ``key``.
 
     ``listed`` may hold keys outside the universe, and both may repeat keys; nulls are left
-    out. An empty list gives a cascade without levels, which lists nothing.
+    out. An empty list gives a cascade without levels, which lists nothing. Shares double in
+    number until none holds more than ``most_keys`` keys of the list or ``OTHERS`` times as many others.
     """
     everything = universe.select("key").filter(F.col("key").isNotNull()).distinct()
     wanted = listed.select("key").filter(F.col("key").isNotNull()).distinct()
     # within the universe: other keys are never asked for
     inside = wanted.join(everything, "key", "left_semi")
     outside = everything.join(wanted, "key", "left_anti")
+    shares = 1
+    while _largest(inside, shares) > most_keys or _largest(outside, shares) > most_keys * OTHERS:
+        shares *= 2
+    own = [_share(F.col("key"), shares) == share for share in range(shares)]
+    return Cascade([_levels(inside.filter(share), outside.filter(share)) for share in own])
+
+
+def _largest(keys: DataFrame, shares: int) -> int:
+    """Keys in the largest of as many shares."""
+    return keys.groupBy(_share(F.col("key"), shares).alias("share")).count().agg(F.max("count")).first()[0] or 0
+
+
+def _levels(encoded: DataFrame, others: DataFrame) -> list[Filter]:
     levels: list[Filter] = []
-    encoded, others = inside, outside
     while (count := encoded.count()) > 0:
-        if count > most_keys:
-            raise ValueError(f"a level of {count} keys; {most_keys} are allowed")
         # the bits are read by every later level and by the answer
         level = kept(build(encoded, count, len(levels)))
         levels.append(level)
         encoded, others = others.filter(level.knows(F.col("key"))), encoded
-    return Cascade(levels)
+    return levels
 
 
 def url_verdicts(pages: DataFrame, *, rules: Sequence[Rule], filters: Cascade, id: str = "page_id", url: str = "url") -> DataFrame:

@@ -129,10 +129,30 @@ def test_urls(spark):
         (3, "bad.example.org", "", None, "block"), (4, "a.net", "/fr", "net/", "allow"), (5, "a.net", "", None, "allow"),
     }
     none = urls.cascade(listed.filter("false"), hosts.filter("false"))
-    assert none.levels == []
+    assert none.shares == [[]]
     assert {r["verdict"] for r in urls.url_verdicts(pages, rules=[], filters=none).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize("most", [10_000, 300])
+def test_lists_and_universes_of_any_size_are_exact(spark, most):
+    """A list beyond the bound of a row is dealt to several cascades."""
+    universe = spark.range(20_000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 23 == 0).alias("listed"))
+    filters = urls.cascade(universe.filter("listed"), universe, most_keys=most)
+    assert (len(filters.shares) > 1) == (most == 300)
+    assert universe.filter(filters.lists(F.col("key")) != F.col("listed")).count() == 0
+    assert universe.filter(filters.lists(F.lit(None).cast("string"))).count() == 0
+    small = urls.cascade(universe.filter("listed").limit(3), universe, most_keys=100)
+    assert len(small.shares) > 1  # by the number of other keys
+
+
+def test_rules_of_equal_length_go_by_name(spark):
+    pages = spark.createDataFrame([(1, "http://x.b.c/d/")], "page_id long, url string")
+    rules = [urls.Rule("allow", "c", "/d/"), urls.Rule("block", "b.c", "/"), urls.Rule("block", "c", "/d")]
+    nothing = urls.cascade(spark.createDataFrame([], "key string"), spark.createDataFrame([], "key string"))
+    found = urls.url_verdicts(pages, rules=rules, filters=nothing).first()
+    assert (found["rule"], found["verdict"]) == ("b.c/", "block")
+
+
 def test_near_duplicates(edges, nothing):
     assert jaccard.near_duplicates(nothing).collect() == []
     rows = jaccard.near_duplicates(edges).collect()
