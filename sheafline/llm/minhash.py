@@ -5,9 +5,10 @@ over the shingles of a text; two signatures agree in about as many places as the
 are alike (Jaccard). All functions are evaluated in numpy over whole blocks of texts.
 
 For classes of near copies signatures are cut into bands. Texts that agree in a band meet in
-Spark, each with the smallest id of its band only: a crowd of copies gives one pair a text and
-not all pairs. A pair counts if the exact Jaccard similarity of its shingles, from whole texts,
-reaches the threshold.
+Spark: texts of equal sets as one, each with the first of its band. Of two texts with one first,
+overlaps with it and what it lacks bound what they share, so that only those that can be similar,
+and are in different classes still, are compared: a crowd of copies gives few pairs a text. A pair
+counts if the exact Jaccard similarity of its shingles, from whole texts, reaches the threshold.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheafline.llm.bloom import build, kept
 from sheafline.llm.components import components
-from sheafline.llm.staging import cut_lineage
-from sheafline.llm.words import MIX, as_array, blocks, mixed, sequence_hashes, whole_texts, window_hashes, word_block
+from sheafline.llm.jaccard import needed, overlaps
+from sheafline.llm.staging import Tables, cut_lineage
+from sheafline.llm.words import MIX, as_array, blocks, mixed, sequence_hashes, tidy, whole_texts, window_hashes, word_block
 
 #: Words of a shingle, and hash functions.
 SHINGLE = 5
@@ -36,8 +38,8 @@ CACHED = 1_000_000
 MOST_KEYS = 20_000_000
 #: Rows of class ids that are broadcast at most.
 MOST_BROADCAST = 2_000_000
-#: Tasks that members of one set of shingles are spread over.
-SALTS = 16
+#: First n-grams of a rest that go with each of its n-grams, to tell which shared one is the first.
+LEAD = 4
 #: Stands for a missing id: the largest.
 LAST = np.iinfo(np.int64).max
 
@@ -199,7 +201,7 @@ def _fingerprinted(rows: pa.Table, texts: pa.Array, size: int, permutations: int
     )
 
 
-BANDED = "id long, size long, set_a long, set_b long, bands array<long>"
+BANDED = "id long, mark long, size long, set_a long, set_b long, bands array<long>"
 
 
 def _banded(documents: DataFrame, size: int, permutations: int, band: int) -> DataFrame:
@@ -208,8 +210,8 @@ def _banded(documents: DataFrame, size: int, permutations: int, band: int) -> Da
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for block in blocks(batch.column(1), CACHED):
-                ids = batch.column(0).slice(done, len(block))
+            for block in blocks(batch.column(2), CACHED):
+                ids, marks = (batch.column(k).slice(done, len(block)) for k in (0, 1))
                 done += len(block)
                 found, begins = _distinct(*shingles(whole_texts(block), size))
                 signature = minima(found, begins, permutations).astype(np.uint64)
@@ -225,16 +227,17 @@ def _banded(documents: DataFrame, size: int, permutations: int, band: int) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids,
+                        marks,
                         pa.array(np.diff(begins)),
                         *(pa.array(half.view(np.int64)) for half in halves),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(block) + 1, dtype=np.int32) * count), pa.array(bands.ravel().view(np.int64))
                         ),
                     ],
-                    names=["id", "size", "set_a", "set_b", "bands"],
+                    names=["id", "mark", "size", "set_a", "set_b", "bands"],
                 )
 
-    return documents.select("id", "text").mapInArrow(hashed, BANDED)
+    return documents.select("id", "mark", "text").mapInArrow(tidy(hashed), BANDED)
 
 
 def _distinct(found: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,17 +250,59 @@ def _distinct(found: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nda
     return found[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(begins) - 1))])
 
 
-def similar_texts(left: pa.Array, right: pa.Array, size: int, percent: int) -> np.ndarray:
-    """Whether each pair of texts has 100 * shared shingles >= percent * all of both."""
-    sets = [_distinct(*shingles(whole_texts(side), size)) for side in (left, right)]
-    owner = np.concatenate([np.repeat(np.arange(len(left)), np.diff(begins)) for _, begins in sets])
-    found = np.concatenate([s for s, _ in sets])
-    order = np.lexsort((found, owner))
-    found, owner = found[order], owner[order]
-    twice = (found[1:] == found[:-1]) & (owner[1:] == owner[:-1])
-    shared = np.bincount(owner[1:][twice], minlength=len(left))
-    both = np.bincount(owner, minlength=len(left)) - shared
-    return (shared > 0) & (100 * shared >= percent * both)
+#: Sets with their overlap with a leader, and the first n-grams of the ``rests`` of theirs that it lacks.
+STAR = "a long, b long, size long, both long, linked boolean, rests long, rest array<long>"
+
+
+def _compared(pairs: DataFrame, named: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Rows of ``STAR`` for pairs of sets ``a`` and ``b``; ``named`` has the mark of a text of each set.
+
+    Two sets with one leader share, outside of it, what is needed beyond the smaller of their
+    overlaps with it. So, in the order of hashes, their rests share one of their first n-grams.
+    """
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                both, linked, rest = overlaps(part.column("text_a"), part.column("text_b"), size, percent)
+                rests = np.diff(rest.offsets.to_numpy())
+                sizes = both + rests
+                first = np.minimum(rests, rests - np.maximum(1, (percent * sizes + 99) // 100 - both) + 1)
+                kept_first = np.arange(rests.sum()) - np.repeat(np.cumsum(rests) - rests, rests) < np.repeat(first, rests)
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.maximum(first, 0))]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("a"), part.column("b"), pa.array(sizes), pa.array(both), pa.array(linked), pa.array(rests.astype(np.int64)),
+                        pa.ListArray.from_arrays(ends, rest.values.filter(pa.array(kept_first))),
+                    ],
+                    names=["a", "b", "size", "both", "linked", "rests", "rest"],
+                )
+
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    marks = cut_lineage(named.join(ids, "node"))
+    # most texts are in no pair: leave them out before texts are shuffled; a full filter lets more pass
+    wanted = kept(build(marks.select(F.col("mark").alias("key")), max(1, min(MOST_KEYS, marks.count())), hashes=1))
+    whole = rows.filter(wanted.knows(F.col("mark"))).select("mark", "text").dropDuplicates(["mark"])
+    whole = whole.join(marks, "mark").select("node", "text")
+    for side in ("a", "b"):
+        pairs = pairs.join(whole.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(compared), STAR)
+
+
+def _apart(rows: DataFrame, key: list[str], component: DataFrame) -> DataFrame:
+    """Rows of sets ``a`` with their ``component``, of those keys that several components have."""
+    own = rows.join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
+    spread = own.groupBy(*key).agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return own.join(spread.filter(F.col("least") < F.col("most")).select(*key), key)
+
+
+def _met(left: DataFrame, right: DataFrame, key: list[str], percent: int, both: Column) -> DataFrame:
+    """Distinct pairs of rows ``x`` and ``y`` of a key, of different components, whose sets share ``both`` at most."""
+    x, y = left.select(*key, F.struct("*").alias("x")), right.select(*key, F.struct("*").alias("y"))
+    able = both >= needed(F.col("x.size"), F.col("y.size"), percent)
+    met = x.join(y, key).filter(able & (F.col("x.component") != F.col("y.component")))
+    return met.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()
 
 
 def near_copies(
@@ -272,54 +317,70 @@ def near_copies(
 ) -> DataFrame:
     """Per distinct id: its id and ``class_id``, the smallest id that its links lead to.
 
-    Texts with equal shingle sets are one class. Of other texts, those that agree in a band with
-    the smallest id of that band are linked to it if their shingle sets are similar enough, by
-    exact count. A null text or one without words is alone; a row without an id takes no part.
-    An id with several texts is compared by one of them, and has the smallest of their classes.
+    Texts with equal shingle sets are one class. Other texts that agree in a band are linked if
+    their shingle sets are similar enough, by exact count: each is compared with the first of its
+    bands, and then with those others of them, in different classes still, that can be similar
+    after what both share with that first. A null text or one without words is alone; a row
+    without an id takes no part. Rows with one id are one document in links. The result is a
+    table in the checkpoint folder; larger ones that lead to it are deleted.
     """
     rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    rows = rows.filter(F.col("id").isNotNull())
-    banded = cut_lineage(_banded(rows, size, permutations, band))
-    key = ["size", "set_a", "set_b"]
-    filled = banded.filter(F.col("size") > 0)
-    sets = filled.groupBy(*key).agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies"))
-    # a crowd of equal texts is spread over as many keys as there are salts
-    salted = sets.filter("copies > 1").select(*key, "head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    members = filled.select("id", *key, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
-    copies = cut_lineage(members.join(salted, [*key, "salt"]).select("id", "head").filter(F.col("id") != F.col("head")).distinct())
-    # a band's hash depends on its place, so bands of one place meet; equal texts share all bands
-    entries = filled.select("id", F.explode("bands").alias("key"))
-    leaders = entries.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("highest"))
-    crowds = cut_lineage(leaders.filter(F.col("leader") < F.col("highest")).drop("highest"))
-    known = kept(build(crowds.select("key"), max(1, min(MOST_KEYS, crowds.count())), hashes=1)).knows(F.col("key"))
-    met = entries.filter(known).join(crowds, "key").filter(F.col("id") != F.col("leader")).select("id", "leader").distinct()
-    # of equal texts one is compared; the smallest id of a band is one already
-    met = met.join(copies, "id", "left").select(F.coalesce("head", "id").alias("head"), "leader")
-    pairs = cut_lineage(met.filter(F.col("head") != F.col("leader")).distinct())
+    rows = rows.filter(F.col("id").isNotNull()).withColumn("mark", F.xxhash64("text"))
+    with Tables(documents.sparkSession) as tables:
+        classes = _classes(rows, tables, size=size, percent=percent, permutations=permutations, band=band)
+        return Tables(documents.sparkSession).stored(classes.withColumnRenamed("id", id))
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                linked = similar_texts(part.column("text_a"), part.column("text_b"), size, percent)
-                chosen = part.filter(pa.array(linked))
-                yield pa.RecordBatch.from_arrays([chosen.column("a"), chosen.column("b")], names=["a", "b"])
 
-    ids = pairs.select(F.explode(F.array("head", "leader")).alias("key")).distinct()
-    # most texts are in no pair: leave them out before texts are shuffled; a full filter lets more pass
-    wanted = kept(build(ids, max(1, min(MOST_KEYS, 2 * pairs.count())), hashes=1))
-    whole = rows.filter(wanted.knows(F.col("id"))).dropDuplicates(["id"])
-    left = whole.select(F.col("id").alias("head"), F.col("text").alias("text_a"))
-    right = whole.select(F.col("id").alias("leader"), F.col("text").alias("text_b"))
-    compared = pairs.join(left, "head").join(right, "leader")
-    compared = compared.select(F.col("head").alias("a"), F.col("leader").alias("b"), "text_a", "text_b")
-    links = cut_lineage(compared.mapInArrow(verified, "a long, b long"))
-    reached = components(links).withColumnRenamed("node", "head")
-    together = copies.join(reached, "head", "left").select("id", F.coalesce("component", "head").alias("class_id"))
-    linked = reached.select(F.col("head").alias("id"), F.col("component").alias("class_id"))
-    own = banded.select("id", F.col("id").alias("class_id"))
-    all_rows = own.unionByName(linked).unionByName(together)
-    return all_rows.groupBy("id").agg(F.min("class_id").alias("class_id")).withColumnRenamed("id", id)
+def _classes(rows: DataFrame, tables: Tables, *, size: int, percent: int, permutations: int, band: int) -> DataFrame:
+    """Columns ``id`` and ``class_id`` of rows ``id``, ``text`` and ``mark``, a hash of the text."""
+    banded = tables.stored(_banded(rows, size, permutations, band).withColumn("node", F.xxhash64("size", "set_a", "set_b")))
+    filled = banded.filter(F.col("size") > 0)
+    named = filled.groupBy("node").agg(F.min("mark").alias("mark"))
+    # a band's hash depends on its place, so bands of one place meet; equal sets share all bands and make no crowd
+    entries = filled.select(F.col("node").alias("a"), F.explode("bands").alias("key"))
+    leaders = entries.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("last"))
+    crowds = cut_lineage(leaders.filter(F.col("b") < F.col("last")).drop("last"))
+    known = kept(build(crowds.select("key"), max(1, min(MOST_KEYS, crowds.count())), hashes=1)).knows(F.col("key"))
+    met = cut_lineage(entries.filter(known).join(crowds, "key").filter(F.col("a") != F.col("b")).select("a", "b").distinct())
+    stars = tables.stored(_compared(met, named, rows, size, percent))
+    # an id with several texts links them
+    several = filled.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter(F.col("a") < F.col("last"))
+    links = filled.join(several.select("id", "a"), "id").select("a", F.col("node").alias("b"))
+    links = cut_lineage(links.unionByName(stars.filter("linked").select("a", "b")).distinct())
+    component = components(links)
+    # of sets whose rests share an n-gram, the first is compared with the others before all are
+    key = ["b", "gram"]
+    lead = F.slice("rest", 1, LEAD).alias("lead")
+    rests = stars.select("a", "b", "size", "both", "rests", lead, F.posexplode("rest").alias("place", "gram"))
+    # a pair with a shared n-gram among the leads meets in the first of them, which nothing shared comes before
+    shared = F.array_intersect("x.lead", "y.lead")
+    after = F.least(F.col("x.rests") - F.col("x.place"), F.col("y.rests") - F.col("y.place"))
+    most = F.least("x.both", "y.both") + after
+    most = F.when(F.size(shared) == 0, most + F.least("x.place", "y.place")).when(F.element_at(shared, 1) == F.col("x.gram"), most)
+    rests = tables.stored(_apart(rests, key, component).drop("component"))
+    crowd = _apart(rests, key, component)
+    first = crowd.groupBy(*key).agg(F.min_by(F.struct("a", "size", "both", "rests", "lead", "place", "component"), "a").alias("first"))
+    inner = cut_lineage(_met(first.select(*key, "first.*"), crowd, key, percent, most))
+    links = links.unionByName(cut_lineage(_compared(inner, named, rows, size, percent).filter("linked").select("a", "b")))
+    component = components(links)
+    # all others whose rests share an n-gram, and those that share enough without
+    covered = stars.filter(F.col("both") * 100 >= F.col("size") * percent).select("a", "b", "size", "both")
+    pairs = [
+        _met(one, one, on, percent, upto)
+        for one, on, upto in (
+            (_apart(rests, key, component), key, most),
+            (_apart(covered, ["b"], component), ["b"], F.least("x.both", "y.both")),
+        )
+    ]
+    left = cut_lineage(pairs[0].unionByName(pairs[1]).distinct().join(inner, ["a", "b"], "left_anti"))
+    links = links.unionByName(cut_lineage(_compared(left, named, rows, size, percent).filter("linked").select("a", "b")))
+    component = components(links)
+    members = banded.select("id", F.when(F.col("size") > 0, F.col("node")).alias("node"))
+    members = cut_lineage(members.join(component, "node", "left").select("id", F.coalesce("component", "node").alias("component")))
+    classes = members.groupBy("component").agg(F.min("id").alias("class_id"))
+    # a class of one id needs no join, and a null component has none
+    joined = members.join(classes, "component", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    return joined.groupBy("id").agg(F.min("class_id").alias("class_id"))
 
 
 def with_classes(found: DataFrame, classes: DataFrame, *, id: str = "doc_id") -> DataFrame:

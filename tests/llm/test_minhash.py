@@ -140,3 +140,24 @@ def test_near_copies_of_odd_rows(spark):
     assert again == found
     rows = minhash.with_classes(docs.select("doc_id", "text"), minhash.near_copies(docs)).collect()
     assert {r["doc_id"]: r["class_id"] for r in rows} == {**found, None: None}
+
+
+def test_near_copies_lose_no_link_to_a_leader_that_is_not_similar(spark):
+    # in each group 2 and 3 are similar, and 1, which shares most of their bands, is similar to neither
+    rows = []
+    for group in range(30):
+        core = [f"g{group}w{i}" for i in range(100)]
+        rows += [(3 * group + k, " ".join(core + [f"g{group}k{k}e{i}" for i in range(more)])) for k, more in ((1, 24), (2, 8), (3, 8))]
+    texts = dict(rows)
+    docs = spark.createDataFrame([(k, t, "x", "x", 1, "x") for k, t in rows], SCHEMA).repartition(3)
+    found = {r["doc_id"]: r["class_id"] for r in minhash.near_copies(docs, permutations=6, band=1).collect()}
+    expected = exact_classes(texts)
+    assert all(expected[3 * g + 3] == 3 * g + 2 and expected[3 * g + 1] == 3 * g + 1 for g in range(30))
+    assert found == expected
+
+
+def test_near_copies_link_by_every_text_of_an_id(spark):
+    one, two = (" ".join(f"{name}{i}" for i in range(100)) for name in "xy")
+    rows = [(1, one), (2, two), (5, one + " more"), (5, two + " more"), (7, two + " more"), (8, None), (8, one + " end")]
+    docs = spark.createDataFrame([(k, t, "x", "x", 1, "x") for k, t in rows], SCHEMA).repartition(3)
+    assert {r["doc_id"]: r["class_id"] for r in minhash.near_copies(docs).collect()} == dict.fromkeys([1, 2, 5, 7, 8], 1)
