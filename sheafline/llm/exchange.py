@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sheafline.llm.words import tidy_group
+
 #: Documents in a chunk.
 CHUNK = 2048
 #: Keys of a chunk, sorted and distinct, with a number for each.
@@ -66,7 +68,7 @@ def requests(chunks: DataFrame, parts: int, ask: Callable[[pa.Table], Asked]) ->
             }
         )
 
-    return chunks.groupBy("chunk").applyInArrow(asked, REQUEST)
+    return chunks.groupBy("chunk").applyInArrow(tidy_group(asked), REQUEST)
 
 
 def part_bounds(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -99,7 +101,7 @@ def answers(asked: DataFrame, reply: Callable[[np.ndarray, np.ndarray, np.ndarra
             }
         )
 
-    return asked.groupBy("part").applyInArrow(replied, ANSWER)
+    return asked.groupBy("part").applyInArrow(tidy_group(replied), ANSWER)
 
 
 def in_order(rows: pa.Table) -> np.ndarray:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from sheafline.llm.exchange import CHUNK, Reply, answers, chunked, in_order, requests
-from sheafline.llm.words import covered, per_text, whole_texts, window_hashes, without_words, word_block
+from sheafline.llm.words import covered, per_text, tidy_groups, whole_texts, window_hashes, without_words, word_block
 
 WINDOW = 13
 #: Stands for a missing id: larger than any other.
@@ -71,7 +71,7 @@ def remove_repeated(documents: DataFrame, *, id: str = "doc_id", text: str = "te
     replied = answers(asked, _smaller_id)
     schema = StructType([*plain.schema.fields, *SPANS.fields])
     result = chunks.groupBy("chunk").cogroup(replied.groupBy("chunk")).applyInArrow(
-        _cut(own_id, own_text, names, window), schema
+        tidy_groups(_cut(own_id, own_text, names, window)), schema
     )
     return result.select(*(F.col(n).alias(c) for c, n in zip(kept_columns, names, strict=True)), *SPANS.names)
 

@@ -193,3 +193,25 @@ def tidy(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
         give_back()
 
     return tidied
+
+
+def tidy_group(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``work`` on the rows of a group, with the memory that it freed given back after it."""
+
+    def tidied(rows: pa.Table) -> pa.Table:
+        found = work(rows)
+        give_back()
+        return found
+
+    return tidied
+
+
+def tidy_groups(work: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """``tidy_group`` for two groups of one key."""
+
+    def tidied(rows: pa.Table, others: pa.Table) -> pa.Table:
+        found = work(rows, others)
+        give_back()
+        return found
+
+    return tidied
