@@ -38,8 +38,6 @@ CACHED = 1_000_000
 MOST_KEYS = 20_000_000
 #: Rows of class ids that are broadcast at most.
 MOST_BROADCAST = 2_000_000
-#: First n-grams of a rest that go with each of its n-grams, to tell which shared one is the first.
-LEAD = 4
 #: Stands for a missing id: the largest.
 LAST = np.iinfo(np.int64).max
 
@@ -350,16 +348,12 @@ def _classes(rows: DataFrame, tables: Tables, *, size: int, percent: int, permut
     component = components(links)
     # of sets whose rests share an n-gram, the first is compared with the others before all are
     key = ["b", "gram"]
-    lead = F.slice("rest", 1, LEAD).alias("lead")
-    rests = stars.select("a", "b", "size", "both", "rests", lead, F.posexplode("rest").alias("place", "gram"))
-    # a pair with a shared n-gram among the leads meets in the first of them, which nothing shared comes before
-    shared = F.array_intersect("x.lead", "y.lead")
-    after = F.least(F.col("x.rests") - F.col("x.place"), F.col("y.rests") - F.col("y.place"))
-    most = F.least("x.both", "y.both") + after
-    most = F.when(F.size(shared) == 0, most + F.least("x.place", "y.place")).when(F.element_at(shared, 1) == F.col("x.gram"), most)
+    rests = stars.select("a", "b", "size", "both", "rests", F.posexplode("rest").alias("place", "gram"))
+    most = F.least("x.both", "y.both") + F.least("x.place", "y.place")
+    most = most + F.least(F.col("x.rests") - F.col("x.place"), F.col("y.rests") - F.col("y.place"))
     rests = tables.stored(_apart(rests, key, component).drop("component"))
     crowd = _apart(rests, key, component)
-    first = crowd.groupBy(*key).agg(F.min_by(F.struct("a", "size", "both", "rests", "lead", "place", "component"), "a").alias("first"))
+    first = crowd.groupBy(*key).agg(F.min_by(F.struct("a", "size", "both", "rests", "place", "component"), "a").alias("first"))
     inner = cut_lineage(_met(first.select(*key, "first.*"), crowd, key, percent, most))
     links = links.unionByName(cut_lineage(_compared(inner, named, rows, size, percent).filter("linked").select("a", "b")))
     component = components(links)
