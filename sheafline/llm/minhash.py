@@ -5,9 +5,12 @@ over the shingles of a text; two signatures agree in about as many places as the
 are alike (Jaccard). All functions are evaluated in numpy over whole blocks of texts.
 
 For classes of near copies signatures are cut into bands. Texts that agree in a band meet in
-Spark: texts of equal sets as one, each with the first of its band. Of two texts with one first,
-overlaps with it and what it lacks bound what they share, so that only those that can be similar,
-and are in different classes still, are compared: a crowd of copies gives few pairs a text. A pair
+Spark: texts of equal sets as one, each with the leader of its band. That is the text whose bands
+have the most texts in all: copies resemble their original more than each other, so most are linked
+to it and are one class. Of two texts with one leader, overlaps with it and what it lacks bound what
+they share, so that only those that can be similar, and are in different classes still, are
+compared: a crowd of copies gives few pairs a text. What the leader lacks is gone through from the
+rarest n-gram on, so that one that a crowd has alone brings no two of it together. A pair
 counts if the exact Jaccard similarity of its shingles, from whole texts, reaches the threshold.
 """
 
@@ -19,7 +22,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sheafline.llm.bloom import build, kept
 from sheafline.llm.components import components
@@ -248,34 +251,23 @@ def _distinct(found: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nda
     return found[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(begins) - 1))])
 
 
-#: Sets with their overlap with a leader, and the first n-grams of the ``rests`` of theirs that it lacks.
-STAR = "a long, b long, size long, both long, linked boolean, rests long, rest array<long>"
+#: Sets with their overlap with a leader, and the ``rest`` of their n-grams, which it lacks.
+STAR = "a long, b long, size long, both long, linked boolean, rest array<long>"
 
 
 def _compared(pairs: DataFrame, named: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Rows of ``STAR`` for pairs of sets ``a`` and ``b``; ``named`` has the mark of a text of each set.
-
-    Two sets with one leader share, outside of it, what is needed beyond the smaller of their
-    overlaps with it. So, in the order of hashes, their rests share one of their first n-grams.
-    """
+    """Rows of ``STAR`` for pairs of sets ``a`` and ``b``; ``named`` has the mark of a text of each set."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
                 both, linked, rest = overlaps(part.column("text_a"), part.column("text_b"), size, percent)
-                rests = np.diff(rest.offsets.to_numpy())
-                sizes = both + rests
-                first = np.minimum(rests, rests - np.maximum(1, (percent * sizes + 99) // 100 - both) + 1)
-                kept_first = np.arange(rests.sum()) - np.repeat(np.cumsum(rests) - rests, rests) < np.repeat(first, rests)
-                ends = pa.array(np.concatenate([[0], np.cumsum(np.maximum(first, 0))]).astype(np.int32))
+                sizes = both + np.diff(rest.offsets.to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("a"), part.column("b"), pa.array(sizes), pa.array(both), pa.array(linked), pa.array(rests.astype(np.int64)),
-                        pa.ListArray.from_arrays(ends, rest.values.filter(pa.array(kept_first))),
-                    ],
-                    names=["a", "b", "size", "both", "linked", "rests", "rest"],
-                )
+                    [part.column("a"), part.column("b"), pa.array(sizes), pa.array(both), pa.array(linked), rest],
+                    names=["a", "b", "size", "both", "linked", "rest"],
+                )
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     marks = cut_lineage(named.join(ids, "node"))
@@ -288,11 +280,41 @@ def _compared(pairs: DataFrame, named: DataFrame, rows: DataFrame, size: int, pe
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(compared), STAR)
 
 
+def _stars(entries: DataFrame) -> DataFrame:
+    """Distinct pairs of a set ``a`` and the leader ``b`` of one of its bands, from rows ``a`` and ``key``.
+
+    A band's leader is its set whose bands have the most sets, counted once for each band.
+    """
+    ends = entries.groupBy("key").agg(F.min("a").alias("least"), F.max("a").alias("most"))
+    crowds = cut_lineage(ends.filter(F.col("least") < F.col("most")).select("key"))
+    known = kept(build(crowds, max(1, min(MOST_KEYS, crowds.count())), hashes=1)).knows(F.col("key"))
+    crowd = cut_lineage(entries.filter(known).join(crowds, "key").distinct())
+    counts = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("sets"))
+    met = crowd.join(counts, "key").groupBy("a").agg(F.sum("sets").alias("met"))
+    leaders = crowd.join(met, "a").groupBy("key").agg(F.max_by("a", F.struct("met", "a")).alias("b"))
+    return crowd.join(leaders, "key").filter(F.col("a") != F.col("b")).select("a", "b").distinct()
+
+
 def _apart(rows: DataFrame, key: list[str], component: DataFrame) -> DataFrame:
-    """Rows of sets ``a`` with their ``component``, of those keys that several components have."""
+    """Rows of sets ``a`` with their ``component``, of those keys that several components have, and rows of a key."""
     own = rows.join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-    spread = own.groupBy(*key).agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    return own.join(spread.filter(F.col("least") < F.col("most")).select(*key), key)
+    spread = own.groupBy(*key).agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("holders"))
+    return own.join(spread.filter(F.col("least") < F.col("most")).select(*key, "holders"), key)
+
+
+def _rests(stars: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """Rows ``a``, ``b``, ``size``, ``both``, ``gram``, ``left``: n-grams that a leader lacks and several components have.
+
+    Only these add to what two sets of different components share with their leader. In the order
+    of a leader's n-grams from the rarest on, ``left`` are from this one to the last. Of two sets
+    the first that both have bounds what they share by the smaller ``left``; it is not among
+    those of a set that are left out here, as too few are left for any set.
+    """
+    rests = _apart(stars.select("a", "b", "size", "both", "rest"), ["b"], component).drop("component", "holders")
+    rests = _apart(rests.withColumn("gram", F.explode("rest")).drop("rest"), ["b", "gram"], component)
+    common_first = Window.partitionBy("a", "b").orderBy(F.desc("holders"), "gram")
+    rests = rests.withColumn("left", F.row_number().over(common_first)).drop("component", "holders")
+    return rests.filter((F.col("both") + F.col("left")) * 100 >= F.col("size") * percent)
 
 
 def _met(left: DataFrame, right: DataFrame, key: list[str], percent: int, both: Column) -> DataFrame:
@@ -316,9 +338,9 @@ def near_copies(
     """Per distinct id: its id and ``class_id``, the smallest id that its links lead to.
 
     Texts with equal shingle sets are one class. Other texts that agree in a band are linked if
-    their shingle sets are similar enough, by exact count: each is compared with the first of its
+    their shingle sets are similar enough, by exact count: each is compared with the leaders of its
     bands, and then with those others of them, in different classes still, that can be similar
-    after what both share with that first. A null text or one without words is alone; a row
+    after what both share with that leader. A null text or one without words is alone; a row
     without an id takes no part. Rows with one id are one document in links. The result is a
     table in the checkpoint folder; larger ones that lead to it are deleted.
     """
@@ -336,24 +358,19 @@ def _classes(rows: DataFrame, tables: Tables, *, size: int, percent: int, permut
     named = filled.groupBy("node").agg(F.min("mark").alias("mark"))
     # a band's hash depends on its place, so bands of one place meet; equal sets share all bands and make no crowd
     entries = filled.select(F.col("node").alias("a"), F.explode("bands").alias("key"))
-    leaders = entries.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("last"))
-    crowds = cut_lineage(leaders.filter(F.col("b") < F.col("last")).drop("last"))
-    known = kept(build(crowds.select("key"), max(1, min(MOST_KEYS, crowds.count())), hashes=1)).knows(F.col("key"))
-    met = cut_lineage(entries.filter(known).join(crowds, "key").filter(F.col("a") != F.col("b")).select("a", "b").distinct())
+    met = cut_lineage(_stars(entries))
     stars = tables.stored(_compared(met, named, rows, size, percent))
     # an id with several texts links them
     several = filled.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter(F.col("a") < F.col("last"))
     links = filled.join(several.select("id", "a"), "id").select("a", F.col("node").alias("b"))
     links = cut_lineage(links.unionByName(stars.filter("linked").select("a", "b")).distinct())
     component = components(links)
-    # of sets whose rests share an n-gram, the first is compared with the others before all are
+    # of sets whose rests share an n-gram, the one nearest to the leader is compared with the others before all are
     key = ["b", "gram"]
-    rests = stars.select("a", "b", "size", "both", "rests", F.posexplode("rest").alias("place", "gram"))
-    most = F.least("x.both", "y.both") + F.least("x.place", "y.place")
-    most = most + F.least(F.col("x.rests") - F.col("x.place"), F.col("y.rests") - F.col("y.place"))
-    rests = tables.stored(_apart(rests, key, component).drop("component"))
+    rests = tables.stored(_rests(stars, component, percent))
+    most = F.least("x.both", "y.both") + F.least("x.left", "y.left")
     crowd = _apart(rests, key, component)
-    first = crowd.groupBy(*key).agg(F.min_by(F.struct("a", "size", "both", "rests", "place", "component"), "a").alias("first"))
+    first = crowd.groupBy(*key).agg(F.max_by(F.struct("a", "size", "both", "left", "component"), F.struct("both", "a")).alias("first"))
     inner = cut_lineage(_met(first.select(*key, "first.*"), crowd, key, percent, most))
     links = links.unionByName(cut_lineage(_compared(inner, named, rows, size, percent).filter("linked").select("a", "b")))
     component = components(links)

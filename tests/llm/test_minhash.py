@@ -161,3 +161,21 @@ def test_near_copies_link_by_every_text_of_an_id(spark):
     rows = [(1, one), (2, two), (5, one + " more"), (5, two + " more"), (7, two + " more"), (8, None), (8, one + " end")]
     docs = spark.createDataFrame([(k, t, "x", "x", 1, "x") for k, t in rows], SCHEMA).repartition(3)
     assert {r["doc_id"]: r["class_id"] for r in minhash.near_copies(docs).collect()} == dict.fromkeys([1, 2, 5, 7, 8], 1)
+
+
+def test_a_crowd_of_copies_is_compared_with_its_original_not_with_itself(spark, monkeypatch):
+    # copies of one text with three other words each: like the text, but not like each other
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(words))]
+    for k in range(1, 121):
+        own = list(words)
+        for place in rng.choice(150, 3, replace=False):
+            own[place] = f"c{k}p{place}"
+        rows.append((k, " ".join(own)))
+    counted, compared = [], minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda pairs, *rest: counted.append(pairs.count()) or compared(pairs, *rest))
+    docs = spark.createDataFrame([(k, t, "x", "x", 1, "x") for k, t in rows], SCHEMA).repartition(3)
+    found = {r["doc_id"]: r["class_id"] for r in minhash.near_copies(docs, permutations=24, band=3).collect()}
+    assert found == exact_classes(dict(rows)) == dict.fromkeys(range(121), 0)
+    assert sum(counted) < 6 * len(rows)
