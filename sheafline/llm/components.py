@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheafline.llm.staging import cut_lineage
+from sheafline.llm.staging import clean, cut_lineage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,6 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
     while (state := _state(links)) != before:
         before = state
         links = cut_lineage(_small_star(_large_star(links)).distinct())
+    clean(edges.sparkSession)
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 

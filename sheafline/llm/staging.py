@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from uuid import uuid4
 
@@ -29,6 +30,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def clean(spark: SparkSession) -> None:
+    """Have Spark delete shuffle files and checkpoints of frames that are not used any more.
+
+    It does so when the driver's garbage is collected, which may be long after many small jobs;
+    the driver's heap shrinks as well.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Tables:
     """Tables of one job in the checkpoint folder: compressed, for frames as large as the documents.
 
@@ -48,6 +59,7 @@ class Tables:
     def drop(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        clean(self.spark)
 
     def __enter__(self) -> Tables:
         return self
